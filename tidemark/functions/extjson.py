@@ -52,6 +52,12 @@ JSON_TYPES = {
     "null": "null",
 }
 
+# Wrapper key of a value in its shape.
+WRAPPED = r"^OBJECT<`[$]([A-Za-z]+)`"
+
+# Types with a native reading as text; the others go through the rewrite when they hold wrappers.
+NATIVE = ("string", "boolean", "int", "long", "double", "decimal", "objectId", "date", "timestamp", "null")
+
 # Values of these types are left out of the output.
 DROPPED = ("minKey", "maxKey", "undefined", "dbPointer")
 
@@ -64,17 +70,14 @@ def get(value: Column, path: str, data_type: str = "string") -> Column:
     return F.try_variant_get(value, path, data_type)
 
 
-def wrapper(value: Column) -> Column:
-    """Wrapper key of a value, empty for plain values."""
-    return F.regexp_extract(F.schema_of_variant(value), r"^OBJECT<`[$]([A-Za-z]+)`", 1)
-
+def type_name(value: Column, shape: Column | None = None) -> Column:
+    """Type name of a field value; null when the field is missing.
 
-def type_name(value: Column) -> Column:
-    """Type name of a field value; null when the field is missing."""
-    shape = F.schema_of_variant(value)
-    tag = wrapper(value)
-    number = get(value, "$", "bigint")
-    small = number.between(-(1 << 31), (1 << 31) - 1)
+    ``shape`` is the value's ``schema_of_variant``, where the caller has it already.
+    """
+    shape = F.schema_of_variant(value) if shape is None else shape
+    tag = F.regexp_extract(shape, WRAPPED, 1)
+    small = get(value, "$", "bigint").between(-(1 << 31), (1 << 31) - 1)
     return (
         F.when(value.isNull(), F.lit(None).cast("string"))
         .when(shape == "VOID", F.lit("null"))
@@ -82,7 +85,7 @@ def type_name(value: Column) -> Column:
         .when(shape == "STRING", F.lit("string"))
         .when(shape == "BIGINT", F.when(small, F.lit("int")).otherwise(F.lit("long")))
         .when(shape.startswith("ARRAY"), F.lit("array"))
-        .when((tag == "code") & shape.contains("`$scope`"), F.lit("javascriptWithScope"))
+        .when(shape.rlike(r"^OBJECT<`\$code`: [^,]*, `\$scope`"), F.lit("javascriptWithScope"))
         .when(shape.startswith("OBJECT"), F.coalesce(_map(WRAPPERS)[tag], F.lit("object")))
         .otherwise(F.lit("double"))
     )
@@ -102,33 +105,19 @@ def epoch_ms(value: Column) -> Column:
     )
 
 
-def as_text(value: Column, kind: Column | None = None, plain: Column | None = None, time_unit: str = "raw") -> Column:
-    """String form of a top-level value, as the ``string`` columns show it.
-
-    ``kind`` and ``plain`` are the type name and the wrapper-free value, where the caller has them already.
-    """
-    kind = type_name(value) if kind is None else kind
-    plain = as_plain(value, time_unit) if plain is None else plain
-    options = F.coalesce(get(value, "$.$regularExpression.options"), get(value, "$.$options"))
-    pattern = F.coalesce(get(value, "$.$regularExpression.pattern"), get(value, "$.$regex"))
-    packed = F.coalesce(get(value, "$.$binary.base64"), get(value, "$.$binary"))
-    uuid = F.base64(F.to_binary(F.replace(get(value, "$.$uuid"), F.lit("-"), F.lit("")), F.lit("hex")))
+def time_ms(value: Column, kind: Column, time_unit: str = "raw") -> Column:
+    """Epoch milliseconds of dates and internal times, null for all other values."""
     ticks = document_time(get(value, "$.$timestamp.t", "bigint"), get(value, "$.$timestamp.i", "bigint"), time_unit)
+    return F.when(kind == "date", epoch_ms(value)).when(kind == "timestamp", ticks)
+
+
+def as_text(value: Column, kind: Column, plain: Column, ms: Column) -> Column:
+    """String form of a top-level value from its type name, its wrapper-free form and its milliseconds."""
     return (
-        F.when(kind == "string", get(value, "$"))
-        .when(kind == "objectId", get(value, "$.$oid"))
-        .when(kind == "date", iso_millis(epoch_ms(value)))
-        .when(kind == "timestamp", iso_millis(ticks))
-        .when(kind == "binData", F.coalesce(packed, uuid))
-        .when(
-            kind == "regex",
-            F.when(F.trim(options) != "", F.concat(F.lit("("), options, F.lit(")"), pattern)).otherwise(pattern),
-        )
-        .when(kind == "symbol", get(value, "$.$symbol"))
-        .when(kind == "javascript", get(value, "$.$code"))
-        .when(kind.isin("int", "long", "double", "decimal"), F.coalesce(number_text(value), F.to_json(value)))
-        .when(kind.isin("null", *DROPPED), F.lit(None).cast("string"))
-        .otherwise(F.to_json(plain))
+        F.when(kind == "objectId", get(value, "$.$oid"))
+        .when(kind.isin("date", "timestamp"), iso_millis(ms))
+        .when(kind.isin("int", "long", "double", "decimal"), F.coalesce(number_text(value), get(value, "$")))
+        .when(~kind.isin(*DROPPED), get(plain, "$"))
     )
 
 
@@ -152,23 +141,26 @@ def as_boolean(value: Column) -> Column:
 
 def as_plain(value: Column, time_unit: str = "raw") -> Column:
     """The value as a variant without wrappers, at any depth."""
-    return as_plain_all([value], time_unit)[0]
+    return as_plain_all([(value, None)], time_unit)[0]
 
 
-def as_plain_all(values: list[Column], time_unit: str = "raw") -> list[Column]:
+def as_plain_all(values: list[tuple[Column, Column | None]], time_unit: str = "raw") -> list[Column]:
     """Several values as variants without wrappers, with one Python call for all of them.
 
-    Only texts that may hold a wrapper are sent to Python; all others travel as null.
+    Only texts that may hold a wrapper are sent to Python; all others travel as null. A value may come with a
+    condition under which it is needed.
     """
-    texts = [F.to_json(value) for value in values]
-    asked = [F.when(text.contains('{"$'), text) for text in texts]
+    asked = []
+    for value, needed in values:
+        text = F.to_json(value)
+        wrapped = text.contains('{"$')
+        asked.append(F.when(wrapped if needed is None else needed & wrapped, text))
     rewritten = _plain_udf(time_unit)(F.when(F.coalesce(*asked).isNotNull(), F.array(*asked)))
-    return [F.coalesce(F.parse_json(rewritten[at]), value) for at, value in enumerate(values)]
+    return [F.coalesce(F.parse_json(rewritten[at]), value) for at, (value, _) in enumerate(values)]
 
 
-def as_array(value: Column) -> Column:
+def as_array(value: Column, is_array: Column) -> Column:
     """Arrays as they are; any other value, also null, becomes the only element of an array."""
-    is_array = F.schema_of_variant(value).startswith("ARRAY")
     wrapped = F.parse_json(F.concat(F.lit("["), F.to_json(value), F.lit("]")))
     return F.when(value.isNull() | is_array, value).otherwise(wrapped)
 

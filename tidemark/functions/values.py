@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DAY_MS = 86_400_000
-
-
-# The calendar repeats every 400 years.
-CYCLE_DAYS = 146_097
+# The calendar repeats every 400 years of this many milliseconds.
+CYCLE_MS = 146_097 * 86_400_000
 
 
 def _div(number: Column, by: int) -> Column:
@@ -18,46 +15,28 @@ def _div(number: Column, by: int) -> Column:
     return F.call_function("div", number - F.pmod(number, divisor), divisor)
 
 
-def _two(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
-
-
-def _wall_clock(ms: Column) -> Column:
-    """``yyyy-MM-ddTHH:mm:ss`` in UTC, whatever the session time zone; years past 9999 carry a plus."""
-    days = _div(ms, DAY_MS)
-    date = F.date_from_unix_date(F.pmod(days, F.lit(CYCLE_DAYS)).cast("int"))
-    year = F.year(date) + _div(days, CYCLE_DAYS) * 400
-    year_text = F.when(year > 9999, F.concat(F.lit("+"), year.cast("string"))).otherwise(
-        F.lpad(year.cast("string"), 4, "0")
-    )
-    second = F.pmod(_div(ms, 1000), F.lit(86_400))
-    return F.concat(
-        year_text,
-        F.date_format(date, "-MM-dd"),
-        F.lit("T"),
-        _two(_div(second, 3600)),
-        F.lit(":"),
-        _two(F.pmod(_div(second, 60), F.lit(60))),
-        F.lit(":"),
-        _two(F.pmod(second, F.lit(60))),
-    )
-
-
-def _fraction(ms: Column) -> Column:
-    return F.concat(F.lit("."), F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0"))
+def _utc_text(ms: Column) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss.SSSZ`` of 1970 to 2369; a time without zone keeps the session's zone out."""
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.date_format(F.timestamp_add("MILLISECOND", ms, epoch), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
 def iso_millis(ms: Column) -> Column:
-    """Epoch milliseconds as ISO text, always with three fraction digits."""
+    """Epoch milliseconds as UTC text, always with three fraction digits; years past 9999 carry a plus.
+
+    ``ms`` is repeated in the expression: pass a column that is computed already where it is costly.
+    """
     ms = ms.cast("bigint")
-    return F.concat(_wall_clock(ms), _fraction(ms), F.lit("Z"))
+    near = _utc_text(F.pmod(ms, F.lit(CYCLE_MS)))
+    year = F.substring(near, 1, 4).cast("bigint") + _div(ms, CYCLE_MS) * 400
+    shown = F.when(year > 9999, F.concat(F.lit("+"), year.cast("string"))).otherwise(F.lpad(year.cast("string"), 4, "0"))
+    far = F.concat(shown, F.substring(near, 5, 20))
+    return F.when(ms.between(0, CYCLE_MS - 1), near).otherwise(far)
 
 
 def iso_instant(ms: Column) -> Column:
-    """Epoch milliseconds as ISO text, the fraction only when it is not zero."""
-    ms = ms.cast("bigint")
-    fraction = F.when(F.pmod(ms, F.lit(1000)) == 0, F.lit("")).otherwise(_fraction(ms))
-    return F.concat(_wall_clock(ms), fraction, F.lit("Z"))
+    """Epoch milliseconds as UTC text, the fraction only when it is not zero."""
+    return F.regexp_replace(iso_millis(ms), r"\.000Z$", "Z")
 
 
 def document_time(seconds: Column, increment: Column, unit: str = "raw") -> Column:

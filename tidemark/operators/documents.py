@@ -76,45 +76,56 @@ def normalize(
     fields: Mapping[str, str],
     keep: Sequence[str] = (),
     time_unit: str = "raw",
+    rewrite: bool = True,
 ) -> DataFrame:
     """Typed columns for the declared top-level ``fields``; all other fields are left out.
 
     ``fields`` maps names to string, number, integer, boolean, object or array (or a Spark numeric type). Objects
     and arrays become variants with everything inside kept; a value that is no array becomes the only element
-    of a declared array. A name with the text suffix asks for that field as text.
+    of a declared array. A name with the text suffix asks for that field as text. ``rewrite=False`` leaves nested
+    values as they are, for documents that are known to hold no wrappers inside; no Python runs then.
     """
     names = [name.removesuffix(TEXT_SUFFIX) for name in fields]
+    declared = list(fields.values())
     at = range(len(names))
-    parsed = df.select(*keep, F.parse_json(document).alias("_v"))
-    paths = [F.variant_get("_v", _path(name), "variant").alias(f"_f{i}") for i, name in zip(at, names)]
-    values = parsed.select(*keep, *paths)
-    kinds = values.select("*", *[extjson.type_name(F.col(f"_f{i}")).alias(f"_k{i}") for i in at])
-    # Only these may show a nested value; they share one Python call per row batch.
-    nested = [i for i, kind in zip(at, fields.values()) if kind in ("string", "object", "array")]
-    plain = dict(zip(nested, extjson.as_plain_all([F.col(f"_f{i}") for i in nested], time_unit))) if nested else {}
-    final = kinds.select("*", *[plain[i].alias(f"_p{i}") for i in nested])
-    columns = [
-        _column(F.col(f"_f{i}"), F.col(f"_k{i}"), F.col(f"_p{i}") if i in plain else None, kind, name, time_unit)
-        for i, (name, kind) in zip(at, fields.items())
-    ]
-    return final.select(*keep, *columns)
+    text = [i for i in at if declared[i] == "string"]
+    nested = [i for i in at if declared[i] in ("object", "array")]
+
+    def columns(prefix: str, which: Sequence[int], make) -> list[Column]:
+        return [make(i).alias(f"{prefix}{i}") for i in which]
+
+    # Each step is a projection of its own, so that no later expression repeats an earlier one.
+    rows = df.select(*keep, F.parse_json(document).alias("_v"))
+    rows = rows.select(*keep, *columns("_f", at, lambda i: F.variant_get("_v", _path(names[i]), "variant")))
+    shaped = [*text, *nested]
+    rows = rows.select("*", *columns("_s", shaped, lambda i: F.schema_of_variant(f"_f{i}")))
+    rows = rows.select("*", *columns("_k", shaped, lambda i: extjson.type_name(F.col(f"_f{i}"), F.col(f"_s{i}"))))
+    rows = rows.select("*", *columns("_m", text, lambda i: extjson.time_ms(F.col(f"_f{i}"), F.col(f"_k{i}"), time_unit)))
+    if shaped and rewrite:
+        needed = {i: ~F.col(f"_k{i}").isin(*extjson.NATIVE) for i in text}
+        plain = extjson.as_plain_all([(F.col(f"_f{i}"), needed.get(i)) for i in shaped], time_unit)
+    else:
+        plain = [F.col(f"_f{i}") for i in shaped]
+    rows = rows.select("*", *[column.alias(f"_p{i}") for i, column in zip(shaped, plain)])
 
+    def final(i: int, name: str) -> Column:
+        value, kind, plain = F.col(f"_f{i}"), F.col(f"_k{i}"), F.col(f"_p{i}")
+        if i in text:
+            column = extjson.as_text(value, kind, plain, F.col(f"_m{i}"))
+        elif i in nested:
+            kept = F.when(~kind.isin(*extjson.DROPPED), plain)
+            column = extjson.as_array(kept, kind == "array") if declared[i] == "array" else kept
+        elif declared[i] == "boolean":
+            column = extjson.as_boolean(value)
+        else:
+            column = extjson.as_number(value, NUMERIC.get(declared[i], declared[i]))
+        return column.alias(name)
 
-def _path(name: str) -> str:
-    return "$['" + name + "']" if "'" not in name else '$["' + name + '"]'
+    return rows.select(*keep, *[final(i, name) for i, name in enumerate(fields)])
 
 
-def _column(value: Column, kind: Column, plain: Column | None, declared: str, name: str, time_unit: str) -> Column:
-    if declared == "string":
-        column = extjson.as_text(value, kind, plain, time_unit)
-    elif declared == "boolean":
-        column = extjson.as_boolean(value)
-    elif declared in ("object", "array"):
-        shown = F.when(~kind.isin(*extjson.DROPPED), plain)
-        column = extjson.as_array(shown) if declared == "array" else shown
-    else:
-        column = extjson.as_number(value, NUMERIC.get(declared, declared))
-    return column.alias(name)
+def _path(name: str) -> str:
+    return "$['" + name + "']" if "'" not in name else '$["' + name + '"]'
 
 
 def pack(df: DataFrame, document: str, keep: Sequence[str] = (), time_unit: str = "raw") -> DataFrame:

@@ -93,16 +93,14 @@ def events_to_rows(
     With declared ``fields`` the rows are typed columns; without, ``_id`` and the packed document. Unknown
     operations fail the job; filter them out first with :func:`known_events` to set them aside instead.
     """
-    stamped = with_position(_images(events))
-    carried = list(dict.fromkeys([*keep, "position", "_gone", "source"]))
+    stamped = with_position(_images(events)).withColumn("_ms", F.col("source.ts_ms"))
+    carried = list(dict.fromkeys([*keep, "position", "_gone", "_ms"]))
     if fields is None:
         rows = pack(stamped, "_image", carried, time_unit)
     else:
         rows = normalize(stamped, "_image", fields, carried, time_unit)
-    at = iso_instant(F.col("source.ts_ms"))
-    stamps = {UPDATED_AT: at, DELETED_AT: F.when(F.col("_gone"), at)}
-    dropped = [name for name in ("_gone", "source") if name not in keep]
-    return rows.withColumns(stamps).drop(*dropped)
+    rows = rows.withColumn(UPDATED_AT, iso_instant(F.col("_ms")))
+    return rows.withColumn(DELETED_AT, F.when(F.col("_gone"), F.col(UPDATED_AT))).drop("_gone", "_ms")
 
 
 def known_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from tidemark.names import DELETED_AT
 from tidemark.operators.joins import fits_broadcast, keep_keys, lookup
 from tidemark.operators.ranges import max_key
 from tidemark.operators.snapshot import Read, next_cursor
+from tidemark.session import settle
 
 
 def max_cursor(df: DataFrame, cursor: str, cutoff: Any = None) -> Any:
@@ -98,7 +99,7 @@ def change_increment(
     key columns. ``next_version`` is the version captured before the read, and becomes the new state.
     The current table is first reduced to the changed keys: when these are few, it is not shuffled at all.
     """
-    net = net_changes(changes, keys, since, version=version, operation=operation)
+    net = settle(net_changes(changes, keys, since, version=version, operation=operation))
     few = fits_broadcast(net.select(*keys)) if few_changes is None else few_changes
     columns = list(dict.fromkeys([*keys, *fields]))
     known = current.select(*columns)
@@ -119,7 +120,7 @@ def current_images(
     documents are reduced to the touched ones and joined by :func:`lookup`.
     """
     updates = F.col("op") == "u"
-    touched = events.where(updates).select(*on).distinct()
+    touched = settle(events.where(updates).select(*on).distinct())
     few = fits_broadcast(touched)
     docs = current.select(*on, F.col(document).alias("_current"))
     docs = keep_keys(docs, touched, on, small=few)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.names import DELETED_AT
 from tidemark.operators.joins import drop_keys, fits_broadcast
+from tidemark.session import settle
 
 
 def latest_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -34,9 +35,9 @@ def apply_changes(
     """The target after the changes: changed keys take their last change, all other rows stay.
 
     Deleted keys stay with their delete time, or go away when ``hard``. Applying the same changes again gives
-    the same table. The target is only filtered when the changed keys are few; its rows are never sorted.
+    the same table. When the changed keys are few, the target is only filtered, without a shuffle.
     """
-    last = latest_per_key(changes, keys, order)
+    last = settle(latest_per_key(changes, keys, order))
     kept = drop_keys(target, last, keys, small=fits_broadcast(last.select(*keys)))
     alive = last.where(F.col(deleted).isNull()) if hard else last
     return kept.unionByName(alive.select(*target.columns))
