@@ -39,6 +39,22 @@ WRAPPERS = {
     "dbPointer": "dbPointer",
 }
 
+# The start of a shape that tells the type.
+KIND = r"^(OBJECT<`[$]code`: STRING, `[$]scope`|OBJECT<`[$][A-Za-z]+`|[A-Z]+)"
+
+# First word of a plain value's shape -> type name; whole numbers that fit are int.
+PLAIN = {
+    "VOID": "null",
+    "BOOLEAN": "boolean",
+    "STRING": "string",
+    "BIGINT": "long",
+    "DECIMAL": "double",
+    "DOUBLE": "double",
+    "FLOAT": "double",
+    "ARRAY": "array",
+    "OBJECT": "object",
+}
+
 # Type name -> discovered JSON type; every other name is a string.
 JSON_TYPES = {
     "boolean": "boolean",
@@ -52,11 +68,8 @@ JSON_TYPES = {
     "null": "null",
 }
 
-# Wrapper key of a value in its shape.
-WRAPPED = r"^OBJECT<`[$]([A-Za-z]+)`"
-
-# Types with a native reading as text; the others go through the rewrite when they hold wrappers.
-NATIVE = ("string", "boolean", "int", "long", "double", "decimal", "objectId", "date", "timestamp", "null")
+# Types that are read as text without the rewrite.
+NATIVE = ("string", "boolean", "long", "double", "decimal", "int", "objectId", "date", "timestamp", "null")
 
 # Values of these types are left out of the output.
 DROPPED = ("minKey", "maxKey", "undefined", "dbPointer")
@@ -70,25 +83,24 @@ def get(value: Column, path: str, data_type: str = "string") -> Column:
     return F.try_variant_get(value, path, data_type)
 
 
-def type_name(value: Column, shape: Column | None = None) -> Column:
-    """Type name of a field value; null when the field is missing.
+def kind_of(value: Column) -> Column:
+    """Type name of a value, all whole numbers as long; null when the field is missing.
 
-    ``shape`` is the value's ``schema_of_variant``, where the caller has it already.
+    The start of the value's shape tells: its first word, and for objects the wrapper key.
     """
-    shape = F.schema_of_variant(value) if shape is None else shape
-    tag = F.regexp_extract(shape, WRAPPED, 1)
-    small = get(value, "$", "bigint").between(-(1 << 31), (1 << 31) - 1)
-    return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(shape == "VOID", F.lit("null"))
-        .when(shape == "BOOLEAN", F.lit("boolean"))
-        .when(shape == "STRING", F.lit("string"))
-        .when(shape == "BIGINT", F.when(small, F.lit("int")).otherwise(F.lit("long")))
-        .when(shape.startswith("ARRAY"), F.lit("array"))
-        .when(shape.rlike(r"^OBJECT<`\$code`: [^,]*, `\$scope`"), F.lit("javascriptWithScope"))
-        .when(shape.startswith("OBJECT"), F.coalesce(_map(WRAPPERS)[tag], F.lit("object")))
-        .otherwise(F.lit("double"))
-    )
+    start = F.regexp_extract(F.schema_of_variant(value), KIND, 1)
+    names = {
+        **PLAIN,
+        **{f"OBJECT<`${key}`": name for key, name in WRAPPERS.items()},
+        "OBJECT<`$code`: STRING, `$scope`": "javascriptWithScope",
+    }
+    return F.when(value.isNotNull(), F.coalesce(_map(names)[start], F.lit("object")))
+
+
+def type_name(value: Column) -> Column:
+    """Type name of a field value as the source database calls it; null when the field is missing."""
+    kind = kind_of(value)
+    return F.when((kind == "long") & get(value, "$", "int").isNotNull(), F.lit("int")).otherwise(kind)
 
 
 def json_type(name: Column) -> Column:
@@ -105,20 +117,18 @@ def epoch_ms(value: Column) -> Column:
     )
 
 
-def time_ms(value: Column, kind: Column, time_unit: str = "raw") -> Column:
+def time_ms(value: Column, time_unit: str = "raw") -> Column:
     """Epoch milliseconds of dates and internal times, null for all other values."""
     ticks = document_time(get(value, "$.$timestamp.t", "bigint"), get(value, "$.$timestamp.i", "bigint"), time_unit)
-    return F.when(kind == "date", epoch_ms(value)).when(kind == "timestamp", ticks)
+    return F.coalesce(epoch_ms(value), ticks)
 
 
-def as_text(value: Column, kind: Column, plain: Column, ms: Column) -> Column:
-    """String form of a top-level value from its type name, its wrapper-free form and its milliseconds."""
-    return (
-        F.when(kind == "objectId", get(value, "$.$oid"))
-        .when(kind.isin("date", "timestamp"), iso_millis(ms))
-        .when(kind.isin("int", "long", "double", "decimal"), F.coalesce(number_text(value), get(value, "$")))
-        .when(~kind.isin(*DROPPED), get(plain, "$"))
-    )
+def as_text(value: Column, plain: Column, ms: Column) -> Column:
+    """String form of a top-level value, given also its wrapper-free form and its milliseconds.
+
+    At most one of the wrapped readings is not null; all other values show their wrapper-free form.
+    """
+    return F.coalesce(get(value, "$.$oid"), iso_millis(ms), number_text(value), get(plain, "$"))
 
 
 def number_text(value: Column) -> Column:

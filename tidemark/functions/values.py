@@ -15,23 +15,20 @@ def _div(number: Column, by: int) -> Column:
     return F.call_function("div", number - F.pmod(number, divisor), divisor)
 
 
-def _utc_text(ms: Column) -> Column:
-    """``yyyy-MM-ddTHH:mm:ss.SSSZ`` of 1970 to 2369; a time without zone keeps the session's zone out."""
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    return F.date_format(F.timestamp_add("MILLISECOND", ms, epoch), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+def utc_text(ms: Column) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss.SSSZ`` of milliseconds within the first 400 years from 1970."""
+    # A time without zone keeps the session's zone out, and one microsecond more makes it show its fraction.
+    micros = F.pmod(ms, F.lit(CYCLE_MS)) * 1000 + 1
+    moment = F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
+    return F.concat(F.translate(F.substring(moment.cast("string"), 1, 23), " ", "T"), F.lit("Z"))
 
 
 def iso_millis(ms: Column) -> Column:
-    """Epoch milliseconds as UTC text, always with three fraction digits; years past 9999 carry a plus.
-
-    ``ms`` is repeated in the expression: pass a column that is computed already where it is costly.
-    """
+    """Epoch milliseconds as UTC text, always with three fraction digits; years past 9999 carry a plus."""
     ms = ms.cast("bigint")
-    near = _utc_text(F.pmod(ms, F.lit(CYCLE_MS)))
-    year = F.substring(near, 1, 4).cast("bigint") + _div(ms, CYCLE_MS) * 400
-    shown = F.when(year > 9999, F.concat(F.lit("+"), year.cast("string"))).otherwise(F.lpad(year.cast("string"), 4, "0"))
-    far = F.concat(shown, F.substring(near, 5, 20))
-    return F.when(ms.between(0, CYCLE_MS - 1), near).otherwise(far)
+    year = F.substring(utc_text(ms), 1, 4).cast("bigint") + _div(ms, CYCLE_MS) * 400
+    shown = F.regexp_replace(F.format_string("%04d", year), r"^(\d{5,})$", "+$1")
+    return F.concat(shown, F.substring(utc_text(ms), 5, 20))
 
 
 def iso_instant(ms: Column) -> Column:

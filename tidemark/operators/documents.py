@@ -98,20 +98,22 @@ def normalize(
     rows = df.select(*keep, F.parse_json(document).alias("_v"))
     rows = rows.select(*keep, *columns("_f", at, lambda i: F.variant_get("_v", _path(names[i]), "variant")))
     shaped = [*text, *nested]
-    rows = rows.select("*", *columns("_s", shaped, lambda i: F.schema_of_variant(f"_f{i}")))
-    rows = rows.select("*", *columns("_k", shaped, lambda i: extjson.type_name(F.col(f"_f{i}"), F.col(f"_s{i}"))))
-    rows = rows.select("*", *columns("_m", text, lambda i: extjson.time_ms(F.col(f"_f{i}"), F.col(f"_k{i}"), time_unit)))
+    rows = rows.select(
+        "*",
+        *columns("_k", shaped, lambda i: extjson.kind_of(F.col(f"_f{i}"))),
+        *columns("_m", text, lambda i: extjson.time_ms(F.col(f"_f{i}"), time_unit)),
+    )
+    needed = {i: ~F.col(f"_k{i}").isin(*extjson.NATIVE) for i in text}
     if shaped and rewrite:
-        needed = {i: ~F.col(f"_k{i}").isin(*extjson.NATIVE) for i in text}
         plain = extjson.as_plain_all([(F.col(f"_f{i}"), needed.get(i)) for i in shaped], time_unit)
     else:
-        plain = [F.col(f"_f{i}") for i in shaped]
+        plain = [F.when(~F.col(f"_k{i}").isin(*extjson.DROPPED), F.col(f"_f{i}")) for i in shaped]
     rows = rows.select("*", *[column.alias(f"_p{i}") for i, column in zip(shaped, plain)])
 
     def final(i: int, name: str) -> Column:
         value, kind, plain = F.col(f"_f{i}"), F.col(f"_k{i}"), F.col(f"_p{i}")
         if i in text:
-            column = extjson.as_text(value, kind, plain, F.col(f"_m{i}"))
+            column = extjson.as_text(value, plain, F.col(f"_m{i}"))
         elif i in nested:
             kept = F.when(~kind.isin(*extjson.DROPPED), plain)
             column = extjson.as_array(kept, kind == "array") if declared[i] == "array" else kept

@@ -35,8 +35,10 @@ def split_points(
     Only the key columns are read, and only the sample, some tuples per range, reaches the driver.
     """
     size = max(sample or SPLIT_SAMPLE, 16 * ranges)
-    picked = df.select(*keys).dropna().orderBy(F.rand(seed)).limit(size).collect()
-    ordered = sorted(tuple(row) for row in picked)
+    picked = df.select(*keys).orderBy(F.rand(seed)).limit(size).collect()
+    # Rows without a key stay in the first range. They are left out here rather than by a filter, which would
+    # be pushed through the projections below and repeat what the keys are computed from.
+    ordered = sorted(tuple(row) for row in picked if None not in row)
     cuts = (ordered[len(ordered) * i // ranges] for i in range(1, ranges)) if ordered else ()
     return sorted(set(cuts))
 
