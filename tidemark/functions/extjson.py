@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import document_time, iso_millis
+from tidemark.functions.values import CYCLE_MS, document_time, iso_millis
 
 # Wrapper key -> type name of the value, as the source database names it.
 WRAPPERS = {
@@ -39,9 +39,6 @@ WRAPPERS = {
     "dbPointer": "dbPointer",
 }
 
-# The start of a shape that tells the type.
-KIND = r"^(OBJECT<`[$]code`: STRING, `[$]scope`|OBJECT<`[$][A-Za-z]+`|[A-Z]+)"
-
 # First word of a plain value's shape -> type name; whole numbers that fit are int.
 PLAIN = {
     "VOID": "null",
@@ -68,12 +65,23 @@ JSON_TYPES = {
     "null": "null",
 }
 
-# Types that are read as text without the rewrite.
-NATIVE = ("string", "boolean", "long", "double", "decimal", "int", "objectId", "date", "timestamp", "null")
-
 # Values of these types are left out of the output.
 DROPPED = ("minKey", "maxKey", "undefined", "dbPointer")
 
+NUMBERS = ("int", "long", "double", "decimal")
+TIMES = ("date", "timestamp")
+
+# Types that are read as text without the rewrite.
+NATIVE = ("string", "boolean", "objectId", "null", *NUMBERS, *TIMES, *DROPPED)
+
+# The start of a shape that tells the type.
+START = r"^(OBJECT<`[$]code`: STRING, `[$]scope`|OBJECT<`[$][A-Za-z]+`|[A-Z]+)"
+KINDS = {
+    **PLAIN,
+    **{f"OBJECT<`${key}`": name for key, name in WRAPPERS.items()},
+    "OBJECT<`$code`: STRING, `$scope`": "javascriptWithScope",
+}
+
 
 def _map(entries: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(part) for pair in entries.items() for part in pair])
@@ -83,18 +91,13 @@ def get(value: Column, path: str, data_type: str = "string") -> Column:
     return F.try_variant_get(value, path, data_type)
 
 
-def kind_of(value: Column) -> Column:
-    """Type name of a value, all whole numbers as long; null when the field is missing.
+def _start(value: Column) -> Column:
+    return F.regexp_extract(F.schema_of_variant(value), START, 1)
 
-    The start of the value's shape tells: its first word, and for objects the wrapper key.
-    """
-    start = F.regexp_extract(F.schema_of_variant(value), KIND, 1)
-    names = {
-        **PLAIN,
-        **{f"OBJECT<`${key}`": name for key, name in WRAPPERS.items()},
-        "OBJECT<`$code`: STRING, `$scope`": "javascriptWithScope",
-    }
-    return F.when(value.isNotNull(), F.coalesce(_map(names)[start], F.lit("object")))
+
+def kind_of(value: Column) -> Column:
+    """Type name of a value, plain whole numbers as long; null when the field is missing."""
+    return F.when(value.isNotNull(), F.coalesce(_map(KINDS)[_start(value)], F.lit("object")))
 
 
 def type_name(value: Column) -> Column:
@@ -103,7 +106,13 @@ def type_name(value: Column) -> Column:
     return F.when((kind == "long") & get(value, "$", "int").isNotNull(), F.lit("int")).otherwise(kind)
 
 
-def json_type(name: Column) -> Column:
+def json_type(value: Column) -> Column:
+    """Discovered JSON type of a field value; null when the field is missing."""
+    types = {start: JSON_TYPES.get(kind, "string") for start, kind in KINDS.items()}
+    return F.when(value.isNotNull(), F.coalesce(_map(types)[_start(value)], F.lit("object")))
+
+
+def json_type_of_name(name: Column) -> Column:
     return F.when(name.isNotNull(), F.coalesce(_map(JSON_TYPES)[name], F.lit("string")))
 
 
@@ -117,18 +126,10 @@ def epoch_ms(value: Column) -> Column:
     )
 
 
-def time_ms(value: Column, time_unit: str = "raw") -> Column:
+def time_ms(value: Column, kind: Column, time_unit: str = "raw") -> Column:
     """Epoch milliseconds of dates and internal times, null for all other values."""
     ticks = document_time(get(value, "$.$timestamp.t", "bigint"), get(value, "$.$timestamp.i", "bigint"), time_unit)
-    return F.coalesce(epoch_ms(value), ticks)
-
-
-def as_text(value: Column, plain: Column, ms: Column) -> Column:
-    """String form of a top-level value, given also its wrapper-free form and its milliseconds.
-
-    At most one of the wrapped readings is not null; all other values show their wrapper-free form.
-    """
-    return F.coalesce(get(value, "$.$oid"), iso_millis(ms), number_text(value), get(plain, "$"))
+    return F.when(kind == "date", epoch_ms(value)).when(kind == "timestamp", ticks)
 
 
 def number_text(value: Column) -> Column:
@@ -140,6 +141,17 @@ def number_text(value: Column) -> Column:
     )
 
 
+def as_text(value: Column, kind: Column, ms: Column, plain: Column) -> Column:
+    """String form of a top-level value from its type name, its milliseconds and its wrapper-free form."""
+    return (
+        F.when(kind == "string", get(value, "$"))
+        .when(kind == "objectId", get(value, "$.$oid"))
+        .when(kind.isin(*TIMES), iso_millis(ms))
+        .when(kind.isin(*NUMBERS), F.coalesce(number_text(value), get(value, "$")))
+        .when(~kind.isin(*DROPPED), get(plain, "$"))
+    )
+
+
 def as_number(value: Column, data_type: str = "double") -> Column:
     """Numeric value of a plain or wrapped number; text that holds a number counts, other values are null."""
     return F.coalesce(get(value, "$", data_type), number_text(value).try_cast(data_type))
@@ -149,112 +161,86 @@ def as_boolean(value: Column) -> Column:
     return get(value, "$", "boolean")
 
 
-def as_plain(value: Column, time_unit: str = "raw") -> Column:
-    """The value as a variant without wrappers, at any depth."""
-    return as_plain_all([(value, None)], time_unit)[0]
-
+def as_array(value: Column, text: Column) -> Column:
+    """Arrays as they are; any other value, also null, becomes the only element of an array.
 
-def as_plain_all(values: list[tuple[Column, Column | None]], time_unit: str = "raw") -> list[Column]:
-    """Several values as variants without wrappers, with one Python call for all of them.
-
-    Only texts that may hold a wrapper are sent to Python; all others travel as null. A value may come with a
-    condition under which it is needed.
+    ``text`` is the value's JSON before the rewrite, which keeps arrays arrays.
     """
-    asked = []
-    for value, needed in values:
-        text = F.to_json(value)
-        wrapped = text.contains('{"$')
-        asked.append(F.when(wrapped if needed is None else needed & wrapped, text))
-    rewritten = _plain_udf(time_unit)(F.when(F.coalesce(*asked).isNotNull(), F.array(*asked)))
-    return [F.coalesce(F.parse_json(rewritten[at]), value) for at, (value, _) in enumerate(values)]
-
-
-def as_array(value: Column, is_array: Column) -> Column:
-    """Arrays as they are; any other value, also null, becomes the only element of an array."""
     wrapped = F.parse_json(F.concat(F.lit("["), F.to_json(value), F.lit("]")))
-    return F.when(value.isNull() | is_array, value).otherwise(wrapped)
+    return F.when(value.isNull() | text.startswith("["), value).otherwise(wrapped)
 
 
-def _plain_udf(time_unit: str):
-    def rewrite(texts: list[str | None]) -> list[str | None]:
-        return [None if text is None else plain_text(text, time_unit) for text in texts]
+def plain_texts(texts: Column, time_unit: str = "raw") -> Column:
+    """JSON texts with every wrapper inside replaced by its plain value; null stays null."""
 
-    @F.pandas_udf("array<string>")
-    def plain(rows: pd.Series) -> pd.Series:
-        return rows.map(rewrite, na_action="ignore")
+    @F.pandas_udf("string")
+    def plain(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda text: plain_text(text, time_unit), na_action="ignore")
 
-    return plain
+    return plain(texts)
 
 
-class _Drop:
-    """Marks a value that has no output form."""
+class _Dropped:
+    """Marks a value that has no output form: left out of objects, null in arrays."""
 
 
 def plain_text(text: str, time_unit: str = "raw") -> str:
-    value = _plain(json.loads(text), time_unit)
-    return json.dumps(None if value is _Drop else value, ensure_ascii=False, separators=(",", ":"))
-
-
-def _plain(value: Any, unit: str) -> Any:
-    if isinstance(value, list):
-        items = (_plain(item, unit) for item in value)
-        return [None if item is _Drop else item for item in items]
-    if not isinstance(value, dict):
+    # The hook sees inner objects before outer ones. Text after the value is ignored, as when Spark parses it.
+    decoder = json.JSONDecoder(object_hook=lambda fields: _plain(fields, time_unit))
+    value, _ = decoder.raw_decode(text.lstrip())
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), default=lambda _: None)
+
+
+def _plain(fields: dict[str, Any], unit: str) -> Any:
+    tag = next((key[1:] for key in fields if key[:1] == "$"), None)
+    if tag is None or not (tag in WRAPPERS or tag in ("scope", "options")):
+        if _Dropped in fields.values():
+            return {name: value for name, value in fields.items() if value is not _Dropped}
+        return fields
+    inner = fields.get("$" + tag)
+    match tag:
+        case "numberInt" | "numberLong":
+            return int(inner)
+        case "numberDouble" | "numberDecimal":
+            number = float(inner)
+            return number if number - number == 0 else str(inner)
+        case "date":
+            return _iso(_date_ms(inner))
+        case "timestamp":
+            return _iso(inner["t"] * 1000 if unit == "seconds" else (inner["t"] << 32) + inner["i"])
+        case "binary":
+            return inner["base64"] if isinstance(inner, dict) else inner
+        case "uuid":
+            return base64.b64encode(bytes.fromhex(inner.replace("-", ""))).decode()
+        case "regularExpression":
+            return _pattern(inner["pattern"], inner.get("options", ""))
+        case "regex" | "options":
+            return _pattern(fields["$regex"], fields.get("$options", ""))
+        case "code" | "scope":
+            if "$scope" not in fields:
+                return inner
+            # Of the scope, only a field of that very name is kept.
+            scope = fields["$scope"]
+            return {"code": fields["$code"], "scope": {name: scope[name] for name in ("scope",) if name in scope}}
+        case _:
+            return _Dropped if WRAPPERS[tag] in DROPPED else inner
+
+
+def _pattern(pattern: str, options: str) -> str:
+    return f"({options}){pattern}" if options.strip() else pattern
+
+
+def _date_ms(value: int | str) -> int:
+    if isinstance(value, int):
         return value
-    tag = next((key for key in value if key[:1] == "$"), "$")[1:]
-    if tag in ("scope", "options"):
-        tag = {"scope": "code", "options": "regex"}[tag]
-    if tag not in WRAPPERS:
-        fields = ((name, _plain(item, unit)) for name, item in value.items())
-        return {name: item for name, item in fields if item is not _Drop}
-    inner = value.get("$" + tag)
-    if WRAPPERS[tag] in DROPPED:
-        return _Drop
-    if tag in ("numberInt", "numberLong"):
-        return int(inner)
-    if tag in ("numberDouble", "numberDecimal"):
-        number = float(inner)
-        return number if number - number == 0 else str(inner)
-    if tag == "date":
-        return _iso(_date_ms(inner))
-    if tag == "timestamp":
-        seconds, increment = _whole(inner["t"]), _whole(inner["i"])
-        return _iso(seconds * 1000 if unit == "seconds" else (seconds << 32) + increment)
-    if tag == "binary":
-        return inner["base64"] if isinstance(inner, dict) else inner
-    if tag == "uuid":
-        return base64.b64encode(bytes.fromhex(inner.replace("-", ""))).decode()
-    if tag in ("regularExpression", "regex"):
-        pattern, options = (
-            (inner["pattern"], inner.get("options", "")) if isinstance(inner, dict) else (inner, value.get("$options", ""))
-        )
-        return f"({options}){pattern}" if options.strip() else pattern
-    if tag == "code" and "$scope" in value:
-        # Of the scope, only a field of that very name is kept.
-        scope = value["$scope"]
-        kept = {"scope": _plain(scope["scope"], unit)} if "scope" in scope else {}
-        return {"code": inner, "scope": kept}
-    return inner
-
-
-def _whole(value: Any) -> int:
-    return int(value["$numberLong"]) if isinstance(value, dict) else int(value)
-
-
-def _date_ms(value: Any) -> int:
-    if isinstance(value, str):
-        moment = dt.datetime.fromisoformat(value)
-        moment = moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
-        return (moment - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(milliseconds=1)
-    return _whole(value)
+    moment = dt.datetime.fromisoformat(value)
+    moment = moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
+    return (moment - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(milliseconds=1)
 
 
 def _iso(ms: int) -> str:
     # Years repeat in cycles of 400, so that times past the year 9999 can be shown too.
-    days, rest = divmod(ms, 86_400_000)
-    cycles, day = divmod(days, 146_097)
-    # Cycles are counted from 1970, where the first one runs to 2369.
-    moment = dt.datetime(1970, 1, 1) + dt.timedelta(days=day, milliseconds=rest)
+    cycles, rest = divmod(ms, CYCLE_MS)
+    moment = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=rest)
     year = moment.year + 400 * cycles
-    shown = f"+{year}" if year > 9999 else f"{year:04d}"
-    return shown + moment.strftime("-%m-%dT%H:%M:%S.") + f"{moment.microsecond // 1000:03d}Z"
+    return (f"+{year}" if year > 9999 else f"{year:04d}") + moment.isoformat(timespec="milliseconds")[4:] + "Z"

@@ -26,9 +26,10 @@ def utc_text(ms: Column) -> Column:
 def iso_millis(ms: Column) -> Column:
     """Epoch milliseconds as UTC text, always with three fraction digits; years past 9999 carry a plus."""
     ms = ms.cast("bigint")
-    year = F.substring(utc_text(ms), 1, 4).cast("bigint") + _div(ms, CYCLE_MS) * 400
-    shown = F.regexp_replace(F.format_string("%04d", year), r"^(\d{5,})$", "+$1")
-    return F.concat(shown, F.substring(utc_text(ms), 5, 20))
+    near = utc_text(ms)
+    year = F.format_string("%04d", F.substring(near, 1, 4).cast("bigint") + _div(ms, CYCLE_MS) * 400)
+    far = F.concat(F.regexp_replace(year, r"^(\d{5,})$", "+$1"), F.substring(near, 5, 20))
+    return F.when(ms.between(0, CYCLE_MS - 1), near).otherwise(far)
 
 
 def iso_instant(ms: Column) -> Column:

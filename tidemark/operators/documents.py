@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import extjson
 from tidemark.names import DOCUMENT_ID, ID_TYPES, PACKED, TEXT_SUFFIX
 
+# JSON texts of the values that have no output form.
+NO_VALUE = r'^\{"[$](minKey|maxKey|undefined|dbPointer)"'
+
 # Declared JSON type -> column type; other declared types are taken as Spark numeric types.
 NUMERIC = {"number": "double", "integer": "bigint"}
 
 
-def field_types(df: DataFrame, document: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row per top-level field of every document: (by…, field, type name)."""
-    exploded = df.select(*by, F.parse_json(document).alias("_v")).lateralJoin(
-        df.sparkSession.tvf.variant_explode(F.col("_v").outer())
-    )
-    return exploded.select(*by, F.col("key").alias("field"), extjson.type_name(F.col("value")).alias("bson_type"))
+def _top_fields(df: DataFrame, document: str, by: Sequence[str]) -> DataFrame:
+    """One row per top-level field of every document: (by…, key, value)."""
+    fields = df.sparkSession.tvf.variant_explode(F.col("_v").outer())
+    return df.select(*by, F.parse_json(document).alias("_v")).lateralJoin(fields)
 
 
 def discover_schema(df: DataFrame, document: str, by: Sequence[str] = ()) -> DataFrame:
@@ -28,12 +31,10 @@ def discover_schema(df: DataFrame, document: str, by: Sequence[str] = ()) -> Dat
     A field seen with several types gets the most frequent one, the first by name among equals. Field names are
     few, so counting inside map tasks leaves only small groups to shuffle.
     """
-    types = field_types(df, document, by)
-    counted = (
-        types.withColumn("type", extjson.json_type(F.col("bson_type")))
-        .groupBy(*by, "field", "type")
-        .agg(F.count("*").alias("documents"))
+    typed = _top_fields(df, document, by).select(
+        *by, F.col("key").alias("field"), extjson.json_type(F.col("value")).alias("type")
     )
+    counted = typed.groupBy(*by, "field", "type").agg(F.count("*").alias("documents"))
     best = F.min(F.struct(-F.col("documents"), "type"))
     return counted.groupBy(*by, "field").agg(
         best["type"].alias("type"),
@@ -47,13 +48,19 @@ def sample_documents(df: DataFrame, size: int, seed: int = 7) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(size)
 
 
+def _fields(document: str, names: Sequence[str]) -> Column:
+    """The named top-level fields as variants; only these are kept while parsing, and bad JSON is an error."""
+    schema = T.StructType([T.StructField(name, T.VariantType()) for name in names])
+    return F.from_json(document, schema, {"mode": "FAILFAST"})
+
+
 def id_type(document: str) -> Column:
-    return extjson.type_name(F.variant_get(F.parse_json(document), "$._id", "variant"))
+    return extjson.type_name(_fields(document, [DOCUMENT_ID])[DOCUMENT_ID])
 
 
 def discover_packed(df: DataFrame, document: str, by: Sequence[str] = ()) -> DataFrame:
     """Schemaless discovery: only ``_id`` and its type, taken from one document; no documents, no rows."""
-    kind = extjson.json_type(id_type(document))
+    kind = extjson.json_type(_fields(document, [DOCUMENT_ID])[DOCUMENT_ID])
     if by:
         return df.groupBy(*by).agg(F.lit(DOCUMENT_ID).alias("field"), F.first(kind).alias("type"))
     return df.limit(1).select(F.lit(DOCUMENT_ID).alias("field"), kind.alias("type"))
@@ -95,28 +102,27 @@ def normalize(
         return [make(i).alias(f"{prefix}{i}") for i in which]
 
     # Each step is a projection of its own, so that no later expression repeats an earlier one.
-    rows = df.select(*keep, F.parse_json(document).alias("_v"))
-    rows = rows.select(*keep, *columns("_f", at, lambda i: F.variant_get("_v", _path(names[i]), "variant")))
-    shaped = [*text, *nested]
+    rows = df.select(*keep, _fields(document, list(dict.fromkeys(names))).alias("_v"))
+    rows = rows.select(*keep, *columns("_f", at, lambda i: F.col("_v")[names[i]]))
+    rows = rows.select("*", *columns("_k", text, lambda i: extjson.kind_of(F.col(f"_f{i}"))))
+    foreign = {i: ~F.col(f"_k{i}").isin(*extjson.NATIVE) for i in text}
     rows = rows.select(
         "*",
-        *columns("_k", shaped, lambda i: extjson.kind_of(F.col(f"_f{i}"))),
-        *columns("_m", text, lambda i: extjson.time_ms(F.col(f"_f{i}"), time_unit)),
+        *columns("_m", text, lambda i: extjson.time_ms(F.col(f"_f{i}"), F.col(f"_k{i}"), time_unit)),
+        *columns("_j", text, lambda i: F.when(foreign[i], F.to_json(F.col(f"_f{i}")))),
+        *columns("_j", nested, lambda i: F.to_json(F.col(f"_f{i}"))),
     )
-    needed = {i: ~F.col(f"_k{i}").isin(*extjson.NATIVE) for i in text}
-    if shaped and rewrite:
-        plain = extjson.as_plain_all([(F.col(f"_f{i}"), needed.get(i)) for i in shaped], time_unit)
-    else:
-        plain = [F.when(~F.col(f"_k{i}").isin(*extjson.DROPPED), F.col(f"_f{i}")) for i in shaped]
-    rows = rows.select("*", *[column.alias(f"_p{i}") for i, column in zip(shaped, plain)])
+    plain = {i: F.col(f"_f{i}") for i in [*text, *nested]}
+    if rewrite and plain:
+        rows, plain = _rewritten(rows, plain, time_unit)
 
     def final(i: int, name: str) -> Column:
-        value, kind, plain = F.col(f"_f{i}"), F.col(f"_k{i}"), F.col(f"_p{i}")
+        value, json = F.col(f"_f{i}"), F.col(f"_j{i}")
         if i in text:
-            column = extjson.as_text(value, plain, F.col(f"_m{i}"))
+            column = extjson.as_text(value, F.col(f"_k{i}"), F.col(f"_m{i}"), plain[i])
         elif i in nested:
-            kept = F.when(~kind.isin(*extjson.DROPPED), plain)
-            column = extjson.as_array(kept, kind == "array") if declared[i] == "array" else kept
+            kept = F.when(~json.rlike(NO_VALUE), plain[i])
+            column = extjson.as_array(kept, json) if declared[i] == "array" else kept
         elif declared[i] == "boolean":
             column = extjson.as_boolean(value)
         else:
@@ -126,12 +132,25 @@ def normalize(
     return rows.select(*keep, *[final(i, name) for i, name in enumerate(fields)])
 
 
-def _path(name: str) -> str:
-    return "$['" + name + "']" if "'" not in name else '$["' + name + '"]'
+def _rewritten(rows: DataFrame, plain: dict[int, Column], time_unit: str) -> tuple[DataFrame, dict[int, Column]]:
+    """Replaces values that may hold wrappers by their wrapper-free form.
+
+    Python gets one text per row, an array of these values; rows without any travel as null.
+    """
+    order = list(plain)
+    asked = {i: F.coalesce(F.col(f"_j{i}").contains('{"$'), F.lit(False)) for i in order}
+    parts = F.concat_ws(",", *[F.when(asked[i], F.col(f"_j{i}")).otherwise(F.lit("null")) for i in order])
+    some = functools.reduce(lambda a, b: a | b, asked.values())
+    text = F.when(some, F.concat(F.lit("["), parts, F.lit("]")))
+    rows = rows.select("*", extjson.plain_texts(text, time_unit).alias("_t"))
+    rows = rows.select("*", F.parse_json("_t").alias("_p")).drop("_t")
+    at = {i: F.variant_get("_p", f"$[{place}]", "variant") for place, i in enumerate(order)}
+    return rows, {i: F.when(asked[i], at[i]).otherwise(plain[i]) for i in order}
 
 
 def pack(df: DataFrame, document: str, keep: Sequence[str] = (), time_unit: str = "raw") -> DataFrame:
     """Schemaless form: ``_id`` as text and the whole document, with plain values, as one variant."""
-    plain = extjson.as_plain(F.col("_v"), time_unit)
-    packed = df.select(*keep, F.parse_json(document).alias("_v")).select(*keep, plain.alias(PACKED))
+    asked = F.when(F.col(document).contains('"$'), F.col(document))
+    plain = F.coalesce(extjson.plain_texts(asked, time_unit), F.col(document))
+    packed = df.select(*keep, plain.alias("_t")).select(*keep, F.parse_json("_t").alias(PACKED))
     return packed.select(*keep, F.try_variant_get(PACKED, "$._id", "string").alias(DOCUMENT_ID), PACKED)

@@ -32,3 +32,13 @@ def settle(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than cores, dealt out over all of them; other scans as they are.
+
+    For costly work per row on few or unsplittable files. ``df`` must be a plain scan, which is only counted
+    by its partitions here, and not run.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.events import ENVELOPE, parse_envelopes
+from tidemark.session import spread
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Exported documents, one JSON text per line."""
-    return spark.read.text(path).withColumnRenamed("value", "document")
+    """Exported documents, one JSON text per line; compressed files, which cannot be split, are dealt out."""
+    return spread(spark.read.text(path)).withColumnRenamed("value", "document")
 
 
 def read_events(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:

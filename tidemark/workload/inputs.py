@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import spread
+
 # Epoch milliseconds of a time without zone, independent of the session's zone.
 MS = (
     "unix_date(cast(ts as date)) * 86400000L + hour(ts) * 3600000L + minute(ts) * 60000L"
@@ -65,7 +67,7 @@ def envelopes(events: DataFrame) -> DataFrame:
 
 
 def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelopes(table(spark, sf_dir, "events"))
+    return envelopes(spread(table(spark, sf_dir, "events")))
 
 
 def streams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +120,7 @@ DOCUMENT_FIELDS = {
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    timed = table(spark, sf_dir, "events").selectExpr("*", f"{MS} as ms")
+    timed = spread(table(spark, sf_dir, "events")).selectExpr("*", f"{MS} as ms")
     return timed.selectExpr("event_id", "event_type", f"{DOCUMENT} as document")
 
 
