@@ -84,7 +84,7 @@ KINDS = {
 
 
 def _map(entries: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(part) for pair in entries.items() for part in pair])
+    return F.expr("map(" + ", ".join(f"'{key}', '{value}'" for key, value in entries.items()) + ")")
 
 
 def get(value: Column, path: str, data_type: str = "string") -> Column:
