@@ -18,7 +18,12 @@ TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def literal(value: Any, data_type: T.DataType) -> Column:
-    """A literal of the given type; times go through text so that no time zone is applied."""
+    """A literal of the given type; times go through text so that no time zone is applied.
+
+    Text for a binary column is base64, as stored bounds are.
+    """
+    if isinstance(value, str) and isinstance(data_type, T.BinaryType):
+        return F.unbase64(F.lit(value))
     if isinstance(value, (dt.date, dt.datetime)):
         value = value.isoformat()
     return F.lit(value).cast(data_type)

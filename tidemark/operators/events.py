@@ -103,6 +103,13 @@ def events_to_rows(
     return rows.withColumn(DELETED_AT, F.when(F.col("_gone"), F.col(UPDATED_AT))).drop("_gone", "_ms")
 
 
+def document_rows(documents: DataFrame, fields: Mapping[str, str] | None, time_unit: str = "raw") -> DataFrame:
+    """Rows of a collection snapshot, typed or packed like the rows of its change events."""
+    if fields is None:
+        return pack(documents, "document", time_unit=time_unit)
+    return normalize(documents, "document", fields, time_unit=time_unit)
+
+
 def known_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events with a known operation, and the others."""
     known = F.coalesce(F.col("op").isin(*UPSERTS, "d"), F.lit(False))

@@ -57,9 +57,9 @@ def snapshot_with_cursor(
     taken before the rows are read, so rows added meanwhile are read again later, never missed. A resumed
     snapshot gets the bound of its first start as ``upper`` for the same reason.
     """
-    visible = df.where(before(df, cursor, cutoff))
-    top = (upper,) if upper is not None else max_key(visible, [cursor])
-    rows = visible if not keys or lower is None else visible.where(key_after(df, keys, lower))
+    shown = visible(df, cursor, cutoff)
+    top = (upper,) if upper is not None else max_key(shown, [cursor])
+    rows = shown if not keys or lower is None else shown.where(key_after(df, keys, lower))
     columns = list(dict.fromkeys([*fields, *keys]))
     value = top and top[0]
     if keys:
@@ -67,6 +67,11 @@ def snapshot_with_cursor(
     return Read(rows.select(*columns), {"cursor_field": [cursor], "cursor": value})
 
 
+def visible(df: DataFrame, cursor: str, cutoff: Any) -> DataFrame:
+    """Rows below the cutoff; without one all rows, also those without a cursor."""
+    return df if cutoff is None else df.where(before(df, cursor, cutoff))
+
+
 def next_cursor(cutoff: Any, upper: Any, stored: Any) -> Any:
     """The smaller of cutoff and upper bound, else the upper bound, else the stored value."""
     if upper is None:

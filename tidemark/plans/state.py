@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import datetime as dt
 import json
 from collections.abc import Mapping, Sequence
@@ -48,6 +49,8 @@ def text(value: Any) -> str | None:
     """Stored form of a bound; reading casts it back to the column's type."""
     if value is None:
         return None
+    if isinstance(value, (bytes, bytearray)):
+        return base64.b64encode(value).decode()
     if isinstance(value, (dt.date, dt.datetime)):
         return value.isoformat()
     if isinstance(value, (list, tuple, dict)):

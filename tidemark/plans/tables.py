@@ -1,7 +1,7 @@
 """Next read of every table: one row per stream in, one read instruction per stream out.
 
 Input rows hold the stream's settings, its metadata and its stored state side by side, see the column lists of
-:func:`tracking_reads` and :func:`cursor_reads`. Join them first with :func:`with_metadata`.
+:func:`tracking_reads` and :func:`cursor_reads`. :func:`with_state` adds the stored part.
 """
 
 from __future__ import annotations
@@ -12,9 +12,19 @@ from pyspark.sql import functions as F
 STREAM = ["namespace", "stream"]
 
 
-def with_metadata(streams: DataFrame, metadata: DataFrame, state: DataFrame) -> DataFrame:
-    """Streams with what is known about their tables and where they stopped; both may be missing."""
-    return streams.join(metadata, STREAM, "left").join(state, STREAM, "left")
+def with_state(streams: DataFrame, latest: DataFrame) -> DataFrame:
+    """Streams with their latest rows of the state table, in the columns that the plans read."""
+    stored = latest.where(F.col("status").isNotNull()).select(
+        *STREAM,
+        F.lit("ok").alias("state"),
+        (F.col("status") == "completed").alias("completed"),
+        F.col("ct_version").alias("stored_version"),
+        F.element_at("key_name", 1).alias("stored_key_name"),
+        F.col("key").alias("stored_key"),
+        F.col("cursor_field").alias("stored_cursor_field"),
+        F.col("cursor").alias("stored_cursor"),
+    )
+    return streams.join(stored, STREAM, "left")
 
 
 def _yes(name: str) -> Column:
