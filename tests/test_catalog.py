@@ -1,0 +1,150 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.names import SYSTEM_SCHEMAS
+from tidemark.operators import catalog
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    found = [
+        ("dbo", "t", "TABLE"),
+        ("dbo", "v", "View"),
+        ("DBO", "u", None),
+        ("sys", "s", "TABLE"),
+        ("INFORMATION_SCHEMA", "x", "VIEW"),
+        ("dbo", "t", "TABLE"),
+    ]
+    return spark.createDataFrame(found, "namespace string, `table` string, type string")
+
+
+def test_system_schemas_are_skipped_unless_named(tables, rows):
+    assert rows(catalog.list_tables(tables)) == [("DBO", "u", "", False), ("dbo", "t", "TABLE", False), ("dbo", "v", "View", True)]
+    assert [r[0] for r in rows(catalog.list_tables(tables, ["sys"]))] == ["sys"]
+    assert {r[0] for r in rows(catalog.list_tables(tables, ["dbo"]))} == {"dbo", "DBO"}
+    assert len(SYSTEM_SCHEMAS) == 19
+
+
+def test_columns_of_known_tables_once_per_name(spark, tables, rows):
+    columns = spark.createDataFrame(
+        [("dbo", "t", "id", 1, "int"), ("dbo", "t", "p", None, "pseudo"), ("dbo", "t", "p", 2, "real"), ("dbo", "gone", "id", 1, "int")],
+        "namespace string, `table` string, `column` string, ordinal int, type_name string",
+    )
+    found = catalog.list_columns(columns, catalog.list_tables(tables))
+    assert rows(found) == [("dbo", "t", "id", 1, "int"), ("dbo", "t", "p", None, "pseudo")]
+
+
+def test_first_complete_primary_key(spark, tables, rows):
+    usage = spark.createDataFrame(
+        [
+            ("dbo", "t", "a_broken", None, "x"),
+            ("dbo", "t", "b_main", 2, "second"),
+            ("dbo", "t", "b_main", 1, "first"),
+            ("dbo", "t", "c_other", 1, "other"),
+            ("dbo", "v", "u_only", 1, "x"),
+            ("dbo", "gone", "g", 1, "x"),
+        ],
+        "namespace string, `table` string, `constraint` string, position int, `column` string",
+    )
+    kinds = spark.createDataFrame(
+        [("dbo", n, "UNIQUE" if n == "u_only" else "PRIMARY KEY") for n in ("a_broken", "b_main", "c_other", "u_only", "g")],
+        "namespace string, `constraint` string, constraint_type string",
+    )
+    assert rows(catalog.primary_keys(usage, kinds, tables)) == [("dbo", "t", ["first", "second"])]
+    assert rows(catalog.primary_keys(usage, kinds, tables, ["other"])) == []
+
+
+def test_keys_and_ordered_columns(spark, rows):
+    names = [("n", t) for t in ("clustered", "composite", "logical", "none")]
+    known = spark.createDataFrame(names, "namespace string, `table` string")
+    keyed = "namespace string, `table` string, {} array<string>"
+    physical = spark.createDataFrame([("n", "clustered", ["p1", "p2"]), ("n", "composite", ["p1"])], keyed.format("primary_key"))
+    logical = spark.createDataFrame([("n", "logical", ["l1"]), ("n", "composite", ["l1"])], keyed.format("primary_key"))
+    clustered = spark.createDataFrame([("n", "clustered", ["c"]), ("n", "composite", ["c", "d"])], keyed.format("clustered_key"))
+    found = catalog.effective_keys(known, physical, logical, clustered)
+    assert rows(found) == [
+        ("n", "clustered", ["p1", "p2"], "c"),
+        ("n", "composite", ["p1"], "p1"),
+        ("n", "logical", ["l1"], "l1"),
+        ("n", "none", None, None),
+    ]
+    for tracking in (True, False):
+        built = {r["table"]: r for r in catalog.build_catalog(known, found, tracking).collect()}
+        assert built["none"]["sync_modes"] == ["full_refresh"] and not built["none"]["resumable"]
+        assert built["logical"]["sync_modes"] == ["full_refresh", "incremental"]
+        assert built["logical"]["source_cursor"] == tracking
+        assert built["logical"]["added_columns"] == (["_ab_cdc_deleted_at"] if tracking else [])
+
+
+@pytest.mark.parametrize(
+    "name, code, precision, expected",
+    [
+        ("money", "DECIMAL", 19, "double"),
+        ("MONEY", "DECIMAL", 19, "double"),
+        ("decimal", "DECIMAL", 19, "decimal"),
+        ("real", "REAL", 24, "float"),
+        ("float", "REAL", 25, "double"),
+        ("datetime", "TIMESTAMP", 23, "timestamp"),
+        ("unknown", "TIMESTAMP_WITH_TIMEZONE", 1, "timestamptz"),
+        ("hierarchyid", "OTHER", 1, "hierarchy"),
+        ("what", "ARRAY", None, "opaque"),
+        (None, None, None, "opaque"),
+    ],
+)
+def test_types(spark, name, code, precision, expected):
+    column = catalog.logical_type(*(F.lit(v) for v in (name, code, precision)))
+    assert spark.range(1).select(column).first()[0] == expected
+
+
+def test_schema_of_a_table(spark):
+    columns = spark.createDataFrame(
+        [("n", "t", "b", 2, "decimal", "DECIMAL", 9, 3), ("n", "t", "a", 1, "int", "INTEGER", 10, 0), ("n", "u", "c", 1, "bit", "BIT", 1, 0)],
+        "namespace string, `table` string, `column` string, ordinal int, type_name string, type_code string, precision int, scale int",
+    )
+    schema = catalog.table_schema(catalog.map_types(columns), "n", "t")
+    assert schema.simpleString() == "struct<a:int,b:decimal(9,3)>"
+
+
+def test_own_collections_are_skipped(spark, rows):
+    names = [("system.views", "collection"), ("replset.x", "collection"), ("oplog.rs", "collection"), ("mine", "collection"), ("seen", "view")]
+    df = spark.createDataFrame(names, "name string, type string")
+    assert rows(catalog.list_collections(df)) == [("mine", "collection")]
+    assert rows(catalog.list_collections(df, kinds=())) == [("mine", "collection"), ("seen", "view")]
+
+
+@pytest.mark.parametrize(
+    "count, size, expected",
+    [
+        (1_000_000, 10 << 30, 100_003),
+        (0, 0, 1_000_000),
+        (None, None, 1_000_000),
+        (1_000, 0, 1_000_000),
+        (1_000_000, 999, 1_000_000),
+        (1, 2 << 30, 1_000_000),
+    ],
+)
+def test_chunk_rows(spark, count, size, expected):
+    column = catalog.chunk_rows(F.lit(count), F.lit(size))
+    assert spark.range(1).select(column).first()[0] == expected
+
+
+def test_document_catalogs(spark):
+    fields = spark.createDataFrame([("db", "c", "_id", "string"), ("db", "c", "a", "number")], "namespace string, stream string, field string, type string")
+    by = ["namespace", "stream"]
+    row = catalog.build_document_catalog(fields, by).first()
+    assert [tuple(f) for f in row["fields"]] == [
+        ("_id", "string"),
+        ("a", "number"),
+        ("_ab_cdc_updated_at", "string"),
+        ("_ab_cdc_deleted_at", "string"),
+        ("_ab_cdc_cursor", "integer"),
+    ]
+    assert (row["cursor_field"], row["primary_key"], row["sync_modes"]) == ("_ab_cdc_cursor", ["_id"], ["full_refresh", "incremental"])
+    packed = catalog.build_document_catalog(fields, by, packed=True).first()
+    assert [f["field"] for f in packed["fields"]][:2] == ["_id", "data"] and len(packed["fields"]) == 5
+
+
+def test_statistics(spark, rows):
+    df = spark.createDataFrame([("a", "é"), ("a", None), ("b", "xyz")], "c string, text string")
+    stats = catalog.estimate(catalog.collection_stats(df, ["text"], ["c"]), 1.5)
+    assert rows(stats) == [("a", 2, 2, 2, 3), ("b", 1, 3, 1, 4)]
