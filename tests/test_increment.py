@@ -126,7 +126,7 @@ def test_lookup_with_a_hot_key(spark, rows, fits, how):
     events = [(random.choice([0, 0, 0, random.randrange(9)]), i % 5) for i in range(500)]
     big = spark.createDataFrame(events, "k bigint, v bigint")
     small = spark.createDataFrame([(k, str(k)) for k in range(0, 9, 2)], "k bigint, name string")
-    found = rows(joins.lookup(big, small, ["k"], how, fits=fits))
+    found = rows(joins.lookup(big, small, ["k"], how, fits=fits, least=30))
     if how == "left":
         expected = [(k, v, str(k) if k % 2 == 0 else None) for k, v in events]
     else:
@@ -134,6 +134,12 @@ def test_lookup_with_a_hot_key(spark, rows, fits, how):
     assert found == sorted(expected, key=repr)
 
 
+def test_hot_keys(spark, rows):
+    df = spark.range(1000).selectExpr("if(id < 600, 0, id) as k")
+    assert rows(joins.hot_keys(df, ["k"], least=50)) == [(0,)]
+    assert rows(joins.hot_keys(df, ["k"])) == []
+
+
 def test_sizes_are_measured(spark):
     df = spark.range(100).selectExpr("id", "repeat('x', 100) as s")
     assert joins.fits_broadcast(df)

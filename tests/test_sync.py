@@ -208,3 +208,21 @@ def test_packed_collections(spark, store):
     sync_collections(store, [one], log(spark, ("one", "a", 1, 1), ("one", "a", 2, 2)), NOW)
     found = current_rows(store, "db", "one", ["_id"]).select("_id", F.to_json("data"))
     assert [tuple(r) for r in found.collect()] == [("a", '{"_id":"a","v":2}')]
+
+
+def test_full_refresh_collections_have_no_stamps(spark, store):
+    one = dataclasses.replace(collection(spark, "one", {"a": 1}), full_refresh=True)
+    for _ in range(2):
+        sync_collections(store, [one], log(spark, ("one", "a", 1, 1)), NOW)
+    rows = spark.read.parquet(store.folder("db", "one"))
+    assert rows.columns == ["_id", "v", "batch"] and rows.count() == 2
+
+
+def test_unsupported_ids_are_an_error(spark, store):
+    one = collection(spark, "one", {"a": 1})
+    bad = dataclasses.replace(one, documents=spark.createDataFrame([('{"_id":1.5}',)], "document string"))
+    with pytest.raises(SyncError, match="double"):
+        sync_collections(store, [bad], log(spark), NOW)
+    mixed = dataclasses.replace(one, documents=spark.createDataFrame([('{"_id":1}',), ('{"_id":"b"}',)], "document string"))
+    with pytest.warns(UserWarning, match="several types"):
+        sync_collections(store, [mixed], log(spark), NOW)

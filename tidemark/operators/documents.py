@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import extjson
-from tidemark.names import DOCUMENT_ID, ID_TYPES, PACKED, TEXT_SUFFIX
+from tidemark.names import DISCOVERY_SAMPLE, DOCUMENT_ID, ID_TYPES, PACKED, TEXT_SUFFIX
+from tidemark.operators.ranges import random_rows
 
 # JSON texts of the values that have no output form.
 NO_VALUE = r'^\{"[$](minKey|maxKey|undefined|dbPointer)"'
@@ -43,9 +44,9 @@ def discover_schema(df: DataFrame, document: str, by: Sequence[str] = ()) -> Dat
     )
 
 
-def sample_documents(df: DataFrame, size: int, seed: int = 7) -> DataFrame:
-    """``size`` documents at random. Pass a frame over some of the files to avoid reading all of them."""
-    return df.orderBy(F.rand(seed)).limit(size)
+def sample_documents(df: DataFrame, size: int = DISCOVERY_SAMPLE, seed: int = 7) -> DataFrame:
+    """The documents to discover a schema from: ``size`` of them at random, all of a small collection."""
+    return random_rows(df, size, seed)
 
 
 def _fields(document: str, names: Sequence[str]) -> Column:

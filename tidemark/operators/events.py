@@ -56,11 +56,12 @@ def position_literal(position: Sequence[int]) -> Column:
 
 def bounded(events: DataFrame, target: Sequence[int], after: Sequence[int] | None = None) -> DataFrame:
     """Events after a stored position up to and including the target; snapshot events are always kept."""
-    snapshot = F.coalesce(F.col("source.snapshot"), F.lit("false"))
-    live = F.col("position") <= position_literal(target)
+    at, ms = F.col("position"), F.col("source.ts_ms")
+    # The plain bounds on the time are implied; they let the reader skip files and row groups.
+    live = (ms < (target[0] + 1) * 1000) & (at <= position_literal(target))
     if after is not None:
-        live = live & (F.col("position") > position_literal(after))
-    return with_position(events).where(snapshot.isin("true", "last") | live)
+        live = live & (ms >= after[0] * 1000) & (at > position_literal(after))
+    return with_position(events).where(F.col("source.snapshot").isin("true", "last") | live)
 
 
 def key_id(key: Column) -> Column:

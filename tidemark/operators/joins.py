@@ -1,4 +1,4 @@
-"""Joins whose strategy follows the measured size of the small side."""
+"""Joins whose strategy follows measured sizes and counts."""
 
 from __future__ import annotations
 
@@ -7,16 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import settle, shuffle_partitions
+
 BROADCAST_BYTES = 64 << 20
 BROADCAST_ROWS = 1_000_000
-SALTS = 64
 
+# Keys with fewer rows than this are never treated as hot.
+HOT_ROWS = 100_000
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """True if ``df`` was counted and weighed to be within both limits.
 
-    Reads at most ``rows`` + 1 rows past the frame's own last shuffle.
-    """
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True if ``df`` was counted and weighed to be within both limits. One pass, one row to the driver."""
     weight = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         kind = field.dataType.typeName()
@@ -26,7 +27,7 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
             weight = weight + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
         else:
             weight = weight + 16
-    seen = df.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(weight).alias("bytes")).first()
+    seen = df.agg(F.count("*").alias("n"), F.sum(weight).alias("bytes")).first()
     return seen["n"] <= rows and (seen["bytes"] or 0) <= size
 
 
@@ -47,22 +48,39 @@ def _by_keys(big: DataFrame, keys_df: DataFrame, on: Sequence[str], how: str, sm
     return big.join(keys, list(on), how)
 
 
-def lookup(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left", fits: bool | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, on: Sequence[str], least: int = HOT_ROWS) -> DataFrame:
+    """Keys that hold more than half of an even share of a task: at most two per shuffle partition.
+
+    Counting shrinks inside map tasks first, so a hot key costs no more than any other.
+    """
+    counts = settle(df.groupBy(*on).agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    share = max(least, total // (2 * shuffle_partitions(df.sparkSession)))
+    return counts.where(F.col("n") > share).select(*on)
+
+
+def lookup(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    fits: bool | None = None,
+    least: int = HOT_ROWS,
+) -> DataFrame:
     """Join ``big`` to at most one row of ``small`` per key, also when a few keys hold most of ``big``.
 
-    A ``small`` side that was measured to fit is broadcast. Otherwise the rows of ``big`` are spread over
-    salts of their key and ``small`` is repeated once per salt.
+    A ``small`` side that was measured to fit is broadcast. Otherwise the hot keys of ``big``, which are few by
+    definition, meet their rows of ``small`` without a shuffle, and all other keys are joined by one.
     """
     if fits_broadcast(small) if fits is None else fits:
         return big.join(F.broadcast(small), list(on), how)
-    # The salt depends on the row's values, so a rerun task puts every row where it was before.
-    others = [c for c in big.columns if c not in on]
-    spread = F.pmod(F.xxhash64(*[_hashable(big, c) for c in others]), F.lit(SALTS)) if others else F.lit(0).cast("bigint")
-    salted = big.withColumn("_salt", spread)
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
-
-
-def _hashable(df: DataFrame, name: str):
-    kind = df.schema[name].dataType.typeName()
-    return F.to_json(F.struct(name)) if kind in ("variant", "map") else F.col(name)
+    hot = settle(hot_keys(big, on, least))
+    if not fits_broadcast(hot):
+        return big.join(small, list(on), how)
+    hot_rows = settle(keep_keys(small, hot, on, small=True))
+    if not fits_broadcast(hot_rows):
+        # Few but huge rows: the join splits skewed partitions itself.
+        return big.join(small, list(on), how)
+    few = keep_keys(big, hot, on, small=True).join(F.broadcast(hot_rows), list(on), how)
+    rest = drop_keys(big, hot, on, small=True).join(small, list(on), how)
+    return few.unionByName(rest)

@@ -27,6 +27,18 @@ def max_key(df: DataFrame, keys: Sequence[str]) -> Key | None:
     return (value,) if len(keys) == 1 else tuple(value)
 
 
+def random_rows(df: DataFrame, size: int, seed: int = 7) -> DataFrame:
+    """``size`` rows at random, all of them when there are no more.
+
+    The rows are counted first, so that every task hands on its share of the sample and not more.
+    """
+    total = df.count()
+    # Wide enough a margin that the sample hardly ever falls short.
+    fraction = (size + 6 * size**0.5 + 20) / max(total, 1)
+    part = df if fraction >= 1 else df.sample(fraction, seed)
+    return part.orderBy(F.rand(seed)).limit(size)
+
+
 def split_points(
     df: DataFrame, keys: Sequence[str], ranges: int, sample: int | None = None, seed: int = 7
 ) -> list[Key]:
@@ -35,7 +47,7 @@ def split_points(
     Only the key columns are read, and only the sample, some tuples per range, reaches the driver.
     """
     size = max(sample or SPLIT_SAMPLE, 16 * ranges)
-    picked = df.select(*keys).orderBy(F.rand(seed)).limit(size).collect()
+    picked = random_rows(df.select(*keys), size, seed).collect()
     # Rows without a key stay in the first range. They are left out here rather than by a filter, which would
     # be pushed through the projections below and repeat what the keys are computed from.
     ordered = sorted(tuple(row) for row in picked if None not in row)

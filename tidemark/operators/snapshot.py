@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.predicates import before, key_after, key_range
 from tidemark.names import SPLIT_SAMPLE
-from tidemark.operators.ranges import Key, max_key
+from tidemark.operators.ranges import Key, max_key, random_rows
 
 
 @dataclass(frozen=True)
@@ -104,4 +104,4 @@ def sample_rows(
         return df.limit(rows)
     if rate >= 1:
         return df.orderBy(*keys).limit(rows)
-    return df.sample(rate, seed).orderBy(F.rand(seed)).limit(rows).orderBy(*keys)
+    return random_rows(df.sample(rate, seed), rows, seed).orderBy(*keys)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import json
+import warnings
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
@@ -17,9 +18,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.predicates import bound, cutoff
-from tidemark.names import CURSOR, DELETED_AT, DOCUMENT_ID
+from tidemark.names import CURSOR, DELETED_AT, DOCUMENT_ID, ID_TYPES
 from tidemark.operators import events, increment, ranges
 from tidemark.operators import snapshot as snap
+from tidemark.operators.documents import id_type_census
 from tidemark.operators.merge import latest_per_key
 from tidemark.plans.collections import phases, snapshot_selection
 from tidemark.plans.state import append_state, read_state, text
@@ -59,6 +61,7 @@ class Collection:
     stream: str
     documents: DataFrame
     fields: Mapping[str, str] | None = None
+    full_refresh: bool = False
 
 
 @dataclasses.dataclass(frozen=True)
@@ -140,9 +143,11 @@ def sync_tables(
     pieces: int = 1,
     fail_expired: bool = False,
 ) -> list[Row]:
-    """One run over all tables; returns what was read. ``pieces`` is the number of checkpoints per snapshot.
+    """One run over all tables; returns what was read.
 
-    The loop is over the configured tables. Each read is a Spark job over all of the cluster.
+    The loop is over the configured tables. Each read is a Spark job over all of the cluster. ``pieces`` is the
+    number of checkpoints per snapshot: each piece filters on the key, so ask for several only where the source
+    can seek on it, as a database with an index or files sorted by the key can.
     """
     plan = plan_tables(store, tables, tracking, fail_expired).collect()
     found = {(row["namespace"], row["stream"]): row for row in plan}
@@ -253,20 +258,24 @@ def sync_collections(
     if not valid and fail_invalid:
         raise SyncError("the change log no longer holds the stored position")
 
-    names = [(c.namespace, c.stream, "incremental") for c in collections]
+    names = [(c.namespace, c.stream, "full_refresh" if c.full_refresh else "incremental") for c in collections]
     streams = spark.createDataFrame(names, "namespace string, stream string, sync_mode string")
     selection = snapshot_selection(streams, latest, valid)
     chosen = {(row["namespace"], row["stream"]): row for row in selection.collect()}
     order = phases(selection).first()["phases"]
     first_run = offset is None or not valid
     batches = store.batches()
+    for c in collections:
+        if c.full_refresh:
+            _snapshot(store, c, now, batches)
+    following = [c for c in collections if not c.full_refresh]
     for phase in order.split(", "):
         if phase == "snapshot":
-            for c in collections:
+            for c in following:
                 if chosen[c.namespace, c.stream]["snapshot"]:
                     _snapshot(store, c, now, batches)
         elif not first_run and target is not None:
-            started = [c for c in collections if chosen[c.namespace, c.stream]["started"]]
+            started = [c for c in following if chosen[c.namespace, c.stream]["started"]]
             _changes(store, started, log, offset, target, now, batches)
     kept = target or (offset if valid and offset else START)
     store.save(*OFFSET, batches.get(OFFSET, 0), None, status="offset", offset=json.dumps(kept))
@@ -282,13 +291,20 @@ def _holds(log: DataFrame, offset: tuple[int, int]) -> bool:
 
 
 def _snapshot(store: Store, c: Collection, now: dt.datetime, batches: dict) -> None:
+    """Reads a whole collection; rows of full-refresh collections carry no change metadata."""
+    census = id_type_census(c.documents, "document").collect()
+    unsupported = sorted(str(row["id_type"]) for row in census if not row["supported"])
+    if unsupported:
+        raise SyncError(f"ids of {c.namespace}.{c.stream} are {unsupported}; supported are {list(ID_TYPES)}")
+    if len(census) > 1:
+        warnings.warn(f"ids of {c.namespace}.{c.stream} have several types")
     rows = events.document_rows(c.documents, c.fields)
     top = ranges.max_key(rows, [DOCUMENT_ID])
     if top is None:
         return  # nothing read, nothing stored
-    stamped = events.stamp_snapshot(rows, int(_utc(now).timestamp() * 1000))
-    name = (c.namespace, c.stream)
-    store.save(*name, batches.get(name, 0), stamped, status="COMPLETE", key_name=[DOCUMENT_ID], key=list(top))
+    stamped = events.stamp_snapshot(rows, int(_utc(now).timestamp() * 1000), incremental=not c.full_refresh)
+    name, status = (c.namespace, c.stream), "FULL_REFRESH" if c.full_refresh else "COMPLETE"
+    store.save(*name, batches.get(name, 0), stamped, status=status, key_name=[DOCUMENT_ID], key=list(top))
     batches[name] = batches.get(name, 0) + 1
 
 
