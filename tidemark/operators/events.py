@@ -56,12 +56,15 @@ def position_literal(position: Sequence[int]) -> Column:
 
 def bounded(events: DataFrame, target: Sequence[int], after: Sequence[int] | None = None) -> DataFrame:
     """Events after a stored position up to and including the target; snapshot events are always kept."""
-    at, ms = F.col("position"), F.col("source.ts_ms")
-    # The plain bounds on the time are implied; they let the reader skip files and row groups.
-    live = (ms < (target[0] + 1) * 1000) & (at <= position_literal(target))
+    ms, at = F.col("source.ts_ms"), F.col("position")
+    around, live = ms < (target[0] + 1) * 1000, at <= position_literal(target)
     if after is not None:
-        live = live & (ms >= after[0] * 1000) & (at > position_literal(after))
-    return with_position(events).where(F.col("source.snapshot").isin("true", "last") | live)
+        around, live = around & (ms >= after[0] * 1000), live & (at > position_literal(after))
+    snapshot = F.col("source.snapshot").isin("true", "last")
+    # The first filter is implied by the second, and plain enough for the reader to skip files by. It names the
+    # snapshot events in another way, or else the optimizer would fold both into one that readers cannot use.
+    near = around | (F.col("source.snapshot") != "false")
+    return with_position(events.where(near)).where(snapshot | live)
 
 
 def key_id(key: Column) -> Column:

@@ -132,7 +132,7 @@ def chunk_scan(
     """
     rest = df if after is None else df.where(key_after(df, keys, after))
     numbered = with_dense_number(rest, keys, "_number", buckets)
-    chunk = F.floor((F.col("_number") - 1) / F.lit(chunk_rows)).cast("bigint")
+    chunk = F.call_function("div", F.col("_number") - 1, F.lit(chunk_rows).cast("bigint"))
     return numbered.withColumn("chunk", chunk).drop("_number")
 
 
