@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import base64
 import datetime as dt
+import functools
 import json
+import operator
 from typing import Any
 
 import pandas as pd
@@ -68,11 +70,10 @@ JSON_TYPES = {
 # Values of these types are left out of the output.
 DROPPED = ("minKey", "maxKey", "undefined", "dbPointer")
 
-NUMBERS = ("int", "long", "double", "decimal")
-TIMES = ("date", "timestamp")
+DROPPED_KEYS = tuple(key for key, name in WRAPPERS.items() if name in DROPPED)
 
-# Types that are read as text without the rewrite.
-NATIVE = ("string", "boolean", "objectId", "null", *NUMBERS, *TIMES, *DROPPED)
+# Wrappers whose values are read as text without the rewrite.
+NATIVE_KEYS = ("oid", "date", "timestamp", "number", *DROPPED_KEYS)
 
 # The start of a shape that tells the type.
 START = r"^(OBJECT<`[$]code`: STRING, `[$]scope`|OBJECT<`[$][A-Za-z]+`|[A-Z]+)"
@@ -126,10 +127,21 @@ def epoch_ms(value: Column) -> Column:
     )
 
 
-def time_ms(value: Column, kind: Column, time_unit: str = "raw") -> Column:
+def shape_is(shape: Column, *keys: str) -> Column:
+    """Whether the shape of a value is that of a wrapper whose key starts with one of ``keys``."""
+    return functools.reduce(operator.or_, (shape.startswith(f"OBJECT<`${key}") for key in keys))
+
+
+def foreign(shape: Column) -> Column:
+    """Whether a value has no reading as text of its own: objects, arrays and the rarer wrappers."""
+    nested = shape.startswith("OBJECT<") | shape.startswith("ARRAY<")
+    return nested & ~shape_is(shape, *NATIVE_KEYS)
+
+
+def time_ms(value: Column, shape: Column, time_unit: str = "raw") -> Column:
     """Epoch milliseconds of dates and internal times, null for all other values."""
     ticks = document_time(get(value, "$.$timestamp.t", "bigint"), get(value, "$.$timestamp.i", "bigint"), time_unit)
-    return F.when(kind == "date", epoch_ms(value)).when(kind == "timestamp", ticks)
+    return F.when(shape_is(shape, "date"), epoch_ms(value)).when(shape_is(shape, "timestamp"), ticks)
 
 
 def number_text(value: Column) -> Column:
@@ -141,14 +153,14 @@ def number_text(value: Column) -> Column:
     )
 
 
-def as_text(value: Column, kind: Column, ms: Column, plain: Column) -> Column:
-    """String form of a top-level value from its type name, its milliseconds and its wrapper-free form."""
+def as_text(value: Column, shape: Column, ms: Column, plain: Column) -> Column:
+    """String form of a top-level value from its shape, its milliseconds and its wrapper-free form."""
     return (
-        F.when(kind == "string", get(value, "$"))
-        .when(kind == "objectId", get(value, "$.$oid"))
-        .when(kind.isin(*TIMES), iso_millis(ms))
-        .when(kind.isin(*NUMBERS), F.coalesce(number_text(value), get(value, "$")))
-        .when(~kind.isin(*DROPPED), get(plain, "$"))
+        F.when(shape == "STRING", get(value, "$"))
+        .when(shape_is(shape, "oid"), get(value, "$.$oid"))
+        .when(ms.isNotNull(), iso_millis(ms))
+        .when(shape_is(shape, "number"), number_text(value))
+        .when(~shape_is(shape, *DROPPED_KEYS), get(plain, "$"))
     )
 
 
@@ -170,6 +182,11 @@ def as_array(value: Column, text: Column) -> Column:
     return F.when(value.isNull() | text.startswith("["), value).otherwise(wrapped)
 
 
+def has_form(text: Column) -> Column:
+    """Whether a value, given as JSON text before the rewrite, has an output form."""
+    return ~functools.reduce(operator.or_, (text.startswith(f'{{"${key}"') for key in DROPPED_KEYS))
+
+
 def plain_texts(texts: Column, time_unit: str = "raw") -> Column:
     """JSON texts with every wrapper inside replaced by its plain value; null stays null."""
 

@@ -13,9 +13,6 @@ from tidemark.functions import extjson
 from tidemark.names import DISCOVERY_SAMPLE, DOCUMENT_ID, ID_TYPES, PACKED, TEXT_SUFFIX
 from tidemark.operators.ranges import random_rows
 
-# JSON texts of the values that have no output form.
-NO_VALUE = r'^\{"[$](minKey|maxKey|undefined|dbPointer)"'
-
 # Declared JSON type -> column type; other declared types are taken as Spark numeric types.
 NUMERIC = {"number": "double", "integer": "bigint"}
 
@@ -105,12 +102,11 @@ def normalize(
     # Each step is a projection of its own, so that no later expression repeats an earlier one.
     rows = df.select(*keep, _fields(document, list(dict.fromkeys(names))).alias("_v"))
     rows = rows.select(*keep, *columns("_f", at, lambda i: F.col("_v")[names[i]]))
-    rows = rows.select("*", *columns("_k", text, lambda i: extjson.kind_of(F.col(f"_f{i}"))))
-    foreign = {i: ~F.col(f"_k{i}").isin(*extjson.NATIVE) for i in text}
+    rows = rows.select("*", *columns("_s", text, lambda i: F.schema_of_variant(f"_f{i}")))
     rows = rows.select(
         "*",
-        *columns("_m", text, lambda i: extjson.time_ms(F.col(f"_f{i}"), F.col(f"_k{i}"), time_unit)),
-        *columns("_j", text, lambda i: F.when(foreign[i], F.to_json(F.col(f"_f{i}")))),
+        *columns("_m", text, lambda i: extjson.time_ms(F.col(f"_f{i}"), F.col(f"_s{i}"), time_unit)),
+        *columns("_j", text, lambda i: F.when(extjson.foreign(F.col(f"_s{i}")), F.to_json(F.col(f"_f{i}")))),
         *columns("_j", nested, lambda i: F.to_json(F.col(f"_f{i}"))),
     )
     plain = {i: F.col(f"_f{i}") for i in [*text, *nested]}
@@ -120,9 +116,9 @@ def normalize(
     def final(i: int, name: str) -> Column:
         value, json = F.col(f"_f{i}"), F.col(f"_j{i}")
         if i in text:
-            column = extjson.as_text(value, F.col(f"_k{i}"), F.col(f"_m{i}"), plain[i])
+            column = extjson.as_text(value, F.col(f"_s{i}"), F.col(f"_m{i}"), plain[i])
         elif i in nested:
-            kept = F.when(~json.rlike(NO_VALUE), plain[i])
+            kept = F.when(extjson.has_form(json), plain[i])
             column = extjson.as_array(kept, json) if declared[i] == "array" else kept
         elif declared[i] == "boolean":
             column = extjson.as_boolean(value)

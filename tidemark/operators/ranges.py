@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 from typing import Any
 
@@ -71,27 +73,28 @@ def read_ranges(df: DataFrame, keys: Sequence[str], ranges: Sequence[tuple[Key |
 def range_number(df: DataFrame, keys: Sequence[str], points: Sequence[Key]) -> Column:
     """Number of points below the row's key: the index of its range, a function of the key alone.
 
-    Looks into blocks of about the square root of all points, first for the block, then inside it.
+    Looks into blocks of about the square root of all points, first for the block, then inside it. Plain sums of
+    comparisons, so that they are compiled.
     """
     if not points:
         return F.lit(0)
-    width = max(1, int(len(points) ** 0.5))
+    width = max(1, round(len(points) ** 0.5))
     blocks = [points[i : i + width] for i in range(0, len(points), width)]
-    key = _tuple(df, keys, [F.col(k) for k in keys])
+    key = _tuple(keys, [F.col(k) for k in keys])
 
-    def constant(values: Sequence[Key]) -> Column:
-        return F.array(*[_tuple(df, keys, [bound(df, k, v) for k, v in zip(keys, value)]) for value in values])
+    def constant(value: Key) -> Column:
+        return _tuple(keys, [bound(df, k, v) for k, v in zip(keys, value)])
 
-    def below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda point: point < key))
+    def below(candidates: Sequence[Column]) -> Column:
+        return functools.reduce(operator.add, (F.when(c < key, 1).otherwise(0) for c in candidates), F.lit(0))
 
-    heads = constant([block[0] for block in blocks[1:]]) if len(blocks) > 1 else None
-    block = below(heads) if heads is not None else F.lit(0)
-    inside = below(F.element_at(F.array(*[constant(b) for b in blocks]), block + 1))
-    return (block * width + inside).cast("int")
+    block = below([constant(block[0]) for block in blocks[1:]])
+    # The last block may be shorter: its missing points count as not below.
+    own = F.element_at(F.array(*[F.array(*map(constant, block)) for block in blocks]), block + 1)
+    return block * width + below([F.get(own, F.lit(i)) for i in range(width)])
 
 
-def _tuple(df: DataFrame, keys: Sequence[str], parts: list[Column]) -> Column:
+def _tuple(keys: Sequence[str], parts: list[Column]) -> Column:
     if len(parts) == 1:
         return parts[0]
     return F.struct(*[part.alias(k) for k, part in zip(keys, parts)])

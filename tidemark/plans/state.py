@@ -8,6 +8,7 @@ import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +32,12 @@ def latest_state(log: DataFrame, by: Sequence[str] = STREAM, order: Sequence[str
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """Newest state of all streams; a folder that does not exist yet holds none."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    log = spark.read.schema(SCHEMA).parquet(path) if exists else spark.createDataFrame([], SCHEMA)
+    try:
+        log = spark.read.schema(SCHEMA).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log = spark.createDataFrame([], SCHEMA)
     return latest_state(log)
 
 

@@ -12,14 +12,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of its own.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
-    path = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -29,8 +29,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def settle(df: DataFrame) -> DataFrame:
     """The rows of ``df`` computed once and kept in the shared folder, for frames that are used several times."""
     context = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
