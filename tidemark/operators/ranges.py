@@ -14,10 +14,13 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.predicates import bound, key_after, key_range
 from tidemark.names import SPLIT_SAMPLE
-from tidemark.session import shuffle_partitions
+from tidemark.session import settle, shuffle_partitions
 
 Key = tuple[Any, ...]
 
+# Ranges with fewer rows than this are never parted further.
+CROWDED_ROWS = 1_000_000
+
 
 def max_key(df: DataFrame, keys: Sequence[str]) -> Key | None:
     """Largest key tuple, None for no rows. One row reaches the driver."""
@@ -101,28 +104,55 @@ def _tuple(keys: Sequence[str], parts: list[Column]) -> Column:
 
 
 def with_dense_number(
-    df: DataFrame, keys: Sequence[str], name: str = "number", buckets: int | None = None, seed: int = 7
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str = "number",
+    buckets: int | None = None,
+    seed: int = 7,
+    crowded: int = CROWDED_ROWS,
 ) -> DataFrame:
-    """Number the rows 1, 2, 3, … in the order of ``keys``, which must identify a row.
+    """Number the rows 1, 2, 3, … in the order of ``keys``.
 
     Rows are cut into many key ranges, each numbered by its own task; a range starts after the row counts
     of the ranges before it. The ranges depend on key values only, so a rerun task finds the same rows.
+    ``keys`` should identify a row. Where one key holds so many rows that its range is crowded, these rows are
+    numbered by several tasks; their order among themselves is then that of their partitions.
     """
     buckets = buckets or 4 * shuffle_partitions(df.sparkSession)
     points = split_points(df, keys, buckets, seed=seed)
     ranged = df.withColumn("_range", range_number(df, keys, points))
-    counts = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
-    # At most one row per range, so one small window and a broadcast.
-    before = F.coalesce(
-        F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    starts = counts.select("_range", before.alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
+    counts = settle(ranged.groupBy("_range").agg(F.count("*").alias("_rows")))
+    order, group = [F.col(k) for k in keys], ["_range"]
+    # One row per range.
+    sizes = [row["_rows"] for row in counts.collect()]
+    if points and sizes and max(sizes) > max(crowded, 4 * sum(sizes) // buckets):
+        ranged, group = _spread_hot(ranged, keys, points), ["_range", "_own", "_part"]
+        counts = settle(ranged.groupBy(*group).agg(F.count("*").alias("_rows")))
+        # Rows of the same key still come in the same order when a task runs again.
+        order.append(F.xxhash64(*[F.col(c) for c in df.columns if df.schema[c].dataType.typeName() not in ("variant", "map")]))
+    # A few rows per range at most, so one small window and a broadcast.
+    earlier = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*group, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return (
         ranged.withColumn("_place", place)
-        .join(F.broadcast(starts), "_range")
+        .join(F.broadcast(starts), group)
         .withColumn(name, F.col("_before") + F.col("_place"))
-        .drop("_range", "_place", "_before")
+        .drop(*group, "_place", "_before")
+    )
+
+
+def _spread_hot(ranged: DataFrame, keys: Sequence[str], points: Sequence[Key]) -> DataFrame:
+    """Parts the rows whose key ends their range, as every hot key does, by the partition they lie in.
+
+    A hot key is drawn into the sample so often that it is one of the points. The rows are settled first, which
+    fixes their partitions.
+    """
+    settled = settle(ranged)
+    ends = F.array(*[_tuple(keys, [bound(settled, k, v) for k, v in zip(keys, point)]) for point in points])
+    own = F.coalesce(_tuple(keys, [F.col(k) for k in keys]) == F.get(ends, F.col("_range")), F.lit(False))
+    return settled.withColumn("_own", own).withColumn(
+        "_part", F.when(F.col("_own"), F.spark_partition_id()).otherwise(F.lit(0))
     )
 
 
