@@ -49,13 +49,13 @@ def test_dense_numbers_of_a_hot_key(spark):
     random.seed(5)
     rows = [(500, 0)] * 700 + [(500, i) for i in range(100)] + [(random.randrange(1000), 1) for _ in range(1300)]
     df = spark.createDataFrame(random.sample(rows, len(rows)), "k bigint, v bigint").repartition(6)
-    numbered = ranges.with_dense_number(df, ["k"], "n", 8, crowded=300)
+    numbered = ranges.with_dense_number(df, ["k"], "n", 32, crowded=300)
     found = sorted(numbered.collect(), key=lambda r: r["n"])
     assert [r["n"] for r in found] == list(range(1, len(rows) + 1))
     assert [r["k"] for r in found] == sorted(k for k, _ in rows)
     assert sorted((r["k"], r["v"]) for r in found) == sorted(rows)
     plan = numbered._jdf.queryExecution().toString()
-    usual = ranges.with_dense_number(df, ["k"], "n", 8)._jdf.queryExecution().toString()
+    usual = ranges.with_dense_number(df, ["k"], "n", 32)._jdf.queryExecution().toString()
     assert "_own" in plan and "_own" not in usual
 
 
