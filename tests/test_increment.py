@@ -60,6 +60,16 @@ def test_snapshot_with_cursor(table):
     assert resumed.state["cursor"] == first
 
 
+def test_points_in_time_keep_their_zone(spark):
+    df = spark.range(100).selectExpr("id", "timestamp_seconds(1709942400 + id * 3600) as at")
+    limit = dt.datetime(2024, 3, 12, tzinfo=dt.timezone.utc)
+    first = increment.cursor_increment(df.where("id <= 30"), ["id"], "at", None)
+    assert first.state["cursor"] == dt.datetime(2024, 3, 10, 6, tzinfo=dt.timezone.utc)
+    rest = increment.cursor_increment(df, ["id"], "at", first.state["cursor"].isoformat(), cutoff=limit)
+    assert ids(rest.rows) == list(range(31, 72))
+    assert rest.state["cursor"] == dt.datetime(2024, 3, 11, 23, tzinfo=dt.timezone.utc)
+
+
 def changes(spark, *rows):
     return spark.createDataFrame(rows, "id bigint, sys_change_version bigint, sys_change_operation string")
 

@@ -20,10 +20,27 @@ def test_range_numbers_match_bisect(pairs, count):
     tuples, df = pairs
     points = ranges.split_points(df, ["a", "b"], count)
     assert len(points) <= count - 1 and points == sorted(points)
-    found = df.select("a", "b", ranges.range_number(df, ["a", "b"], points)).collect()
+    found = ranges.with_range(df, ["a", "b"], points).collect()
     assert all(n == bisect.bisect_left(points, (a, b)) for a, b, n in found)
 
 
+@pytest.mark.parametrize(
+    "kind", ["string", "double", "date", "timestamp", "timestamp_ntz", "decimal(9,2)", "binary", "int", "boolean"]
+)
+def test_ranges_of_all_types(spark, kind):
+    sources = {"date": "date'2024-02-01' + cast(id as int)", "boolean": "id < 40", "binary": "cast(cast(id as string) as binary)"}
+    times = "timestamp_ntz'2024-03-10 00:30:00.25' + make_dt_interval(0, cast(id as int))"
+    value = sources.get(kind, times if kind.startswith("timestamp") else "id / 4")
+    df = spark.range(80).selectExpr(f"cast({value} as {kind}) as k", "id")
+    points = ranges.split_points(df, ["k"], 9)
+    assert 0 < len(points) <= 8
+    cut = ranges.split_ranges(points, upper=ranges.max_key(df, ["k"]))
+    ids = [sorted(r["id"] for r in part.collect()) for part in ranges.read_ranges(df, ["k"], cut)]
+    assert sorted(i for part in ids for i in part) == list(range(80))
+    numbers = {r["id"]: r["range"] for r in ranges.with_range(df, ["k"], points).collect()}
+    assert all(numbers[i] == place for place, part in enumerate(ids) for i in part)
+
+
 def test_ranges_cover_every_key_once(pairs):
     tuples, df = pairs
     points = ranges.split_points(df, ["a", "b"], 6)

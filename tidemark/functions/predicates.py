@@ -17,6 +17,11 @@ from pyspark.sql import types as T
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+def plain(value: Any) -> str:
+    """A value as the text that casts back to it; times carry their zone if they have one."""
+    return value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
+
+
 def literal(value: Any, data_type: T.DataType) -> Column:
     """A literal of the given type; times go through text so that no time zone is applied.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
+import json
 import operator
 from collections.abc import Sequence
 from typing import Any
@@ -12,12 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.functions.predicates import bound, key_after, key_range
+from tidemark.functions.predicates import bound, key_after, key_range, plain
 from tidemark.names import SPLIT_SAMPLE
 from tidemark.session import settle, shuffle_partitions
 
 Key = tuple[Any, ...]
 
+# Small frames get fewer ranges, of at least about this many rows.
+RANGE_ROWS = 10_000
+
 # Ranges with fewer rows than this are never parted further.
 CROWDED_ROWS = 1_000_000
 
@@ -29,15 +34,21 @@ def max_key(df: DataFrame, keys: Sequence[str]) -> Key | None:
     value = df.agg(top.alias("top")).first()["top"]
     if value is None:
         return None
-    return (value,) if len(keys) == 1 else tuple(value)
+    return _zoned(df, keys, [value] if len(keys) == 1 else value)
+
+
+def _zoned(df: DataFrame, keys: Sequence[str], values: Sequence[Any]) -> Key:
+    """Collected values; points in time, which arrive in the zone of this process, get their zone named."""
+    instant = [isinstance(df.schema[k].dataType, T.TimestampType) for k in keys]
+    return tuple(v.astimezone(dt.timezone.utc) if i and v is not None else v for i, v in zip(instant, values))
 
 
-def random_rows(df: DataFrame, size: int, seed: int = 7) -> DataFrame:
+def random_rows(df: DataFrame, size: int, seed: int = 7, total: int | None = None) -> DataFrame:
     """``size`` rows at random, all of them when there are no more.
 
     The rows are counted first, so that every task hands on its share of the sample and not more.
     """
-    total = df.count()
+    total = df.count() if total is None else total
     # Wide enough a margin that the sample hardly ever falls short.
     fraction = (size + 6 * size**0.5 + 20) / max(total, 1)
     part = df if fraction >= 1 else df.sample(fraction, seed)
@@ -45,17 +56,22 @@ def random_rows(df: DataFrame, size: int, seed: int = 7) -> DataFrame:
 
 
 def split_points(
-    df: DataFrame, keys: Sequence[str], ranges: int, sample: int | None = None, seed: int = 7
+    df: DataFrame,
+    keys: Sequence[str],
+    ranges: int,
+    sample: int | None = None,
+    seed: int = 7,
+    total: int | None = None,
 ) -> list[Key]:
     """At most ``ranges`` - 1 ascending key tuples that cut ``df`` into ranges of about the same size.
 
     Only the key columns are read, and only the sample, some tuples per range, reaches the driver.
     """
     size = max(sample or SPLIT_SAMPLE, 16 * ranges)
-    picked = random_rows(df.select(*keys), size, seed).collect()
+    picked = random_rows(df.select(*keys), size, seed, total).collect()
     # Rows without a key stay in the first range. They are left out here rather than by a filter, which would
     # be pushed through the projections below and repeat what the keys are computed from.
-    ordered = sorted(tuple(row) for row in picked if None not in row)
+    ordered = sorted(_zoned(df, keys, row) for row in picked if None not in row)
     cuts = (ordered[len(ordered) * i // ranges] for i in range(1, ranges)) if ordered else ()
     return sorted(set(cuts))
 
@@ -73,34 +89,50 @@ def read_ranges(df: DataFrame, keys: Sequence[str], ranges: Sequence[tuple[Key |
     return [df.where(key_range(df, keys, low, high)) for low, high in ranges]
 
 
-def range_number(df: DataFrame, keys: Sequence[str], points: Sequence[Key]) -> Column:
-    """Number of points below the row's key: the index of its range, a function of the key alone.
+def with_range(df: DataFrame, keys: Sequence[str], points: Sequence[Key], name: str = "range") -> DataFrame:
+    """Adds the number of points below the row's key: the index of its range, a function of the key alone.
 
     Looks into blocks of about the square root of all points, first for the block, then inside it. Plain sums of
     comparisons, so that they are compiled.
     """
     if not points:
-        return F.lit(0)
+        return df.withColumn(name, F.lit(0))
     width = max(1, round(len(points) ** 0.5))
-    blocks = [points[i : i + width] for i in range(0, len(points), width)]
-    key = _tuple(keys, [F.col(k) for k in keys])
+    heads = _constants(df, keys, points[width::width])
+    blocks = [_constants(df, keys, points[at : at + width]) for at in range(0, len(points), width)]
+    key = _tuple(keys)
+
+    def below(candidates: Column, count: int) -> Column:
+        # A block that is shorter has nulls at its end, which are not below.
+        found = (F.when(F.get(candidates, F.lit(i)) < key, 1).otherwise(0) for i in range(count))
+        return functools.reduce(operator.add, found, F.lit(0))
+
+    # Each step is a projection of its own, so that the block is looked up once.
+    staged = df.withColumn("_block", below(heads, len(blocks) - 1))
+    staged = staged.withColumn("_points", F.element_at(F.array(*blocks), F.col("_block") + 1))
+    number = F.col("_block") * width + below(F.col("_points"), width)
+    return staged.withColumn(name, number).drop("_block", "_points")
 
-    def constant(value: Key) -> Column:
-        return _tuple(keys, [bound(df, k, v) for k, v in zip(keys, value)])
 
-    def below(candidates: Sequence[Column]) -> Column:
-        return functools.reduce(operator.add, (F.when(c < key, 1).otherwise(0) for c in candidates), F.lit(0))
+def _constants(df: DataFrame, keys: Sequence[str], points: Sequence[Key]) -> Column:
+    """An array of key tuples with the types of the columns, made from one literal."""
+    types = [df.schema[k].dataType for k in keys]
+    if any(isinstance(t, T.BinaryType) for t in types):
+        rows = [[bound(df, k, v).alias(k) for k, v in zip(keys, point)] for point in points]
+        return F.array(*[row[0] if len(row) == 1 else F.struct(*row) for row in rows])
 
-    block = below([constant(block[0]) for block in blocks[1:]])
-    # The last block may be shorter: its missing points count as not below.
-    own = F.element_at(F.array(*[F.array(*map(constant, block)) for block in blocks]), block + 1)
-    return block * width + below([F.get(own, F.lit(i)) for i in range(width)])
+    def array_of(types: Sequence[T.DataType]) -> T.ArrayType:
+        fields = [T.StructField(k, t) for k, t in zip(keys, types)]
+        return T.ArrayType(types[0] if len(fields) == 1 else T.StructType(fields))
 
+    rows = [[plain(v) for v in point] for point in points]
+    shown = [row[0] if len(row) == 1 else dict(zip(keys, row)) for row in rows]
+    texts = F.from_json(F.lit(json.dumps(shown)), array_of([T.StringType()] * len(keys)))
+    return texts.cast(array_of(types))
 
-def _tuple(keys: Sequence[str], parts: list[Column]) -> Column:
-    if len(parts) == 1:
-        return parts[0]
-    return F.struct(*[part.alias(k) for k, part in zip(keys, parts)])
+
+def _tuple(keys: Sequence[str]) -> Column:
+    return F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
 
 
 def with_dense_number(
@@ -118,14 +150,15 @@ def with_dense_number(
     ``keys`` should identify a row. Where one key holds so many rows that its range is crowded, these rows are
     numbered by several tasks; their order among themselves is then that of their partitions.
     """
-    buckets = buckets or 4 * shuffle_partitions(df.sparkSession)
-    points = split_points(df, keys, buckets, seed=seed)
-    ranged = df.withColumn("_range", range_number(df, keys, points))
+    total = df.count()
+    buckets = buckets or min(4 * shuffle_partitions(df.sparkSession), total // RANGE_ROWS + 1)
+    points = split_points(df, keys, buckets, seed=seed, total=total)
+    ranged = with_range(df, keys, points, "_range")
     counts = settle(ranged.groupBy("_range").agg(F.count("*").alias("_rows")))
     order, group = [F.col(k) for k in keys], ["_range"]
     # One row per range.
-    sizes = [row["_rows"] for row in counts.collect()]
-    if points and sizes and max(sizes) > max(crowded, 4 * sum(sizes) // buckets):
+    largest = max((row["_rows"] for row in counts.collect()), default=0)
+    if points and largest > max(crowded, 4 * total // buckets):
         ranged, group = _spread_hot(ranged, keys, points), ["_range", "_own", "_part"]
         counts = settle(ranged.groupBy(*group).agg(F.count("*").alias("_rows")))
         # Rows of the same key still come in the same order when a task runs again.
@@ -134,9 +167,11 @@ def with_dense_number(
     earlier = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*group, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    # Every range has a start. An inner join would have the optimizer push tests for missing ranges down through
+    # all that the keys are computed from.
     return (
         ranged.withColumn("_place", place)
-        .join(F.broadcast(starts), group)
+        .join(F.broadcast(starts), group, "left")
         .withColumn(name, F.col("_before") + F.col("_place"))
         .drop(*group, "_place", "_before")
     )
@@ -149,8 +184,8 @@ def _spread_hot(ranged: DataFrame, keys: Sequence[str], points: Sequence[Key]) -
     fixes their partitions.
     """
     settled = settle(ranged)
-    ends = F.array(*[_tuple(keys, [bound(settled, k, v) for k, v in zip(keys, point)]) for point in points])
-    own = F.coalesce(_tuple(keys, [F.col(k) for k in keys]) == F.get(ends, F.col("_range")), F.lit(False))
+    ends = _constants(settled, keys, points)
+    own = F.coalesce(_tuple(keys) == F.get(ends, F.col("_range")), F.lit(False))
     return settled.withColumn("_own", own).withColumn(
         "_part", F.when(F.col("_own"), F.spark_partition_id()).otherwise(F.lit(0))
     )

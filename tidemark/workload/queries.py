@@ -74,11 +74,10 @@ def split_cover(spark, sf_dir):
     """Reads a table range by range; the totals show gaps and overlaps."""
     orders, keys = table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"]
     cuts = ranges.split_points(orders, keys, 8)
-    number = ranges.range_number(orders, keys, cuts)
     parts = ranges.read_ranges(orders, keys, ranges.split_ranges(cuts, upper=ranges.max_key(orders, keys)))
     union = None
     for place, part in enumerate(parts):
-        own = part.select("o_orderkey", (number == place).alias("own_range"))
+        own = ranges.with_range(part, keys, cuts).select("o_orderkey", (F.col("range") == place).alias("own_range"))
         union = own if union is None else union.unionByName(own)
     return union.agg(
         F.count("*").alias("n_rows"),
