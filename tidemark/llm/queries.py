@@ -6,16 +6,26 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontamination import find_leaks
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.line_dedup import line_dedup_report
+from tidemark.llm.lm_scoring import score_texts
 from tidemark.llm.packing import pack
+from tidemark.llm.pii import find_personal_data
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.substring_dedup import dedup_passages
 from tidemark.llm.token_counts import count_tokens
+from tidemark.llm.toxicity import CATEGORIES, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).drop("version")
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(_table(spark, folder, "documents"))
 
@@ -32,11 +42,37 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), longest=1024)
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(_table(spark, folder, "documents"))
+
+
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return find_personal_data(_table(spark, folder, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup_report(_table(spark, folder, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"), CATEGORIES)
+
+
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_passages(_table(spark, folder, "documents"), window=13)
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_lm_scoring": op6_lm_scoring,
+    "op7_personal_data": op7_personal_data,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES = {
