@@ -68,7 +68,7 @@ TEXTS = {
     "f_string": 'te"xt',
     "f_oid": "64f24244f95155351c4185b1",
     "f_js": "code()",
-    "f_scope": '{"code":"code2()","scope":{"scope":"kept"}}',
+    "f_scope": '{"code":"code2()","scope":{"other":1,"scope":"kept"}}',
     "f_regex": "(i)pat",
     "f_regex_plain": "pat",
     "f_null": None,
@@ -177,3 +177,45 @@ def test_id_census(spark, rows):
 def test_documents_are_sampled(spark):
     docs = spark.range(1000).selectExpr("concat('{\"_id\":', id, '}') as document")
     assert documents.sample_documents(docs, 10).count() == 10
+
+
+def test_wrapped_numbers_lose_their_fraction_like_plain_ones(spark):
+    texts = ['{"a":3.7}', '{"a":{"$numberDouble":"3.7"}}', '{"a":{"$numberDecimal":"3.0"}}', '{"a":{"$numberLong":"3"}}', '{"a":"x"}']
+    docs = spark.createDataFrame([(t,) for t in texts], "document string")
+    assert [r[0] for r in documents.normalize(docs, "document", {"a": "integer"}).collect()] == [3, 3, 3, 3, None]
+
+
+def test_names_that_differ_by_case(spark):
+    docs = spark.createDataFrame([('{"Name":"A","name":"a","NAME":1}',)], "document string")
+    df = documents.normalize(docs, "document", {"Name": "string", "name": "string", "NAME": "integer"})
+    assert tuple(df.first()) == ("A", "a", 1)
+
+
+def test_values_that_cannot_be_read_are_null(spark):
+    inside = ['{"$date":"10000-01-01T00:00:00Z"}', '{"$date":"soon"}', '{"$numberInt":"x"}', '{"$binary":{}}', '{"$uuid":5}', '{"$date":5}']
+    docs = spark.createDataFrame([(f'{{"a":[{",".join(inside)}]}}',)], "document string")
+    row = documents.normalize(docs, "document", {"a": "array"}).select(F.to_json("a")).first()
+    assert row[0] == '[null,null,null,null,null,"1970-01-01T00:00:00.005Z"]'
+
+
+def test_the_whole_scope_of_code_is_kept(spark):
+    docs = spark.createDataFrame([('{"a":{"$code":"f","$scope":{"x":{"$numberInt":"1"},"scope":2}}}',)], "document string")
+    row = documents.normalize(docs, "document", {"a": "object"}).select(F.to_json("a")).first()
+    assert json.loads(row[0]) == {"code": "f", "scope": {"x": 1, "scope": 2}}
+
+
+def test_simple_wrappers_are_replaced_as_text(spark):
+    values = ['{"$oid":"ab"}', '{ "$symbol" : "a\\"}b" }', '{"$numberLong":"-5"}', '{"$numberInt":"0"}', '{"$numberDouble":"2.25"}', '"{\\"$oid\\":\\"x\\"}"']
+    odd = ['{"$numberDouble":"1e400"}', '{"$numberDouble":"2.50"}', '{"$numberDouble":"NaN"}', '{"$numberLong":"05"}', '{"$date":1}']
+    docs = spark.createDataFrame([(v,) for v in values + odd], "v string")
+    found = [r[0] for r in docs.select(extjson.native_texts(F.col("v"))).collect()]
+    assert found == ['"ab"', '"a\\"}b"', "-5", "0", "2.25", values[5], *odd]
+    # The same value as by the way through Python, for every one of them.
+    assert [json.loads(f) for f in found[:6]] == [json.loads(extjson.plain_text(v)) for v in values]
+
+
+def test_schemaless_discovery_takes_the_most_frequent_id_type(spark, rows):
+    texts = ['{"_id":1}', '{"_id":"a"}', '{"_id":"b"}']
+    docs = spark.createDataFrame([(t,) for t in texts], "document string")
+    assert rows(documents.discover_packed(docs, "document")) == [("_id", "string")]
+    assert rows(documents.discover_packed(docs.limit(0), "document")) == []

@@ -79,7 +79,8 @@ def test_unknown_operations_fail_or_are_set_aside(spark, op):
 
 @pytest.mark.parametrize(
     "key, expected",
-    [(KEY, OID), ('"quoted"', "quoted"), ("17", "17"), ('{"$numberLong": "5"}', "5"), ('{"$binary": "x"}', '{"$binary": "x"}')],
+    [(KEY, OID), ('"quoted"', "quoted"), ("17", "17"), ('{"$numberLong": "5"}', "5"), ('{"$binary": "x"}', "x"), ('{"$binary":{"base64":"AQIDBA==","subType":"00"}}', "AQIDBA=="), ('{"$date":0}', "1970-01-01T00:00:00.000Z"),
+     ('{"$uuid":"00112233-4455-6677-8899-aabbccddeeff"}', "ABEiM0RVZneImaq7zN3u/w=="), ("a text", "a text"), ('"a\\"b"', 'a"b')],
 )
 def test_key_ids(spark, key, expected):
     assert spark.range(1).select(events.key_id(F.lit(key))).first()[0] == expected
@@ -102,6 +103,8 @@ def test_bounded_runs(spark):
     found = {(r["source"]["ts_ms"], r["source"]["ord"], r["source"]["snapshot"]) for r in kept.collect()}
     assert found == {(1999, 2, None), (2000, 1, "false"), (9000, 1, "true"), (9000, 1, "last")}
     assert kept.count() == 4
+    # Snapshot events that an earlier run has met don't come again.
+    assert events.bounded(df, (2, 1), after=(9, 1)).count() == 0
     assert events.latest_position(df) == (9, 1)
     assert events.latest_position(df.where("false")) is None
 
@@ -115,7 +118,7 @@ def test_streams_are_named_by_database_and_collection(spark):
 
 def test_cursor_counts_from_one(spark):
     df = spark.range(1000).selectExpr("1000 - id as k")
-    stamped = events.with_cursor(df, ["k"], dt.datetime(1970, 1, 1, 0, 0, 7, 900_000), buckets=8)
+    stamped = events.with_cursor(df, ["k"], dt.datetime(1970, 1, 1, 0, 0, 7, 900_000))
     assert [(r["k"], r[CURSOR]) for r in stamped.orderBy("k").collect()] == [(i, 700_000_000 + i) for i in range(1, 1001)]
 
 

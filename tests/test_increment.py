@@ -136,7 +136,7 @@ def test_lookup_with_a_hot_key(spark, rows, fits, how):
     events = [(random.choice([0, 0, 0, random.randrange(9)]), i % 5) for i in range(500)]
     big = spark.createDataFrame(events, "k bigint, v bigint")
     small = spark.createDataFrame([(k, str(k)) for k in range(0, 9, 2)], "k bigint, name string")
-    found = rows(joins.lookup(big, small, ["k"], how, fits=fits, least=30))
+    found = rows(joins.lookup(big, small, ["k"], how, fits=fits))
     if how == "left":
         expected = [(k, v, str(k) if k % 2 == 0 else None) for k, v in events]
     else:
@@ -144,10 +144,15 @@ def test_lookup_with_a_hot_key(spark, rows, fits, how):
     assert found == sorted(expected, key=repr)
 
 
-def test_hot_keys(spark, rows):
-    df = spark.range(1000).selectExpr("if(id < 600, 0, id) as k")
-    assert rows(joins.hot_keys(df, ["k"], least=50)) == [(0,)]
-    assert rows(joins.hot_keys(df, ["k"])) == []
+def test_a_hot_key_is_split(spark):
+    """Both sides are shuffled for the join, also one that an aggregate has dealt out by the key before."""
+    big = spark.range(1000).selectExpr("if(id < 600, 0, id) as k")
+    small = spark.range(1000).selectExpr("id as k").groupBy("k").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = joins.lookup(big, small, ["k"], fits=False)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above, below = plan.split("Coalesce")
+    assert above.count("ENSURE_REQUIREMENTS") == 2 and "SortMergeJoin" in above
 
 
 def test_sizes_are_measured(spark):
@@ -156,3 +161,11 @@ def test_sizes_are_measured(spark):
     assert not joins.fits_broadcast(df, rows=99)
     assert not joins.fits_broadcast(df, size=1000)
     assert joins.fits_broadcast(df.select("id"), size=1600)
+
+
+def test_operations_in_lower_case_and_unknown_ones(spark, rows):
+    found = increment.net_changes(changes(spark, (1, 10, "I"), (1, 12, "d"), (2, 11, "u")), ["id"], 0)
+    assert rows(found) == [(1, 12, "D"), (2, 11, "U")]
+    for bad in ("X", None):
+        with pytest.raises(Exception, match="unknown change operation"):
+            increment.net_changes(changes(spark, (1, 10, "I"), (1, 12, bad)), ["id"], 0).collect()

@@ -90,3 +90,26 @@ def test_stream_keeps_the_current_state(spark, rows, tmp_path):
     # Applying everything once more changes nothing.
     assert shown(streams.current(folded, later, keys, order)) == expected
     assert shown(streams.current(folded, later, keys, order, hard=True)) == expected
+
+
+def test_an_older_change_does_not_replace_a_newer_row(spark, rows):
+    shape = f"id int, v string, at int, {DELETED_AT} string"
+    base = spark.createDataFrame([(1, "new", 9, None), (2, "old", 1, None), (3, "first", None, None), (4, "kept", 2, None)], shape)
+    changes = spark.createDataFrame([(1, "late", 5, None), (2, "next", 3, None), (3, "next", 3, None), (5, None, 4, "gone")], shape)
+    want = [(1, "new", 9, None), (2, "next", 3, None), (3, "next", 3, None), (4, "kept", 2, None), (5, None, 4, "gone")]
+    once = apply_changes(base, changes, ["id"], ["at"])
+    assert rows(once) == want and rows(apply_changes(once, changes, ["id"], ["at"])) == want
+    assert rows(apply_changes(base, changes, ["id"], ["at"], hard=True)) == want[:4]
+
+
+def test_deletes_by_binary_and_uuid_ids_meet_their_documents(spark, rows):
+    keys = ['{"$binary":{"base64":"AQIDBA==","subType":"00"}}', '{"$uuid":"00112233-4455-6677-8899-aabbccddeeff"}', '{"$date":7}', '"plain"']
+    source = ("db", "c", 1000, 1, "false")
+    born = [(k, None, f'{{"_id":{k},"v":1}}', source, "c") for k in keys]
+    gone = [(k, None, None, ("db", "c", 2000, 1, "false"), "d") for k in keys]
+    log = spark.createDataFrame(born + gone, ENVELOPE)
+    for fields in ({"_id": "string", "v": "integer"}, None):
+        changes = events_to_rows(log, fields)
+        base = changes.where("false").drop("position")
+        assert apply_changes(base, changes, ["_id"], ["position"], hard=True).count() == 0
+        assert apply_changes(base, changes, ["_id"], ["position"]).count() == len(keys)

@@ -54,10 +54,13 @@ def test_points_outside_the_bounds_are_left_out():
     assert ranges.split_ranges([], None, None) == [(None, None)]
 
 
-@pytest.mark.parametrize("buckets", [1, 4, 64])
-def test_dense_numbers(pairs, buckets):
+@pytest.mark.parametrize("partitions", ["1", "4", "64"])
+def test_dense_numbers(spark, pairs, partitions):
     tuples, df = pairs
-    numbered = ranges.with_dense_number(df, ["a", "b"], "n", buckets)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    numbered = ranges.with_dense_number(df, ["a", "b"], "n")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     assert sorted((n, (a, b)) for a, b, n in numbered.collect()) == list(enumerate(tuples, 1))
 
 
@@ -66,26 +69,34 @@ def test_dense_numbers_of_a_hot_key(spark):
     random.seed(5)
     rows = [(500, 0)] * 700 + [(500, i) for i in range(100)] + [(random.randrange(1000), 1) for _ in range(1300)]
     df = spark.createDataFrame(random.sample(rows, len(rows)), "k bigint, v bigint").repartition(6)
-    numbered = ranges.with_dense_number(df, ["k"], "n", 32, crowded=300)
+    numbered = ranges.with_dense_number(df, ["k"], "n")
     found = sorted(numbered.collect(), key=lambda r: r["n"])
     assert [r["n"] for r in found] == list(range(1, len(rows) + 1))
     assert [r["k"] for r in found] == sorted(k for k, _ in rows)
     assert sorted((r["k"], r["v"]) for r in found) == sorted(rows)
-    plan = numbered._jdf.queryExecution().toString()
-    usual = ranges.with_dense_number(df, ["k"], "n", 32)._jdf.queryExecution().toString()
-    assert "_own" in plan and "_own" not in usual
+    # Numbers depend on the rows alone, not on how they are dealt out.
+    again = ranges.with_dense_number(df.repartition(3), ["k"], "n").collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found))
+
+
+def test_a_hot_key_is_dealt_out(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(4000).selectExpr("if(id % 2 = 0, 7, id) as k", "id as v")
+    ranges_of = ranges.with_dense_number(df, ["k"], "n").where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(ranges_of) >= 3
 
 
 def test_dense_numbers_of_times_and_nothing(spark):
     df = spark.range(300).selectExpr("timestamp_ntz'2024-03-10 00:00:00' + make_dt_interval(0, cast(299 - id as int)) as t")
-    numbered = ranges.with_dense_number(df, ["t"], "n", 8).orderBy("t").collect()
+    numbered = ranges.with_dense_number(df, ["t"], "n").orderBy("t").collect()
     assert [r["n"] for r in numbered] == list(range(1, 301))
-    assert ranges.with_dense_number(df.where("false"), ["t"], "n", 8).count() == 0
+    assert ranges.with_dense_number(df.where("false"), ["t"], "n").count() == 0
 
 
 def test_chunks_are_those_of_limited_reads(pairs):
     tuples, df = pairs
-    chunks = ranges.chunk_scan(df, ["a", "b"], 100, after=tuples[9], buckets=5)
+    chunks = ranges.chunk_scan(df, ["a", "b"], 100, after=tuples[9])
     rest = tuples[10:]
     found = {(r["a"], r["b"]): r["chunk"] for r in chunks.collect()}
     assert found == {t: i // 100 for i, t in enumerate(rest)}

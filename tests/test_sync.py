@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.names import CURSOR, DELETED_AT
 from tidemark.operators.events import ENVELOPE
+from tidemark.plans.state import compact_state, read_state
 from tidemark.sync import Collection, Store, SyncError, Table, current_rows, reset, sync_collections, sync_tables
 
 NOW = dt.datetime(2024, 6, 1, 12)
@@ -184,6 +185,60 @@ def test_collection_runs(spark, store):
     assert sorted(cursors) == [start + 1, start + 2]
 
 
+def test_a_snapshot_that_died_goes_on_after_its_last_chunk(spark, store, monkeypatch):
+    values = {f"k{i:02d}": i for i in range(25)}
+    one = collection(spark, "one", values)
+    write, seen = Store.write, []
+
+    def dying(self, namespace, stream, batch, rows):
+        if batch == 2:
+            raise RuntimeError("lost")
+        seen.append(batch)
+        write(self, namespace, stream, batch, rows)
+
+    monkeypatch.setattr(Store, "write", dying)
+    with pytest.raises(RuntimeError, match="lost"):
+        sync_collections(store, [one], log(spark, ("one", "k00", 0, 10)), NOW, chunk_rows=5)
+    monkeypatch.setattr(Store, "write", write)
+    state = {r["stream"]: r for r in read_state(spark, store.state).collect()}["one"]
+    assert (state["status"], state["key"], state["id_type"], seen) == ("IN_PROGRESS", ["k09"], "string", [0, 1])
+
+    # A document of the first chunk changes before the next run.
+    changed = log(spark, ("one", "k00", 0, 10), ("one", "k03", 333, 11), ("one", "k20", 20, 12))
+    assert sync_collections(store, [one], changed, NOW, chunk_rows=5) == "changes, snapshot"
+    assert state_of(store, "one") == {k: (333 if k == "k03" else v, False) for k, v in values.items()}
+    rows = spark.read.parquet(store.folder("db", "one"))
+    found = rows.where("_id <> 'k03' and _id <> 'k20'").groupBy("_id").count().collect()
+    assert len(found) == 23 and {r["count"] for r in found} == {1}
+    assert {r["stream"]: r["status"] for r in read_state(spark, store.state).collect()}["one"] == "COMPLETE"
+
+
+def test_unknown_events_are_set_aside(spark, store):
+    one = collection(spark, "one", {"a": 1})
+    sync_collections(store, [one], log(spark, ("one", "a", 1, 10)), NOW)
+    more = log(spark, ("one", "a", 1, 10), ("one", "a", 2, 11)).withColumn("op", F.when(F.col("after").contains("2"), "u").otherwise("r"))
+    odd = more.unionByName(log(spark, ("one", "b", 5, 12)).withColumn("op", F.lit("t")))
+    with pytest.warns(UserWarning, match="unknown"):
+        sync_collections(store, [one], odd, NOW)
+    assert state_of(store, "one") == {"a": (2, False)}
+    assert spark.read.parquet(f"{store.out}/_unknown").count() == 1
+
+
+def test_a_run_adds_few_state_files(spark, store):
+    three = [collection(spark, name, {"a": 1}) for name in ("one", "two", "three")]
+    first = log(spark, ("one", "a", 1, 10))
+    sync_collections(store, three, first, NOW)
+    files = len(spark.read.parquet(store.state).inputFiles())
+    sync_collections(store, three, first.unionByName(log(spark, ("two", "a", 2, 11))), NOW)
+    assert len(spark.read.parquet(store.state).inputFiles()) == files + 2
+    before = sorted(map(str, read_state(spark, store.state).collect()))
+    compact_state(spark, store.state)
+    assert len(spark.read.parquet(store.state).inputFiles()) == 1
+    assert sorted(map(str, read_state(spark, store.state).collect())) == before
+    assert sync_collections(store, three, first.unionByName(log(spark, ("two", "a", 3, 12))), NOW) == "changes"
+    assert state_of(store, "two") == {"a": (3, False)}
+
+
 def test_a_purged_log_fails_or_starts_over(spark, store):
     one = collection(spark, "one", {"a": 1})
     sync_collections(store, [one], log(spark, ("one", "a", 1, 10)), NOW)

@@ -165,8 +165,12 @@ def as_text(value: Column, shape: Column, ms: Column, plain: Column) -> Column:
 
 
 def as_number(value: Column, data_type: str = "double") -> Column:
-    """Numeric value of a plain or wrapped number; text that holds a number counts, other values are null."""
-    return F.coalesce(get(value, "$", data_type), number_text(value).try_cast(data_type))
+    """Numeric value of a plain or wrapped number; text that holds a number counts, other values are null.
+
+    Whole types cut fractions off, of wrapped numbers as of plain ones.
+    """
+    text = number_text(value)
+    return F.coalesce(get(value, "$", data_type), text.try_cast(data_type), text.try_cast("double").try_cast(data_type))
 
 
 def as_boolean(value: Column) -> Column:
@@ -187,6 +191,24 @@ def has_form(text: Column) -> Column:
     return ~functools.reduce(operator.or_, (text.startswith(f'{{"${key}"') for key in DROPPED_KEYS))
 
 
+# Wrappers whose plain value stands in them as it is. A quote can't stand bare inside a JSON string, so none of these
+# is ever found inside of one. Decimal numbers only where the text is the shortest one of its value.
+_LEAVES = (
+    r'\{\s*"\$(?:oid|symbol)"\s*:\s*("(?:[^"\\]|\\.)*")\s*\}',
+    r'\{\s*"\$number(?:Int|Long)"\s*:\s*"(-?(?:0|[1-9][0-9]*))"\s*\}',
+    r'\{\s*"\$number(?:Double|Decimal)"\s*:\s*"(-?(?:0|[1-9][0-9]{0,9})\.[0-9]{0,2}[1-9])"\s*\}',
+)
+
+
+def has_wrappers(texts: Column) -> Column:
+    return F.coalesce(texts.contains('{"$'), F.lit(False))
+
+
+def native_texts(texts: Column) -> Column:
+    """JSON texts with the wrappers of ids, symbols and most numbers replaced by their plain values, without Python."""
+    return functools.reduce(lambda text, leaf: F.regexp_replace(text, leaf, "$1"), _LEAVES, texts)
+
+
 def plain_texts(texts: Column, time_unit: str = "raw") -> Column:
     """JSON texts with every wrapper inside replaced by its plain value; null stays null."""
 
@@ -203,11 +225,19 @@ class _Dropped:
 
 def plain_text(text: str, time_unit: str = "raw") -> str:
     # The hook sees inner objects before outer ones. Text after the value is ignored, as when Spark parses it.
-    decoder = json.JSONDecoder(object_hook=lambda fields: _plain(fields, time_unit))
+    decoder = json.JSONDecoder(object_hook=lambda fields: _readable(fields, time_unit))
     value, _ = decoder.raw_decode(text.lstrip())
     return json.dumps(value, ensure_ascii=False, separators=(",", ":"), default=lambda _: None)
 
 
+def _readable(fields: dict[str, Any], unit: str) -> Any:
+    """The plain value; null for a wrapper whose content can't be read, so that one bad value doesn't fail the job."""
+    try:
+        return _plain(fields, unit)
+    except (ArithmeticError, AttributeError, KeyError, TypeError, ValueError):
+        return None
+
+
 def _plain(fields: dict[str, Any], unit: str) -> Any:
     tag = next((key[1:] for key in fields if key[:1] == "$"), None)
     if tag is None or not (tag in WRAPPERS or tag in ("scope", "options")):
@@ -236,9 +266,7 @@ def _plain(fields: dict[str, Any], unit: str) -> Any:
         case "code" | "scope":
             if "$scope" not in fields:
                 return inner
-            # Of the scope, only a field of that very name is kept.
-            scope = fields["$scope"]
-            return {"code": fields["$code"], "scope": {name: scope[name] for name in ("scope",) if name in scope}}
+            return {"code": fields["$code"], "scope": fields["$scope"]}
         case _:
             return _Dropped if WRAPPERS[tag] in DROPPED else inner
 

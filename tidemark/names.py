@@ -14,7 +14,6 @@ TEXT_SUFFIX = "_aibyte_transform"
 CURSOR_STRIDE = 100_000_000
 
 # Sizes.
-DISCOVERY_SAMPLE = 10_000
 SPLIT_SAMPLE = 1_024
 CHUNK_BYTES = 1 << 30
 CHUNK_ROWS = 1_000_000

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import extjson
-from tidemark.names import DISCOVERY_SAMPLE, DOCUMENT_ID, ID_TYPES, PACKED, TEXT_SUFFIX
+from tidemark.names import DOCUMENT_ID, ID_TYPES, PACKED, TEXT_SUFFIX
 from tidemark.operators.ranges import random_rows
 
 # Declared JSON type -> column type; other declared types are taken as Spark numeric types.
@@ -41,27 +41,38 @@ def discover_schema(df: DataFrame, document: str, by: Sequence[str] = ()) -> Dat
     )
 
 
-def sample_documents(df: DataFrame, size: int = DISCOVERY_SAMPLE, seed: int = 7) -> DataFrame:
-    """The documents to discover a schema from: ``size`` of them at random, all of a small collection."""
-    return random_rows(df, size, seed)
+def sample_documents(df: DataFrame, size: int | None = None, seed: int = 7) -> DataFrame:
+    """The documents to discover a schema from: all of them, or ``size`` of them at random where that is asked for.
+
+    A field that only documents outside a sample have is not discovered.
+    """
+    return df if size is None else random_rows(df, size, seed)
 
 
 def _fields(document: str, names: Sequence[str]) -> Column:
-    """The named top-level fields as variants; only these are kept while parsing, and bad JSON is an error."""
+    """The named top-level fields as variants; only these are kept while parsing, and bad JSON is an error.
+
+    The fields of the result are called by their place, for names may differ by case only.
+    """
     schema = T.StructType([T.StructField(name, T.VariantType()) for name in names])
-    return F.from_json(document, schema, {"mode": "FAILFAST"})
+    placed = T.StructType([T.StructField(f"f{place}", T.VariantType()) for place in range(len(names))])
+    return F.from_json(document, schema, {"mode": "FAILFAST"}).cast(placed)
 
 
 def id_type(document: str) -> Column:
-    return extjson.type_name(_fields(document, [DOCUMENT_ID])[DOCUMENT_ID])
+    return extjson.type_name(_fields(document, [DOCUMENT_ID])["f0"])
 
 
 def discover_packed(df: DataFrame, document: str, by: Sequence[str] = ()) -> DataFrame:
-    """Schemaless discovery: only ``_id`` and its type, taken from one document; no documents, no rows."""
-    kind = extjson.json_type(_fields(document, [DOCUMENT_ID])[DOCUMENT_ID])
-    if by:
-        return df.groupBy(*by).agg(F.lit(DOCUMENT_ID).alias("field"), F.first(kind).alias("type"))
-    return df.limit(1).select(F.lit(DOCUMENT_ID).alias("field"), kind.alias("type"))
+    """Schemaless discovery: only ``_id`` and the most frequent type of it, the first by name among equals.
+
+    No documents, no rows.
+    """
+    kind = extjson.json_type(_fields(document, [DOCUMENT_ID])["f0"])
+    counted = df.select(*by, kind.alias("type")).groupBy(*by, "type").agg(F.count("*").alias("n"))
+    best = F.min(F.struct(-F.col("n"), "type"))
+    found = counted.groupBy(*by).agg(F.lit(DOCUMENT_ID).alias("field"), best.alias("best"))
+    return found.where("best is not null").select(*by, "field", "best.type")
 
 
 def id_type_census(df: DataFrame, document: str, by: Sequence[str] = ()) -> DataFrame:
@@ -100,8 +111,9 @@ def normalize(
         return [make(i).alias(f"{prefix}{i}") for i in which]
 
     # Each step is a projection of its own, so that no later expression repeats an earlier one.
-    rows = df.select(*keep, _fields(document, list(dict.fromkeys(names))).alias("_v"))
-    rows = rows.select(*keep, *columns("_f", at, lambda i: F.col("_v")[names[i]]))
+    place = {name: i for i, name in enumerate(dict.fromkeys(names))}
+    rows = df.select(*keep, _fields(document, list(place)).alias("_v"))
+    rows = rows.select(*keep, *columns("_f", at, lambda i: F.col("_v")[f"f{place[names[i]]}"]))
     rows = rows.select("*", *columns("_s", text, lambda i: F.schema_of_variant(f"_f{i}")))
     rows = rows.select(
         "*",
@@ -132,22 +144,31 @@ def normalize(
 def _rewritten(rows: DataFrame, plain: dict[int, Column], time_unit: str) -> tuple[DataFrame, dict[int, Column]]:
     """Replaces values that may hold wrappers by their wrapper-free form.
 
-    Python gets one text per row, an array of these values; rows without any travel as null.
+    Ids, symbols and numbers are replaced as text. What still holds wrappers then goes to Python, one text per row, an
+    array of these values; rows without any travel as null.
     """
     order = list(plain)
-    asked = {i: F.coalesce(F.col(f"_j{i}").contains('{"$'), F.lit(False)) for i in order}
-    parts = F.concat_ws(",", *[F.when(asked[i], F.col(f"_j{i}")).otherwise(F.lit("null")) for i in order])
+    found = {i: extjson.has_wrappers(F.col(f"_j{i}")) for i in order}
+    native = [F.when(found[i], extjson.native_texts(F.col(f"_j{i}"))).alias(f"_n{i}") for i in order]
+    rows = rows.select("*", *native)
+    asked = {i: extjson.has_wrappers(F.col(f"_n{i}")) for i in order}
+    parts = F.concat_ws(",", *[F.when(asked[i], F.col(f"_n{i}")).otherwise(F.lit("null")) for i in order])
     some = functools.reduce(lambda a, b: a | b, asked.values())
     text = F.when(some, F.concat(F.lit("["), parts, F.lit("]")))
     rows = rows.select("*", extjson.plain_texts(text, time_unit).alias("_t"))
     rows = rows.select("*", F.parse_json("_t").alias("_p")).drop("_t")
     at = {i: F.variant_get("_p", f"$[{place}]", "variant") for place, i in enumerate(order)}
-    return rows, {i: F.when(asked[i], at[i]).otherwise(plain[i]) for i in order}
+    return rows, {i: F.when(asked[i], at[i]).when(found[i], F.parse_json(f"_n{i}")).otherwise(plain[i]) for i in order}
 
 
 def pack(df: DataFrame, document: str, keep: Sequence[str] = (), time_unit: str = "raw") -> DataFrame:
-    """Schemaless form: ``_id`` as text and the whole document, with plain values, as one variant."""
-    asked = F.when(F.col(document).contains('"$'), F.col(document))
-    plain = F.coalesce(extjson.plain_texts(asked, time_unit), F.col(document))
-    packed = df.select(*keep, plain.alias("_t")).select(*keep, F.parse_json("_t").alias(PACKED))
+    """Schemaless form: ``_id`` as text and the whole document, with plain values, as one variant.
+
+    Only documents with wrappers of the rarer types pass through Python.
+    """
+    text = F.when(extjson.has_wrappers(F.col(document)), extjson.native_texts(F.col(document))).otherwise(F.col(document))
+    rows = df.select(*keep, text.alias("_n"))
+    asked = F.when(extjson.has_wrappers(F.col("_n")), F.col("_n"))
+    packed = rows.select(*keep, F.coalesce(extjson.plain_texts(asked, time_unit), F.col("_n")).alias("_t"))
+    packed = packed.select(*keep, F.parse_json("_t").alias(PACKED))
     return packed.select(*keep, F.try_variant_get(PACKED, "$._id", "string").alias(DOCUMENT_ID), PACKED)

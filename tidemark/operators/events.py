@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import extjson
+from tidemark.functions.predicates import key_after
 from tidemark.functions.values import event_position, iso_instant
 from tidemark.names import CURSOR, CURSOR_STRIDE, DELETED_AT, DOCUMENT_ID, UPDATED_AT
 from tidemark.operators.documents import normalize, pack
@@ -55,24 +57,31 @@ def position_literal(position: Sequence[int]) -> Column:
 
 
 def bounded(events: DataFrame, target: Sequence[int], after: Sequence[int] | None = None) -> DataFrame:
-    """Events after a stored position up to and including the target; snapshot events are always kept."""
+    """Events after a stored position up to and including the target; the target doesn't hold back snapshot events."""
     ms, at = F.col("source.ts_ms"), F.col("position")
-    around, live = ms < (target[0] + 1) * 1000, at <= position_literal(target)
-    if after is not None:
-        around, live = around & (ms >= after[0] * 1000), live & (at > position_literal(after))
     snapshot = F.col("source.snapshot").isin("true", "last")
     # The first filter is implied by the second, and plain enough for the reader to skip files by. It names the
     # snapshot events in another way, or else the optimizer would fold both into one that readers cannot use.
-    near = around | (F.col("source.snapshot") != "false")
-    return with_position(events.where(near)).where(snapshot | live)
+    near = (ms < (target[0] + 1) * 1000) | (F.col("source.snapshot") != "false")
+    kept = snapshot | (at <= position_literal(target))
+    if after is not None:
+        near, kept = near & (ms >= after[0] * 1000), kept & (at > position_literal(after))
+    return with_position(events.where(near)).where(kept)
 
 
 def key_id(key: Column) -> Column:
-    """Document id from the event key: the hex of an object id, a wrapped number, or text without its quotes."""
-    wrapped = F.coalesce(
-        F.get_json_object(key, "$.$oid"), F.get_json_object(key, "$.$numberLong"), F.get_json_object(key, "$.$numberInt")
-    )
-    return F.when(key.contains('"$'), F.coalesce(wrapped, key)).otherwise(F.regexp_replace(key, '^"|"$', ""))
+    """Document id from the event key, in the text form that the same id has in a document's row.
+
+    Object ids as hex, wrapped numbers as digits, binary ids and UUIDs as base64, dates as ISO text, plain text without
+    its quotes. Text that is no JSON, and wrappers of types that no id has, stay as they are.
+    """
+    value = F.try_parse_json(key)
+    shape = F.schema_of_variant(value)
+    uuid = F.base64(F.unhex(F.replace(extjson.get(value, "$.$uuid"), F.lit("-"), F.lit(""))))
+    binary = F.coalesce(extjson.get(value, "$.$binary.base64"), extjson.get(value, "$.$binary"))
+    form = extjson.as_text(value, shape, extjson.time_ms(value, shape), F.lit(None).cast("variant"))
+    wrapped = F.coalesce(form, F.when(extjson.shape_is(shape, "binary"), binary), F.when(extjson.shape_is(shape, "uuid"), uuid))
+    return F.when(F.ltrim(key).startswith("{"), F.coalesce(wrapped, key)).otherwise(F.coalesce(extjson.get(value, "$"), key))
 
 
 def _images(events: DataFrame) -> DataFrame:
@@ -120,13 +129,10 @@ def known_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events.where(known), events.where(~known)
 
 
-def with_cursor(
-    rows: DataFrame, order: Sequence[str], emitted_at: dt.datetime, buckets: int | None = None
-) -> DataFrame:
+def with_cursor(rows: DataFrame, order: Sequence[str], emitted_at: dt.datetime) -> DataFrame:
     """Adds the cursor: seconds of the run's start times a fixed stride, plus a counter from 1 in row order."""
-    start = int(emitted_at.replace(tzinfo=emitted_at.tzinfo or dt.timezone.utc).timestamp()) * CURSOR_STRIDE
-    numbered = with_dense_number(rows, order, "_number", buckets)
-    return numbered.withColumn(CURSOR, F.lit(start).cast("bigint") + F.col("_number")).drop("_number")
+    numbered = with_dense_number(rows, order, "_number")
+    return numbered.withColumn(CURSOR, F.lit(_cursor_start(emitted_at)).cast("bigint") + F.col("_number")).drop("_number")
 
 
 def stamp_snapshot(
@@ -135,6 +141,37 @@ def stamp_snapshot(
     """Change metadata of snapshot rows; rows of full-refresh streams get none."""
     if not incremental:
         return rows
-    moment = dt.datetime.fromtimestamp(emitted_at_ms // 1000, dt.timezone.utc)
-    stamps = {UPDATED_AT: iso_instant(F.lit(emitted_at_ms)), DELETED_AT: F.lit(None).cast("string")}
-    return with_cursor(rows.withColumns(stamps), order, moment)
+    return with_cursor(_stamped(rows, emitted_at_ms), order, _moment(emitted_at_ms))
+
+
+def _moment(ms: int) -> dt.datetime:
+    return dt.datetime.fromtimestamp(ms // 1000, dt.timezone.utc)
+
+
+def _stamped(rows: DataFrame, emitted_at_ms: int) -> DataFrame:
+    return rows.withColumns({UPDATED_AT: iso_instant(F.lit(emitted_at_ms)), DELETED_AT: F.lit(None).cast("string")})
+
+
+def chunked_snapshot(
+    rows: DataFrame,
+    emitted_at_ms: int,
+    chunk_rows: int,
+    after: str | None = None,
+    incremental: bool = True,
+    order: str = DOCUMENT_ID,
+) -> DataFrame:
+    """Rows of a collection snapshot after a stored id, with change metadata and the number of the chunk of each row.
+
+    The chunks follow the order of the ids as text, so the last id of a chunk is where a later run can go on.
+    """
+    rest = rows if after is None else rows.where(key_after(rows, [order], (after,)))
+    numbered = with_dense_number(rest, [order], "_number")
+    chunk = F.call_function("div", F.col("_number") - 1, F.lit(chunk_rows).cast("bigint"))
+    chunked = _stamped(numbered, emitted_at_ms) if incremental else numbered
+    if incremental:
+        chunked = chunked.withColumn(CURSOR, F.lit(_cursor_start(_moment(emitted_at_ms))).cast("bigint") + F.col("_number"))
+    return chunked.withColumn("chunk", chunk).drop("_number")
+
+
+def _cursor_start(emitted_at: dt.datetime) -> int:
+    return int(emitted_at.replace(tzinfo=emitted_at.tzinfo or dt.timezone.utc).timestamp()) * CURSOR_STRIDE

@@ -57,12 +57,15 @@ def net_changes(
     """The last change of every key after version ``since``.
 
     Version and operation travel as one number, so that keys with many changes shrink inside each map task
-    before the shuffle. Within one version a delete gives way to the row that replaced it.
+    before the shuffle. Within one version a delete gives way to the row that replaced it. Operations may be in
+    lower case; any other operation, also null, fails the job, for its key's state would be unknown.
     """
     window = F.col(version) > bound(changes, version, since)
     if until is not None:
         window = window & (F.col(version) <= bound(changes, version, until))
-    rank = F.element_at(F.create_map(*[F.lit(x) for i, op in enumerate(OPERATIONS) for x in (op, i)]), F.col(operation))
+    ranks = F.create_map(*[F.lit(x) for i, op in enumerate(OPERATIONS) for x in (op, i)])
+    unknown = F.raise_error(F.concat(F.lit("unknown change operation: "), F.coalesce(F.col(operation), F.lit("null"))))
+    rank = F.coalesce(F.element_at(ranks, F.upper(operation)), unknown.cast("int"))
     packed = F.max(F.col(version).cast("bigint") * len(OPERATIONS) + rank)
     last = changes.where(window).groupBy(*keys).agg(packed.alias("_last"))
     at = F.pmod(F.col("_last"), F.lit(len(OPERATIONS))).cast("int")
@@ -123,6 +126,7 @@ def current_images(
     touched = settle(events.where(updates).select(*on).distinct())
     few = fits_broadcast(touched)
     docs = current.select(*on, F.col(document).alias("_current"))
-    docs = keep_keys(docs, touched, on, small=few)
+    # Read once here; the copy is what is weighed and joined.
+    docs = settle(keep_keys(docs, touched, on, small=few))
     joined = lookup(events, docs, on, "left")
     return joined.withColumn(image, F.when(updates, F.col("_current")).otherwise(F.col(image))).drop("_current")

@@ -1,4 +1,4 @@
-"""Joins whose strategy follows measured sizes and counts."""
+"""Joins whose strategy follows measured sizes."""
 
 from __future__ import annotations
 
@@ -7,13 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import settle, shuffle_partitions
-
 BROADCAST_BYTES = 64 << 20
 BROADCAST_ROWS = 1_000_000
 
-# Keys with fewer rows than this are never treated as hot.
-HOT_ROWS = 100_000
+# More than any frame has, so that no partitions are merged.
+_MOST_PARTITIONS = 1 << 24
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -48,39 +46,21 @@ def _by_keys(big: DataFrame, keys_df: DataFrame, on: Sequence[str], how: str, sm
     return big.join(keys, list(on), how)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], least: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold more than half of an even share of a task: at most two per shuffle partition.
+def reshuffled(df: DataFrame) -> DataFrame:
+    """The same rows, with the way they are dealt out forgotten.
 
-    Counting shrinks inside map tasks first, so a hot key costs no more than any other.
+    A join then shuffles both of its sides, also one that an aggregate has dealt out before, which is what lets adaptive
+    execution split the rows of a hot key.
     """
-    counts = settle(df.groupBy(*on).agg(F.count("*").alias("n")))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    share = max(least, total // (2 * shuffle_partitions(df.sparkSession)))
-    return counts.where(F.col("n") > share).select(*on)
-
-
-def lookup(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    fits: bool | None = None,
-    least: int = HOT_ROWS,
-) -> DataFrame:
+    return df.coalesce(_MOST_PARTITIONS)
+
+
+def lookup(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left", fits: bool | None = None) -> DataFrame:
     """Join ``big`` to at most one row of ``small`` per key, also when a few keys hold most of ``big``.
 
-    A ``small`` side that was measured to fit is broadcast. Otherwise the hot keys of ``big``, which are few by
-    definition, meet their rows of ``small`` without a shuffle, and all other keys are joined by one.
+    A ``small`` side that was measured to fit is broadcast. Otherwise both sides are shuffled, and adaptive execution
+    splits the rows of hot keys.
     """
     if fits_broadcast(small) if fits is None else fits:
         return big.join(F.broadcast(small), list(on), how)
-    hot = settle(hot_keys(big, on, least))
-    if not fits_broadcast(hot):
-        return big.join(small, list(on), how)
-    hot_rows = settle(keep_keys(small, hot, on, small=True))
-    if not fits_broadcast(hot_rows):
-        # Few but huge rows: the join splits skewed partitions itself.
-        return big.join(small, list(on), how)
-    few = keep_keys(big, hot, on, small=True).join(F.broadcast(hot_rows), list(on), how)
-    rest = drop_keys(big, hot, on, small=True).join(small, list(on), how)
-    return few.unionByName(rest)
+    return big.join(reshuffled(small), list(on), how)

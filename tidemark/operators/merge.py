@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.names import DELETED_AT
-from tidemark.operators.joins import drop_keys, fits_broadcast
+from tidemark.operators.joins import drop_keys, fits_broadcast, keep_keys
 from tidemark.session import settle
 
 
@@ -36,8 +36,16 @@ def apply_changes(
 
     Deleted keys stay with their delete time, or go away when ``hard``. Applying the same changes again gives
     the same table. When the changed keys are few, the target is only filtered, without a shuffle.
+
+    A target that has the ``order`` columns keeps its row where that is newer, so that changes may come again, late or
+    in any order; rows without an order are older than all changes. A target without them takes every change, and hard
+    deletes forget the order of what they deleted: such a key comes back if an older change is applied again.
     """
     last = settle(latest_per_key(changes, keys, order))
-    kept = drop_keys(target, last, keys, small=fits_broadcast(last.select(*keys)))
+    small = fits_broadcast(last.select(*keys))
+    kept = drop_keys(target, last, keys, small=small)
+    if set(order) <= set(target.columns):
+        touched = keep_keys(target, last, keys, small=small)
+        last = latest_per_key(last.select(*target.columns).unionByName(touched), keys, order)
     alive = last.where(F.col(deleted).isNull()) if hard else last
     return kept.unionByName(alive.select(*target.columns))

@@ -16,16 +16,10 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.predicates import bound, key_after, key_range, plain
 from tidemark.names import SPLIT_SAMPLE
-from tidemark.session import settle, shuffle_partitions
+from tidemark.session import settle
 
 Key = tuple[Any, ...]
 
-# Small frames get fewer ranges, of at least about this many rows.
-RANGE_ROWS = 10_000
-
-# Ranges with fewer rows than this are never parted further.
-CROWDED_ROWS = 1_000_000
-
 
 def max_key(df: DataFrame, keys: Sequence[str]) -> Key | None:
     """Largest key tuple, None for no rows. One row reaches the driver."""
@@ -46,13 +40,15 @@ def _zoned(df: DataFrame, keys: Sequence[str], values: Sequence[Any]) -> Key:
 def random_rows(df: DataFrame, size: int, seed: int = 7, total: int | None = None) -> DataFrame:
     """``size`` rows at random, all of them when there are no more.
 
-    The rows are counted first, so that every task hands on its share of the sample and not more.
+    The rows are counted first, so that every task hands on its share of the sample and not more. A sample that falls
+    short, which hardly ever happens, is drawn from all rows instead.
     """
     total = df.count() if total is None else total
-    # Wide enough a margin that the sample hardly ever falls short.
     fraction = (size + 6 * size**0.5 + 20) / max(total, 1)
-    part = df if fraction >= 1 else df.sample(fraction, seed)
-    return part.orderBy(F.rand(seed)).limit(size)
+    if fraction < 1:
+        part = settle(df.sample(fraction, seed))
+        df = part if part.count() >= size else df
+    return df.orderBy(F.rand(seed)).limit(size)
 
 
 def split_points(
@@ -135,71 +131,42 @@ def _tuple(keys: Sequence[str]) -> Column:
     return F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
 
 
-def with_dense_number(
-    df: DataFrame,
-    keys: Sequence[str],
-    name: str = "number",
-    buckets: int | None = None,
-    seed: int = 7,
-    crowded: int = CROWDED_ROWS,
-) -> DataFrame:
-    """Number the rows 1, 2, 3, … in the order of ``keys``.
+def with_dense_number(df: DataFrame, keys: Sequence[str], name: str = "number") -> DataFrame:
+    """Number the rows 1, 2, 3, … in the order of ``keys``, and rows with equal keys by a hash of all their columns.
 
-    Rows are cut into many key ranges, each numbered by its own task; a range starts after the row counts
-    of the ranges before it. The ranges depend on key values only, so a rerun task finds the same rows.
-    ``keys`` should identify a row. Where one key holds so many rows that its range is crowded, these rows are
-    numbered by several tasks; their order among themselves is then that of their partitions.
+    The rows are dealt out into ranges of keys and hashes, sorted and settled once; a range starts after the row counts
+    of the ranges before it. The hash parts the rows of a hot key as well, and rows that are equal in everything may
+    swap numbers without a difference. What is numbered is what was settled, also if the source changes meanwhile.
     """
-    total = df.count()
-    buckets = buckets or min(4 * shuffle_partitions(df.sparkSession), total // RANGE_ROWS + 1)
-    points = split_points(df, keys, buckets, seed=seed, total=total)
-    ranged = with_range(df, keys, points, "_range")
-    counts = settle(ranged.groupBy("_range").agg(F.count("*").alias("_rows")))
-    order, group = [F.col(k) for k in keys], ["_range"]
-    # One row per range.
-    largest = max((row["_rows"] for row in counts.collect()), default=0)
-    if points and largest > max(crowded, 4 * total // buckets):
-        ranged, group = _spread_hot(ranged, keys, points), ["_range", "_own", "_part"]
-        counts = settle(ranged.groupBy(*group).agg(F.count("*").alias("_rows")))
-        # Rows of the same key still come in the same order when a task runs again.
-        order.append(F.xxhash64(*[F.col(c) for c in df.columns if df.schema[c].dataType.typeName() not in ("variant", "map")]))
-    # A few rows per range at most, so one small window and a broadcast.
-    earlier = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*group, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    # Every range has a start. An inner join would have the optimizer push tests for missing ranges down through
-    # all that the keys are computed from.
+    opaque = ("variant", "map")
+    plain = [c for c in df.columns if df.schema[c].dataType.typeName() not in opaque]
+    order = [*(F.col(k) for k in keys), F.xxhash64(*plain)]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The place of a row: the number of its range above 33 bits, then its number there.
+    placed = settle(ranged.withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", 33)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    # One row per range, as many as the shuffle has partitions.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.col("_place").bitwiseAND((1 << 33) - 1)
     return (
-        ranged.withColumn("_place", place)
-        .join(F.broadcast(starts), group, "left")
-        .withColumn(name, F.col("_before") + F.col("_place"))
-        .drop(*group, "_place", "_before")
-    )
-
-
-def _spread_hot(ranged: DataFrame, keys: Sequence[str], points: Sequence[Key]) -> DataFrame:
-    """Parts the rows whose key ends their range, as every hot key does, by the partition they lie in.
-
-    A hot key is drawn into the sample so often that it is one of the points. The rows are settled first, which
-    fixes their partitions.
-    """
-    settled = settle(ranged)
-    ends = _constants(settled, keys, points)
-    own = F.coalesce(_tuple(keys) == F.get(ends, F.col("_range")), F.lit(False))
-    return settled.withColumn("_own", own).withColumn(
-        "_part", F.when(F.col("_own"), F.spark_partition_id()).otherwise(F.lit(0))
+        placed.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .withColumn(name, F.col("_before") + inside + 1)
+        .drop("_part", "_place", "_before")
     )
 
 
 def chunk_scan(
-    df: DataFrame, keys: Sequence[str], chunk_rows: int, after: Key | None = None, buckets: int | None = None
+    df: DataFrame, keys: Sequence[str], chunk_rows: int, after: Key | None = None
 ) -> DataFrame:
     """Rows after a key with the number of the chunk each belongs to, ``chunk_rows`` rows per chunk.
 
     All chunks are read at once; chunk n holds what the n-th of a series of limited reads would return.
     """
     rest = df if after is None else df.where(key_after(df, keys, after))
-    numbered = with_dense_number(rest, keys, "_number", buckets)
+    numbered = with_dense_number(rest, keys, "_number")
     chunk = F.call_function("div", F.col("_number") - 1, F.lit(chunk_rows).cast("bigint"))
     return numbered.withColumn("chunk", chunk).drop("_number")
 
@@ -207,6 +174,6 @@ def chunk_scan(
 def checkpoints(chunks: DataFrame, keys: Sequence[str], chunk: str = "chunk") -> DataFrame:
     """One row per chunk that holds rows: its row count and the last key, from which a read resumes."""
     last = F.max(keys[0]) if len(keys) == 1 else F.max(F.struct(*keys))
-    final = F.col(chunk) == F.max(chunk).over(Window.partitionBy())
-    per_chunk = chunks.groupBy(chunk).agg(F.count("*").alias("rows"), last.alias("last_key"))
-    return per_chunk.withColumn("status", F.when(final, F.lit("COMPLETE")).otherwise(F.lit("IN_PROGRESS")))
+    per_chunk = settle(chunks.groupBy(chunk).agg(F.count("*").alias("rows"), last.alias("last_key")))
+    final = per_chunk.agg(F.max(chunk)).first()[0]
+    return per_chunk.withColumn("status", F.when(F.col(chunk) == final, F.lit("COMPLETE")).otherwise(F.lit("IN_PROGRESS")))

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.predicates import before, key_after, key_range
-from tidemark.names import SPLIT_SAMPLE
 from tidemark.operators.ranges import Key, max_key, random_rows
 
 
@@ -94,7 +93,7 @@ def versioned_snapshot(
 
 
 def sample_rows(
-    df: DataFrame, rows: int = SPLIT_SAMPLE, rate: float = 1.0, keys: Sequence[str] = (), seed: int = 7
+    df: DataFrame, rows: int, rate: float = 1.0, keys: Sequence[str] = (), seed: int = 7
 ) -> DataFrame:
     """At most ``rows`` rows in key order: of a random part when ``rate`` is below 1, else the first ones.
 

@@ -49,6 +49,20 @@ def append_state(spark: SparkSession, path: str, rows: Sequence[Mapping[str, Any
     spark.createDataFrame(values, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
+def compact_state(spark: SparkSession, path: str) -> None:
+    """Replaces the files of the log by one with the newest row of every stream.
+
+    The new file is added before the old ones go, and says what they say, so that a crash in between does no harm.
+    """
+    old = spark.read.schema(SCHEMA).parquet(path).inputFiles()
+    names = spark.createDataFrame([], SCHEMA).columns
+    read_state(spark, path).select(*names).coalesce(1).write.mode("append").parquet(path)
+    context = spark.sparkContext
+    for name in old:
+        place = context._jvm.org.apache.hadoop.fs.Path(name)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, False)
+
+
 def text(value: Any) -> str | None:
     """Stored form of a bound; reading casts it back to the column's type."""
     if value is None:

@@ -1,8 +1,8 @@
 """Whole runs: plan the next read of every stream, write its rows, then store its state.
 
 Rows of one read go to ``<out>/<namespace>/<stream>/batch=<n>``. The state row follows the rows, so a run that
-dies in between writes the same batch again. Large snapshots are cut into key ranges, each of them a batch and a
-checkpoint of its own.
+dies in between writes the same batch again. Large snapshots are cut into key ranges or chunks, each of them a batch and
+a checkpoint of its own.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.predicates import bound, cutoff
 from tidemark.names import CURSOR, DELETED_AT, DOCUMENT_ID, ID_TYPES
 from tidemark.operators import events, increment, ranges
+from tidemark.operators.catalog import chunk_rows as chunk_size
 from tidemark.operators import snapshot as snap
 from tidemark.operators.documents import id_type_census
 from tidemark.operators.merge import latest_per_key
@@ -75,9 +76,12 @@ class Store:
     def folder(self, namespace: str, stream: str) -> str:
         return f"{self.out}/{namespace}/{stream}"
 
+    def write(self, namespace: str, stream: str, batch: int, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.folder(namespace, stream)}/batch={batch}")
+
     def save(self, namespace: str, stream: str, batch: int, rows: DataFrame | None, **state: Any) -> None:
         if rows is not None:
-            rows.write.mode("overwrite").parquet(f"{self.folder(namespace, stream)}/batch={batch}")
+            self.write(namespace, stream, batch, rows)
         append_state(self.spark, self.state, [{"namespace": namespace, "stream": stream, "batch": batch, **state}])
 
     def batches(self) -> dict[tuple[str, str], int]:
@@ -85,6 +89,12 @@ class Store:
         latest = read_state(self.spark, self.state).select("namespace", "stream", "batch").collect()
         return {(row["namespace"], row["stream"]): row["batch"] + 1 for row in latest}
 
+    def remove(self, path: str) -> None:
+        """Deletes what a run has staged below ``out``."""
+        context = self.spark.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
 
 def reset(store: Store, namespace: str, stream: str) -> None:
     """Forgets where a stream stopped: its next read starts over."""
@@ -246,15 +256,25 @@ def sync_collections(
     log: DataFrame,
     now: dt.datetime,
     fail_invalid: bool = True,
+    chunk_rows: int | None = None,
 ) -> str:
-    """One run over all collections and their common change log; returns the order of its phases."""
+    """One run over all collections and their common change log; returns the order of its phases.
+
+    Snapshots are taken in chunks of ``chunk_rows``, by default of about one GiB. Each chunk is a batch, with a state row
+    that names its last id, after which the next run goes on if this one dies. The position of the log is stored before
+    the first snapshot, so that changes made meanwhile are read by later runs.
+    """
     spark = store.spark
-    latest = read_state(spark, store.state)
-    stored = latest.where((F.col("namespace") == OFFSET[0]) & (F.col("stream") == OFFSET[1])).first()
-    offset = tuple(json.loads(stored["offset"])) if stored else None
+    # The newest state of all streams, a row each.
+    known = read_state(spark, store.state)
+    rows = known.collect()
+    latest = spark.createDataFrame(rows, known.schema)
+    states = {(row["namespace"], row["stream"]): row for row in rows}
+    batches = {name: row["batch"] + 1 for name, row in states.items()}
+    offset = tuple(json.loads(states[OFFSET]["offset"])) if OFFSET in states else None
     # Both ends of the log before anything is read: events that come later belong to the next run.
-    target = events.latest_position(log)
-    valid = offset is None or _holds(log, offset)
+    target, oldest = _ends(log)
+    valid = offset is None or offset == START or (oldest is not None and oldest <= offset)
     if not valid and fail_invalid:
         raise SyncError("the change log no longer holds the stored position")
 
@@ -264,69 +284,107 @@ def sync_collections(
     chosen = {(row["namespace"], row["stream"]): row for row in selection.collect()}
     order = phases(selection).first()["phases"]
     first_run = offset is None or not valid
-    batches = store.batches()
+    kept = target or (offset if valid and offset else START)
+    if first_run:
+        store.save(*OFFSET, batches.get(OFFSET, 0), None, status="offset", offset=json.dumps(kept))
+        batches[OFFSET] = batches.get(OFFSET, 0) + 1
     for c in collections:
         if c.full_refresh:
-            _snapshot(store, c, now, batches)
+            _snapshot(store, c, now, batches, None, chunk_rows)
     following = [c for c in collections if not c.full_refresh]
     for phase in order.split(", "):
         if phase == "snapshot":
             for c in following:
                 if chosen[c.namespace, c.stream]["snapshot"]:
-                    _snapshot(store, c, now, batches)
+                    _snapshot(store, c, now, batches, states.get((c.namespace, c.stream)) if valid else None, chunk_rows)
         elif not first_run and target is not None:
             started = [c for c in following if chosen[c.namespace, c.stream]["started"]]
-            _changes(store, started, log, offset, target, now, batches)
-    kept = target or (offset if valid and offset else START)
-    store.save(*OFFSET, batches.get(OFFSET, 0), None, status="offset", offset=json.dumps(kept))
+            _changes(store, started, log, offset, target, now, batches, states)
+    if not first_run:
+        store.save(*OFFSET, batches.get(OFFSET, 0), None, status="offset", offset=json.dumps(kept))
     return order
 
 
-def _holds(log: DataFrame, offset: tuple[int, int]) -> bool:
-    """The oldest event of the log is not past the offset; an empty log holds nothing."""
-    if offset == START:
-        return True
-    oldest = events.with_position(log).agg(F.min("position").alias("oldest")).first()["oldest"]
-    return oldest is not None and tuple(oldest) <= offset
+def _ends(log: DataFrame) -> tuple[tuple[int, int] | None, tuple[int, int] | None]:
+    """The last and the first position of the log, by one pass over it."""
+    at = events.with_position(log).agg(F.max("position").alias("last"), F.min("position").alias("first")).first()
+    return tuple(tuple(at[end]) if at[end] is not None else None for end in ("last", "first"))
 
 
-def _snapshot(store: Store, c: Collection, now: dt.datetime, batches: dict) -> None:
-    """Reads a whole collection; rows of full-refresh collections carry no change metadata."""
+def _snapshot(
+    store: Store, c: Collection, now: dt.datetime, batches: dict, state: Row | None, chunk_rows: int | None
+) -> None:
+    """Reads a collection, or the rest of it, in chunks; rows of full-refresh collections carry no change metadata."""
     census = id_type_census(c.documents, "document").collect()
     unsupported = sorted(str(row["id_type"]) for row in census if not row["supported"])
     if unsupported:
         raise SyncError(f"ids of {c.namespace}.{c.stream} are {unsupported}; supported are {list(ID_TYPES)}")
     if len(census) > 1:
         warnings.warn(f"ids of {c.namespace}.{c.stream} have several types")
+    if chunk_rows is None:
+        stats = c.documents.agg(F.count("*").alias("rows"), F.sum(F.octet_length("document")).alias("bytes"))
+        chunk_rows = stats.select(chunk_size(F.col("rows"), F.col("bytes"))).first()[0]
+    name, complete = (c.namespace, c.stream), "FULL_REFRESH" if c.full_refresh else "COMPLETE"
+    resumed = state is not None and state["status"] == "IN_PROGRESS"
+    after = state["key"][0] if resumed else None
     rows = events.document_rows(c.documents, c.fields)
-    top = ranges.max_key(rows, [DOCUMENT_ID])
-    if top is None:
-        return  # nothing read, nothing stored
-    stamped = events.stamp_snapshot(rows, int(_utc(now).timestamp() * 1000), incremental=not c.full_refresh)
-    name, status = (c.namespace, c.stream), "FULL_REFRESH" if c.full_refresh else "COMPLETE"
-    store.save(*name, batches.get(name, 0), stamped, status=status, key_name=[DOCUMENT_ID], key=list(top))
-    batches[name] = batches.get(name, 0) + 1
+    chunks = events.chunked_snapshot(rows, int(_utc(now).timestamp() * 1000), chunk_rows, after, not c.full_refresh)
+    # Staged by chunk, so that writing a chunk reads nothing but itself.
+    staged = f"{store.out}/_staged/{c.namespace}/{c.stream}"
+    chunks.write.mode("overwrite").partitionBy("chunk").parquet(staged)
+    read = store.spark.read.schema(chunks.schema).parquet(staged)
+    # One row per chunk.
+    found = read.groupBy("chunk").agg(F.max(DOCUMENT_ID).alias("last")).orderBy("chunk").collect()
+    kind = census[0]["id_type"] if len(census) == 1 else None
+    for place, row in enumerate(found, 1):
+        status = complete if place == len(found) or c.full_refresh else "IN_PROGRESS"
+        own = read.where(F.col("chunk") == row["chunk"]).drop("chunk")
+        state = {"status": status, "key_name": [DOCUMENT_ID], "key": [row["last"]], "id_type": kind}
+        store.save(*name, batches.get(name, 0), own, **state)
+        batches[name] = batches.get(name, 0) + 1
+    if resumed and not found:
+        store.save(*name, batches[name], None, status=complete, key_name=[DOCUMENT_ID], key=[after], id_type=kind)
+        batches[name] += 1
+    store.remove(staged)
+
 
+def _changes(
+    store: Store, started: Sequence[Collection], log: DataFrame, offset, target, now: dt.datetime, batches: dict, states: dict
+) -> None:
+    """Rows of all started collections; the log is read once and dealt out by collection.
 
-def _changes(store: Store, started: Sequence[Collection], log: DataFrame, offset, target, now, batches) -> None:
-    """Rows of all started collections; the log is read once and dealt out by collection."""
+    Events with an unknown operation are set aside in a folder of their own. The states of all collections are stored
+    together when all rows are written; a collection that is still in its snapshot keeps its place there.
+    """
     spark = store.spark
     names = spark.createDataFrame([(c.namespace, c.stream) for c in started], "namespace string, stream string")
     kept = events.include_streams(events.bounded(log, target, offset), names)
     kept = kept.select("key", "before", "after", "source", "op", "namespace", "stream")
-    staged = f"{store.out}/_log/batch={batches.get(OFFSET, 0)}"
+    number = batches.get(OFFSET, 0)
+    staged = f"{store.out}/_log/batch={number}"
     kept.write.mode("overwrite").partitionBy("namespace", "stream").parquet(staged)
+    schema = f"{events.ENVELOPE}, namespace string, stream string"
+    known, unknown = events.known_events(spark.read.schema(schema).parquet(staged))
+    if not unknown.isEmpty():
+        unknown.write.mode("overwrite").parquet(f"{store.out}/_unknown/batch={number}")
+        warnings.warn(f"change events with unknown operations were set aside in {store.out}/_unknown/batch={number}")
+    saved = []
     for c in started:
-        schema = f"{events.ENVELOPE}, namespace string, stream string"
-        own = spark.read.schema(schema).parquet(staged).where(
-            (F.col("namespace") == c.namespace) & (F.col("stream") == c.stream)
-        )
+        name = (c.namespace, c.stream)
+        own = known.where((F.col("namespace") == c.namespace) & (F.col("stream") == c.stream))
         rows = events.events_to_rows(own, c.fields)
         flat = rows.select("*", "position.seconds", "position.ord").drop("position")
         stamped = events.with_cursor(flat, ["seconds", "ord", DOCUMENT_ID], _utc(now)).drop("seconds", "ord")
-        name = (c.namespace, c.stream)
-        store.save(*name, batches.get(name, 0), stamped, status="COMPLETE", key_name=[DOCUMENT_ID])
+        store.write(*name, batches.get(name, 0), stamped)
+        before = states.get(name)
+        place = {"status": "COMPLETE", "key_name": [DOCUMENT_ID]}
+        if before is not None and before["status"] == "IN_PROGRESS":
+            place = {"status": "IN_PROGRESS", "key_name": [DOCUMENT_ID], "key": before["key"], "id_type": before["id_type"]}
+        saved.append({"namespace": c.namespace, "stream": c.stream, "batch": batches.get(name, 0), **place})
         batches[name] = batches.get(name, 0) + 1
+    if saved:
+        append_state(spark, store.state, saved)
+    store.remove(staged)
 
 
 def _utc(moment: dt.datetime) -> dt.datetime:

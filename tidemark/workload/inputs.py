@@ -25,7 +25,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey as o_orderkey",
         "cast(datediff(l_shipdate, date'1995-01-01') as bigint) as sys_change_version",
-        "case l_returnflag when 'R' then 'D' when 'A' then 'U' else 'I' end as sys_change_operation",
+        "case l_returnflag when 'R' then 'd' when 'A' then 'U' else 'I' end as sys_change_operation",
     )
 
 
@@ -124,6 +124,46 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed.selectExpr("event_id", "event_type", f"{DOCUMENT} as document")
 
 
+# One value of each rarer type, by the name of its field.
+VALUES = {
+    "day": """concat('{"$date":', ms, '}')""",
+    "far": """'{"$date":{"$numberLong":"253402300800000"}}'""",
+    "bytes": """concat('{"$binary":{"base64":"', base64(cast(event_type as binary)), '","subType":"00"}}')""",
+    "uuid": """concat('{"$uuid":"00000000-0000-0000-0000-', lpad(lower(hex(event_id)), 12, '0'), '"}')""",
+    "pattern": """concat('{"$regularExpression":{"pattern":"^', event_type, '","options":"i"}}')""",
+    "symbol": """concat('{"$symbol":"', event_type, '"}')""",
+    "code": """concat('{"$code":"f(', event_id, ')"}')""",
+    "scoped": """concat('{"$code":"g()","$scope":{"scope":1,"id":{"$numberLong":"', event_id, '"}}}')""",
+    "low": """'{"$minKey":1}'""",
+    "high": """'{"$maxKey":1}'""",
+    "unset": """'{"$undefined":true}'""",
+    "whole": """concat('{"$numberInt":"', event_id, '"}')""",
+    "cut": """concat('{"$numberDouble":"', event_id, '.75"}')""",
+    "exact": """concat('{"$numberDecimal":"', event_id, '.75"}')""",
+    "truth": "string(event_id % 2 = 0)",
+    "none": "'null'",
+    "inside": """concat('{"at":{"$date":', ms, '},"n":{"$numberInt":"5"},"gone":{"$minKey":1}}')""",
+    "list": """concat('[{"$date":', ms, '},{"$symbol":"s"},{"$maxKey":1}]')""",
+}
+VALUE_FIELDS = {
+    **{name: "string" for name in ("day", "far", "bytes", "uuid", "pattern", "symbol", "code", "low", "high", "unset", "none")},
+    "scoped": "object",
+    "whole": "integer",
+    "cut": "integer",
+    "exact": "number",
+    "truth": "boolean",
+    "inside": "object",
+    "list": "array",
+}
+
+
+def value_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a value of every type."""
+    timed = spread(table(spark, sf_dir, "events")).selectExpr("*", f"{MS} as ms")
+    fields = ", ',', ".join(f"""'"{name}":', {value}""" for name, value in VALUES.items())
+    return timed.selectExpr("event_id", f"concat('{{', {fields}, '}}') as document")
+
+
 def id_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose ids differ in type from one event type to the next, and within one of them."""
     hexed = "lpad(lower(hex(event_id)), 24, '0')"

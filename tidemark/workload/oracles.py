@@ -40,6 +40,9 @@ FROM ({CHUNKS}) GROUP BY chunk"""
 
 ORACLES["sample_first"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 1024"
 
+ORACLES["sample_check"] = """
+SELECT least(count(*), 256) AS n_rows, least(count(*), 256) AS n_known, least(count(*), 256) AS n_keys FROM orders"""
+
 # -- cursor ------------------------------------------------------------------------------------------------------
 
 ORACLES["max_cursor"] = f"""
@@ -145,7 +148,9 @@ FROM e"""
 
 ORACLES["event_key_id"] = f"""
 SELECT event_id,
-       CASE event_type WHEN 'signup' THEN {HEX.format("event_id")} WHEN 'view' THEN event_type || event_id
+       CASE WHEN event_type = 'signup' THEN {HEX.format("event_id")} WHEN event_type = 'view' THEN event_type || event_id
+            WHEN event_type = 'purchase' THEN base64(encode(event_type))
+            WHEN event_type = 'error' AND event_id % 2 = 1 THEN base64(unhex(lpad(lower(to_hex(event_id)), 32, '0')))
             ELSE CAST(event_id AS VARCHAR) END AS _id
 FROM events"""
 
@@ -164,6 +169,12 @@ ORACLES["bounded_changes"] = f"""
 WITH {EVENTS}
 SELECT event_id, seconds, ord, op FROM e WHERE seconds > 1704400000 OR (seconds = 1704400000 AND ord > 2)"""
 
+ORACLES["bounded_target"] = f"""
+WITH {EVENTS}
+SELECT event_id, seconds, ord, op FROM e
+WHERE (seconds > 1704400000 OR (seconds = 1704400000 AND ord > 2))
+  AND (seconds < 1705708800 OR (seconds = 1705708800 AND ord <= 2))"""
+
 APPLIED = f"""
 WITH {EVENTS},
 last AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY _id ORDER BY seconds DESC, ord DESC, event_id DESC) = 1),
@@ -177,6 +188,8 @@ ORACLES["apply_changes"] = APPLIED
 ORACLES["apply_changes_hard"] = f"""
 SELECT _id, user, value, kind, _ab_cdc_updated_at FROM ({APPLIED}) WHERE _ab_cdc_deleted_at IS NULL"""
 
+ORACLES["apply_replay"] = APPLIED
+
 ORACLES["stream_apply"] = APPLIED
 
 # -- documents ---------------------------------------------------------------------------------------------------
@@ -205,6 +218,9 @@ SELECT field,
        count(*) AS n_documents, CASE WHEN field = 'tags' THEN 2 ELSE 1 END AS n_types
 FROM events, {FIELDS} GROUP BY field"""
 
+ORACLES["discover_schema_sample"] = f"""
+SELECT field, any_value(kind) AS type, TRUE AS in_all FROM events, {FIELDS} WHERE field <> 'tags' GROUP BY field"""
+
 ORACLES["discover_schemaless"] = "SELECT event_type, '_id' AS field, 'string' AS type FROM events GROUP BY event_type"
 
 ORACLES["id_type_census"] = """
@@ -227,6 +243,25 @@ SELECT _id, user_id AS user, value AS price, '2024-02-01T00:00:00.125Z' AS _ab_c
        170674560000000000 + row_number() OVER (ORDER BY _id) AS _ab_cdc_cursor
 FROM d"""
 
+ORACLES["snapshot_docs_plain"] = f"WITH {DOCS} SELECT _id, user_id AS user, value AS price FROM d"
+
+ORACLES["snapshot_docs_resume"] = f"""
+WITH {DOCS},
+rest AS (SELECT *, row_number() OVER (ORDER BY _id) AS n FROM d WHERE _id > printf('%024x', 250))
+SELECT _id, user_id AS user, value AS price, '2024-02-01T00:00:00.125Z' AS _ab_cdc_updated_at,
+       CAST(NULL AS VARCHAR) AS _ab_cdc_deleted_at, 170674560000000000 + n AS _ab_cdc_cursor, (n - 1) // 100 AS chunk
+FROM rest"""
+
+ORACLES["value_types"] = f"""
+WITH {DOCS}
+SELECT event_id, {AT} AS day, '+10000-01-01T00:00:00.000Z' AS far, base64(encode(event_type)) AS bytes,
+       base64(unhex(lpad(lower(to_hex(event_id)), 32, '0'))) AS uuid, '(i)^' || event_type AS pattern, event_type AS symbol,
+       'f(' || event_id || ')' AS code, CAST(NULL AS VARCHAR) AS low, CAST(NULL AS VARCHAR) AS high,
+       CAST(NULL AS VARCHAR) AS unset, CAST(NULL AS VARCHAR) AS none, event_id AS whole, event_id AS cut,
+       event_id + 0.75::DOUBLE AS exact, event_id % 2 = 0 AS truth, '["' || {AT} || '","s",null]' AS list,
+       'g()' AS scoped_code, event_id AS scoped_id, {AT} AS inside_at, 5 AS inside_n, TRUE AS inside_gone
+FROM d"""
+
 ORACLES["array_wrap"] = f"""
 SELECT event_id, {TAGS} AS tags, '[' || user_id || ']' AS user, CAST(NULL AS VARCHAR) AS none FROM events"""
 

@@ -71,20 +71,20 @@ def snapshot_resume(spark, sf_dir):
 
 @query
 def split_cover(spark, sf_dir):
-    """Reads a table range by range; the totals show gaps and overlaps."""
+    """Cuts a table into ranges by one scan; the totals show gaps, overlaps and wrong numbers."""
     orders, keys = table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"]
     cuts = ranges.split_points(orders, keys, 8)
-    parts = ranges.read_ranges(orders, keys, ranges.split_ranges(cuts, upper=ranges.max_key(orders, keys)))
-    union = None
-    for place, part in enumerate(parts):
-        own = ranges.with_range(part, keys, cuts).select("o_orderkey", (F.col("range") == place).alias("own_range"))
-        union = own if union is None else union.unionByName(own)
-    return union.agg(
+    parts = ranges.split_ranges(cuts)
+    held = F.array(*[key_range(orders, keys, low, high).cast("int") for low, high in parts])
+    numbered = ranges.with_range(orders, keys, cuts)
+    placed = numbered.select("o_orderkey", "range", held.alias("held"))
+    own = (F.get("held", F.col("range")) == 1) & (F.aggregate("held", F.lit(0), lambda a, b: a + b) == 1)
+    return placed.agg(
         F.count("*").alias("n_rows"),
         F.sum("o_orderkey").alias("key_sum"),
         F.min("o_orderkey").alias("first_key"),
         F.max("o_orderkey").alias("last_key"),
-        F.bool_and("own_range").alias("same_numbers"),
+        F.bool_and(own).alias("same_numbers"),
     )
 
 
@@ -110,7 +110,18 @@ def sample_rows(spark, sf_dir):
 
 @query
 def sample_first(spark, sf_dir):
-    return snap.sample_rows(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), keys=["o_orderkey"])
+    return snap.sample_rows(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 1024, keys=["o_orderkey"])
+
+
+@query
+def sample_check(spark, sf_dir):
+    """A random sample has the size asked for, holds rows of the table only, and none of them twice."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    sample = snap.sample_rows(orders, 256, 0.5, ["o_orderkey"])
+    known = sample.join(orders.withColumn("known", F.lit(1)), ["o_orderkey", "o_totalprice"], "left")
+    return known.agg(
+        F.count("*").alias("n_rows"), F.count("known").alias("n_known"), F.countDistinct("o_orderkey").alias("n_keys")
+    )
 
 
 # -- cursor ------------------------------------------------------------------------------------------------------
@@ -240,12 +251,15 @@ def cdc_cursor(spark, sf_dir):
 
 @query
 def event_key_id(spark, sf_dir):
-    """Keys of all forms: object ids, wrapped numbers and quoted text."""
+    """Keys of all forms: object ids, wrapped numbers, quoted text, bytes, UUIDs and plain numbers."""
     keyed = table(spark, sf_dir, "events").selectExpr(
         "event_id",
         """case event_type when 'signup' then concat('{"$oid":"', lpad(lower(hex(event_id)), 24, '0'), '"}')
              when 'click' then concat('{"$numberLong":"', event_id, '"}')
-             when 'view' then concat('"', event_type, event_id, '"') else cast(event_id as string) end as key""",
+             when 'view' then concat('"', event_type, event_id, '"')
+             when 'purchase' then concat('{"$binary":{"base64":"', base64(cast(event_type as binary)), '","subType":"00"}}')
+             else if(event_id % 2 = 0, cast(event_id as string),
+                     concat('{"$uuid":"00000000-0000-0000-0000-', lpad(lower(hex(event_id)), 12, '0'), '"}')) end as key""",
     )
     return keyed.select("event_id", events.key_id(F.col("key")).alias("_id"))
 
@@ -276,6 +290,13 @@ def bounded_changes(spark, sf_dir):
     return kept.select("event_id", "position.seconds", "position.ord", "op")
 
 
+@query
+def bounded_target(spark, sf_dir):
+    """A run that stops inside the log."""
+    kept = events.bounded(inputs.change_events(spark, sf_dir), (1705708800, 2), after=(1704400000, 2))
+    return kept.select("event_id", "position.seconds", "position.ord", "op")
+
+
 def _applied(changes: DataFrame, base: DataFrame) -> DataFrame:
     return merge.apply_changes(base, changes, ["_id"], ["position", "event_id"])
 
@@ -298,11 +319,23 @@ def apply_changes_hard(spark, sf_dir):
     return merged.drop(DELETED_AT)
 
 
+@query
+def apply_replay(spark, sf_dir):
+    """All changes, then the older half of them again on what was folded: nothing is rolled back."""
+    changes = _changes(spark, sf_dir, inputs.change_events(spark, sf_dir))
+    base = inputs.user_base(spark, sf_dir)
+    placed = base.withColumns({c: F.lit(None).cast(changes.schema[c].dataType) for c in ("event_id", "position")})
+    folded = _applied(changes, placed.select(*changes.columns))
+    return _applied(changes.where("position.seconds < 1705708800"), folded).select(*base.columns)
+
+
 @query
 def stream_apply(spark, sf_dir):
     """The same through a stream: batches of stored changes, merged with the base when read."""
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{sf_dir}/events*.parquet")
+    # Files may be few; parsing is spread over all cores.
+    stream = stream.repartition(spark.sparkContext.defaultParallelism)
     changes = _changes(spark, sf_dir, inputs.envelopes(stream))
     run = f"{shared_dir(spark)}/stream_apply-{uuid.uuid4().hex}"
     keys, order = ["_id"], ["position", "event_id"]
@@ -332,6 +365,14 @@ def discover_schema_all(spark, sf_dir):
     return found.withColumnsRenamed({"documents": "n_documents", "types": "n_types"})
 
 
+@query
+def discover_schema_sample(spark, sf_dir):
+    """From a sample: the fields that every document has."""
+    docs = documents.sample_documents(inputs.documents(spark, sf_dir), 400)
+    found = documents.discover_schema(docs, "document")
+    return found.where("types = 1").select("field", "type", (F.col("documents") == 400).alias("in_all"))
+
+
 @query
 def discover_schemaless(spark, sf_dir):
     return documents.discover_packed(inputs.documents(spark, sf_dir), "document", ["event_type"])
@@ -365,6 +406,36 @@ def snapshot_docs(spark, sf_dir):
     return events.stamp_snapshot(rows, 1706745600125)
 
 
+@query
+def snapshot_docs_plain(spark, sf_dir):
+    """Documents of a full refresh: rows without change metadata."""
+    rows = _normal(spark, sf_dir, "_id", "user", "price", keep=())
+    return events.stamp_snapshot(rows, 1706745600125, incremental=False)
+
+
+@query
+def snapshot_docs_resume(spark, sf_dir):
+    """The rest of a snapshot after a stored id, in chunks."""
+    rows = _normal(spark, sf_dir, "_id", "user", "price", keep=())
+    return events.chunked_snapshot(rows, 1706745600125, 100, after=f"{250:024x}")
+
+
+@query
+def value_types(spark, sf_dir):
+    """One value of every type in the form that rows have it in."""
+    typed = documents.normalize(inputs.value_documents(spark, sf_dir), "document", inputs.VALUE_FIELDS, ["event_id"])
+    return typed.select(
+        "event_id",
+        *[n for n, kind in inputs.VALUE_FIELDS.items() if kind not in ("object", "array")],
+        F.to_json("list").alias("list"),
+        extjson.get(F.col("scoped"), "$.code").alias("scoped_code"),
+        extjson.get(F.col("scoped"), "$.scope.id", "bigint").alias("scoped_id"),
+        extjson.get(F.col("inside"), "$.at").alias("inside_at"),
+        extjson.get(F.col("inside"), "$.n", "int").alias("inside_n"),
+        F.variant_get(F.col("inside"), "$.gone", "variant").isNull().alias("inside_gone"),
+    )
+
+
 @query
 def array_wrap(spark, sf_dir):
     """Declared arrays: some values are arrays, some are not, missing ones stay missing."""
