@@ -5,21 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import reshuffled
 from tidemark.session import settle
 
 
-# More than any frame has, so that no partitions are merged.
-_MOST_PARTITIONS = 1 << 24
-
-
-def reshuffled(df: DataFrame) -> DataFrame:
-    """The same rows, with the way they are dealt out forgotten.
-
-    A join then shuffles both of its sides, which is what lets adaptive execution split a hot key.
-    """
-    return df.coalesce(_MOST_PARTITIONS)
-
-
 def _print_of(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import reshuffled
+from tidemark.operators.joins import reshuffled
 from tidemark.session import settle
 
 SPACES = r"[\x20\x09-\x0D]+"

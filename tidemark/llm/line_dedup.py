@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.components import reshuffled
+from tidemark.operators.joins import reshuffled
 from tidemark.session import settle
 
 MIN_WORDS = 5

@@ -14,8 +14,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components, reshuffled
+from tidemark.llm.components import components
 from tidemark.llm.words import utf8
+from tidemark.operators.joins import reshuffled
 from tidemark.session import settle
 
 BITS = 64
