@@ -38,6 +38,11 @@ def test_long_runs_take_no_long_time():
         P.base_spans(text)
 
 
+def test_leading_zeros():
+    text = "0" * 6000 + "1.002.3.255 and 1.2.3.256"
+    assert P.base_spans(text) == [("ip", 0, 6011)]
+
+
 def test_messages_are_exact_on_a_tree():
     rng = np.random.default_rng(0)
     field = P.Field({f"f{i}": rng.normal(size=5) for i in range(4)}, rng.normal(size=(5, 5)), rng.normal(size=(5, 5)))

@@ -66,7 +66,9 @@ def base_spans(text: str) -> list[Span]:
     if not _MAYBE.search(text):
         return spans
     for match in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match[0].split(".")):
+        # Leading zeros go first: there may be more of them than a number is read with.
+        parts = [part.lstrip("0") or "0" for part in match[0].split(".")]
+        if all(len(part) <= 3 and int(part) <= 255 for part in parts):
             spans.append(("ip", *match.span()))
     for match in _CARD.finditer(text):
         digits = match[0].replace(" ", "").replace("-", "")
