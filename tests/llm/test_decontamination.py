@@ -5,14 +5,15 @@ import numpy as np
 import pytest
 
 from tidemark.llm import decontamination as D
+from tidemark.llm.words import plain_words
 
 
 def brute(rows, items):
     found = []
     for number, (i, text) in enumerate(rows):
-        words = D.words_of((text or "").encode())
+        words = plain_words((text or "").encode())
         for item_id, item in items:
-            target = D.words_of((item or "").encode())
+            target = plain_words((item or "").encode())
             if not target or not words:
                 continue
             size = min(5, len(target))
@@ -41,7 +42,7 @@ def items(spark, odd_rows):
     out = []
     for i in range(12):
         _, text = odd_rows[rng.randrange(40)]
-        words = [w.decode() for w in D.words_of(text.encode())]
+        words = [w.decode() for w in plain_words(text.encode())]
         start, length = rng.randrange(max(1, len(words))), rng.choice([3, 4, 5, 6, 20, 40])
         passage = words[start : start + length]
         if len(passage) > 25:

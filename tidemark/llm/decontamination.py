@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import run_hashes, utf8, word_hashes
+from tidemark.llm.words import plain_words, run_hashes, utf8, word_hashes
 from tidemark.operators.joins import fits_broadcast
+from tidemark.session import settle
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -28,15 +29,9 @@ _FILTER_BITS = 20
 _RUN = 4096
 _DOCS = 200
 
-# Letters, digits and all bytes beyond ASCII make up words; ASCII letters are lower-cased.
-_WORD_BYTES = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 _NEAR = np.bitwise_count(np.arange(256)[:, None] ^ np.arange(256)[None, :]) <= BLOCK_RADIUS
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().translate(_WORD_BYTES).split()
-
-
 def window_prints(shingles: np.ndarray, width: int) -> np.ndarray:
     """SimHash of each run of ``width`` shingle hashes, repeats counted: a bit is 1 if set in over half of them."""
     bits = np.unpackbits(shingles.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -83,7 +78,7 @@ class Index:
         self.lengths: dict[tuple[int, int], _Length] = defaultdict(_Length)
         holders: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for item_id, text in items:
-            hashes = word_hashes(words_of(text))
+            hashes = word_hashes(plain_words(text))
             if not len(hashes):
                 continue
             size = min(SHINGLE, len(hashes))
@@ -124,7 +119,10 @@ class Index:
             last = max(0, words - length)
             near = np.fromiter(near, np.int64, len(near))
             # Only windows with a shingle of an item can be similar to one.
-            starts = np.unique(np.clip(near[:, None] - np.arange(count)[None, :], 0, last))
+            edges = np.zeros(last + 2, np.int64)
+            np.add.at(edges, np.clip(near - count + 1, 0, last), 1)
+            np.add.at(edges, np.clip(near, 0, last) + 1, -1)
+            starts = np.flatnonzero(np.cumsum(edges[:-1]))
             best: dict[int, list] = {}
             group = self.lengths[size, length]
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
@@ -144,7 +142,7 @@ class Index:
 
     def search(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, float, int]]:
         """(text, item, start, words, similarity, windows)."""
-        lists = [words_of(text) for text in texts]
+        lists = [plain_words(text) for text in texts]
         ends = np.cumsum([len(words) for words in lists])
         hashes = word_hashes(list(itertools.chain.from_iterable(lists)))
         for size in self.holders:
@@ -229,7 +227,7 @@ def without(docs: DataFrame, bad: DataFrame, id_col: str = "doc_id", text_col: s
 
     ``bad`` is broadcast if it was counted and weighed to be small, and else both sides are shuffled.
     """
-    bad = bad.select("doc_id", "version").distinct()
+    bad = settle(bad.select("doc_id", "version").distinct())
     other = (F.broadcast(bad) if fits_broadcast(bad) else bad).alias("bad")
     version = F.xxhash64(F.coalesce(F.col(f"docs.`{text_col}`"), F.lit("")))
     same = F.col(f"docs.`{id_col}`").eqNullSafe(F.col("bad.doc_id")) & (version == F.col("bad.version"))

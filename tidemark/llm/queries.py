@@ -55,7 +55,7 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"), CATEGORIES)
+    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"), CATEGORIES).drop("version")
 
 
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,6 +76,45 @@ QUERIES = {
 }
 
 ORACLES = {
+    # Of all windows that share a run of five words with an item; the SQL needs no SimHash to find them.
+    "op1_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^0-9a-z\x{80}-\x{10FFFF}]+'), lambda w: w <> '') AS words
+            FROM documents),
+        b AS (
+            SELECT item_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^0-9a-z\x{80}-\x{10FFFF}]+'), lambda w: w <> '') AS words
+            FROM benchmark),
+        items AS (SELECT item_id, words, len(words) AS n, least(5, n) AS size, n - size + 1 AS runs FROM b WHERE n > 0),
+        item_places AS (SELECT *, unnest(range(1, runs + 1)) AS place FROM items),
+        item_runs AS (
+            SELECT item_id, n, size, runs, array_to_string(words[place : place + size - 1], ' ') AS run, count(*) AS times
+            FROM item_places GROUP BY ALL),
+        sizes AS (SELECT DISTINCT size FROM items),
+        doc_places AS (
+            SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS place FROM d, sizes WHERE len(words) >= size),
+        doc_runs AS (
+            SELECT doc_id, size, place, len(words) AS length, array_to_string(words[place : place + size - 1], ' ') AS run FROM doc_places),
+        hits AS (SELECT doc_id, item_id, n, size, runs, length, place FROM doc_runs JOIN item_runs USING (size, run)),
+        near AS (SELECT *, unnest(range(place - runs + 1, place + 1)) AS near FROM hits),
+        starts AS (
+            SELECT DISTINCT doc_id, item_id, n, size, runs, length, least(greatest(near, 1), greatest(length - n, 0) + 1) AS start FROM near),
+        bags AS (
+            SELECT s.doc_id, item_id, n, size, runs, s.length, start, run, count(*) AS times
+            FROM starts s JOIN doc_runs r USING (doc_id, size)
+            WHERE r.place BETWEEN start AND start + runs - 1 GROUP BY ALL),
+        shared AS (
+            SELECT doc_id, item_id, g.n, start, g.length, g.runs, least(g.runs, g.length - g.size + 1) AS own,
+                   sum(least(g.times, i.times)) AS common
+            FROM bags g JOIN item_runs i USING (item_id, run) GROUP BY ALL),
+        scored AS (SELECT *, CAST(common AS DOUBLE) / CAST(own + runs - common AS DOUBLE) AS similarity FROM shared)
+        SELECT doc_id, item_id, CAST(arg_max(start, (similarity, -start)) - 1 AS INTEGER) AS start, CAST(min(least(n, length)) AS INTEGER) AS n_words,
+               max(similarity) AS similarity, CAST(count(*) AS INTEGER) AS n_windows
+        FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+    """,
     "op2_exact_dedup": r"""
         WITH rows AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -85,4 +124,23 @@ ORACLES = {
                doc_id = first_value(doc_id) OVER best AS kept, text_sha256
         FROM rows WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
     """,
+    "op10_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+            FROM documents),
+        w AS (SELECT doc_id, generate_subscripts(words, 1) AS place, unnest(words) AS word, words FROM d),
+        windows AS (
+            SELECT doc_id, place, array_to_string(words[place : place + 12], ' ') AS run FROM w WHERE place + 12 <= len(words)),
+        firsts AS (SELECT run, min(doc_id) AS first FROM windows GROUP BY run),
+        later AS (SELECT doc_id, place FROM windows JOIN firsts USING (run) WHERE first < doc_id),
+        marked AS (
+            SELECT w.doc_id, w.place, word,
+                   count(later.place) OVER (PARTITION BY w.doc_id ORDER BY w.place ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) > 0 AS gone
+            FROM w LEFT JOIN later ON later.doc_id = w.doc_id AND later.place = w.place),
+        kept AS (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS text
+            FROM marked GROUP BY doc_id)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
 }

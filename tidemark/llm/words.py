@@ -32,6 +32,15 @@ def utf8(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+# Letters, digits and all bytes beyond ASCII make up words; ASCII letters are lower-cased.
+_WORD_BYTES = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
+
+
+def plain_words(text: bytes) -> list[bytes]:
+    """Lower-cased runs of letters, digits and characters beyond ASCII."""
+    return text.lower().translate(_WORD_BYTES).split()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
