@@ -1,6 +1,8 @@
 import random
 
-from tidemark.llm.toxicity import CATEGORIES, _threshold, drop_toxic, toxicity
+import numpy as np
+
+from tidemark.llm.toxicity import CATEGORIES, best_threshold, drop_toxic, toxicity
 
 CLEAN = "the river runs over stones and under old bridges to a wide green sea where small boats sail".split()
 RUDE = "idiot moron scum".split()
@@ -36,6 +38,21 @@ def test_toxic_documents_are_found_and_clean_ones_are_not(spark):
     assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted((tuple(r) for r in docs.where("not rude").collect()), key=repr)
 
 
+def test_stems_with_many_endings(spark):
+    rng = random.Random(1)
+    ending = lambda: "".join(rng.choices("aeinrst", k=rng.randint(2, 6)))
+    rows = []
+    for i in range(900):
+        words = [rng.choice(CLEAN) + ending() for _ in range(30)]
+        if i % 8 == 0:
+            words.insert(rng.randrange(30), "grobö" + ending() + ".")
+        rows.append((i, " ".join(words), i % 8 == 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rude boolean").repartition(4)
+    labels = docs.where("doc_id % 3 > 0").selectExpr("doc_id", "1 as quality", "cast(rude as int) as toxic")
+    scored = toxicity(docs, labels, CATEGORIES).join(docs, "doc_id").collect()
+    assert len(scored) == 900 and sum(r.toxic != r.rude for r in scored) <= 2
+
+
 def test_labels_of_one_class_or_none(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity(odd, none, CATEGORIES).where("toxic").count() == 0
@@ -46,8 +63,9 @@ def test_labels_of_one_class_or_none(spark, odd, empty):
 
 
 def test_threshold():
-    assert 0.3 < _threshold([(0.9, 1.0), (0.8, 1.0), (0.3, 0.0), (0.1, 0.0)]) < 0.8
-    assert _threshold([]) > 1 and _threshold([(0.5, 0.0)]) > 1
+    assert 0.3 < best_threshold(np.array([0.9, 0.8, 0.3, 0.1]), np.array([1.0, 1, 0, 0])) < 0.8
+    assert best_threshold(np.zeros(0), np.zeros(0)) > 1 and best_threshold(np.array([0.5]), np.zeros(1)) > 1
+    assert best_threshold(np.array([0.5, 0.5, 0.1]), np.array([1.0, 0, 0])) < 0.5
 
 
 def test_held_out_labels(spark):
@@ -56,6 +74,5 @@ def test_held_out_labels(spark):
     scored = toxicity(docs, labels.where("doc_id % 3 != 0"), CATEGORIES).where("doc_id % 3 = 0")
     seen = scored.join(labels.withColumnRenamed("toxic", "label"), "doc_id").collect()
     hits = sum(r.toxic and r.label for r in seen)
-    assert hits / sum(r.toxic for r in seen) > 0.95
-    # Some labels of this table are put on documents without any sign of toxicity.
-    assert hits / sum(r.label for r in seen) > 0.5
+    assert hits / sum(r.toxic for r in seen) > 0.75
+    assert hits / sum(r.label for r in seen) > 0.85

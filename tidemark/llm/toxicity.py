@@ -2,89 +2,148 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+
+import numpy as np
+import pyarrow as pa
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, RegexTokenizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontamination import without
 from tidemark.llm.samples import hash_sample
+from tidemark.llm.words import plain_words, utf8
 from tidemark.session import settle
 
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 4_000
 FOLDS = 3
 VOCABULARY = 20_000
 MIN_DOCS = 5
+_STEPS, _RATE, _LASSO, _RIDGE = 120, 0.5, 0.35, 1e-4
+_SCREENED = 500
+_PREFIXES = range(4, 9)
 
 #: Categories of a table of labels with quality and toxic, 0 or 1 each.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
 
-def _words(rows: DataFrame) -> DataFrame:
-    """Adds the lower-cased runs of letters of _text."""
-    return RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"[^\p{L}]+", toLowercase=True).transform(rows)
+def features(text: bytes, prefixes: Iterable[int] = _PREFIXES) -> set[bytes]:
+    """The words of a text and, marked by a star, the beginnings of its longer words."""
+    words = set(plain_words(text))
+    return words.union(*({word[:size] + b"*" for word in words if len(word) > size} for size in prefixes))
+
+
+@dataclass
+class Rows:
+    """Bags of words as the places of each row's words in a vocabulary, one row after the other."""
 
+    words: np.ndarray
+    lengths: np.ndarray
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        number = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        return np.bincount(number, weights[self.words], len(self.lengths))
+
+    def take(self, chosen: np.ndarray) -> Rows:
+        return Rows(self.words[np.repeat(chosen, self.lengths)], self.lengths[chosen])
 
 
 @dataclass
-class Chain:
-    """A trained chain. ``models`` has a model for each category, or a constant where the labels hold one class only."""
+class Linear:
+    """A logistic model of the words that a text holds and of the probabilities of earlier categories."""
 
-    categories: list[str]
-    words: CountVectorizerModel | None
-    models: list[LogisticRegressionModel | float]
-    threshold: float
+    bias: float
+    words: np.ndarray
+    earlier: np.ndarray
 
-    def score(self, rows: DataFrame) -> DataFrame:
-        """Adds ``p_`` and the category's name for each category to rows with a column _text."""
-        if self.words is not None:
-            rows = self.words.transform(_words(rows))
-        for number, model in enumerate(self.models):
-            rows = _predict(rows, self.categories[:number], self.categories[number], model)
-        return rows.drop("_words", "_bag")
+    def chances(self, rows: Rows, earlier: np.ndarray) -> np.ndarray:
+        return _sigmoid(self.bias + rows.sums(self.words) + earlier @ self.earlier)
 
 
-def _predict(rows: DataFrame, before: Sequence[str], category: str, model: LogisticRegressionModel | float) -> DataFrame:
-    if isinstance(model, float):
-        return rows.withColumn(f"p_{category}", F.lit(model))
-    scored = model.transform(_features(rows, before))
-    return scored.withColumn(f"p_{category}", vector_to_array("_p")[1]).drop("_features", "_raw", "_p", "_class")
+def _sigmoid(values: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(values, -40, 40)))
 
 
-def _features(rows: DataFrame, before: Sequence[str]) -> DataFrame:
-    columns = ["_bag", *(f"p_{category}" for category in before)]
-    return VectorAssembler(inputCols=columns, outputCol="_features").transform(rows)
+def fit(rows: Rows, earlier: np.ndarray, labels: np.ndarray, vocabulary: int) -> Linear:
+    """Least logistic loss in two rounds: a lasso on words, then the words that it kept without it.
 
+    Only the words that differ most between the classes enter. The lasso is as strong as chance makes a word that tells
+    nothing look, for so many words and rows. Steps shrink for each weight by what it has been moved before. Labels of one
+    class give that class for sure.
+    """
+    count = len(labels)
+    if not count or labels.min() == labels.max():
+        sure = 40.0 if count and labels[0] else -40.0
+        return Linear(sure, np.zeros(vocabulary), np.zeros(earlier.shape[1]))
+    share = labels.mean()
+    # How far the share of rows with a feature differs between the classes, in standard deviations.
+    with_one = np.bincount(rows.words, np.repeat(labels, rows.lengths), vocabulary)
+    held = np.bincount(rows.words, minlength=vocabulary)
+    spread = np.sqrt(np.maximum(held * (1 - held / count) * share * (1 - share), 1e-9))
+    tell = np.argsort(-np.abs(with_one - held * share) / spread, kind="stable")[:_SCREENED]
+    place = np.full(vocabulary, -1)
+    place[tell] = np.arange(len(tell))
+    inside = place[rows.words] >= 0
+    owner = np.repeat(np.arange(count), rows.lengths)[inside]
+    small = Rows(place[rows.words][inside], np.bincount(owner, minlength=count))
+
+    lasso = _LASSO * np.sqrt(share * (1 - share) * np.log(max(vocabulary, 2)) / count)
+    bias, words, before = float(np.log(share / (1 - share))), np.zeros(len(tell)), np.zeros(earlier.shape[1])
+    kept = np.ones(len(tell), bool)
+    for penalty, ridge in ((lasso, 0.0), (0.0, _RIDGE)):
+        moved, moved_words, moved_before = 1e-8, np.full(len(tell), 1e-8), np.full(earlier.shape[1], 1e-8)
+        for _ in range(_STEPS):
+            wrong = (_sigmoid(bias + small.sums(words) + earlier @ before) - labels) / count
+            slope = (np.bincount(small.words, np.repeat(wrong, small.lengths), len(tell)) + ridge * words) * kept
+            moved_words += slope**2
+            rate = _RATE / np.sqrt(moved_words)
+            words = words - rate * slope
+            words = np.sign(words) * np.maximum(np.abs(words) - rate * penalty, 0)
+            slope = earlier.T @ wrong
+            moved_before += slope**2
+            before = before - _RATE * slope / np.sqrt(moved_before)
+            moved += wrong.sum() ** 2
+            bias -= _RATE * wrong.sum() / np.sqrt(moved)
+        kept = words != 0
+    weights = np.zeros(vocabulary)
+    weights[tell] = words
+    return Linear(bias, weights, before)
 
-def _fit(rows: DataFrame, before: Sequence[str], category: str) -> LogisticRegressionModel | float:
-    """A linear model, or the share of positive labels where there is one class only."""
-    seen = rows.agg(F.count("*").alias("n"), F.sum(category).alias("ones")).first()
-    if not seen["n"] or seen["ones"] in (0, seen["n"]):
-        return seen["ones"] / seen["n"] if seen["n"] else 0.0
-    # The lasso keeps the few words that tell, out of the many that don't.
-    model = LogisticRegression(
-        featuresCol="_features", labelCol=category, probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_class",
-        maxIter=40, regParam=0.002, elasticNetParam=1.0,
-    )
-    return model.fit(_features(rows, before))
 
+@dataclass
+class Chain:
+    """A trained chain, with the words that have a weight in any of its models and what they weigh in each."""
 
-def _threshold(scored: list[tuple[float, float]]) -> float:
+    categories: list[str]
+    weights: dict[bytes, tuple[float, ...]]
+    models: list[tuple[float, list[float]]]
+    threshold: float
+    prefixes: list[int] = field(init=False)
+
+    def __post_init__(self) -> None:
+        self.prefixes = sorted({len(feature) - 1 for feature in self.weights if feature.endswith(b"*")})
+
+    def chances(self, text: bytes) -> list[float]:
+        """The probability of each category."""
+        known = [self.weights[found] for found in self.weights.keys() & features(text, self.prefixes)]
+        sums = [sum(column) for column in zip(*known)] or [0.0] * len(self.models)
+        result: list[float] = []
+        for (bias, earlier), total in zip(self.models, sums):
+            result.append(float(_sigmoid(bias + total + sum(w * p for w, p in zip(earlier, result)))))
+        return result
+
+
+def best_threshold(chances: np.ndarray, labels: np.ndarray) -> float:
     """The probability from which on predictions are best by the harmonic mean of precision and recall."""
-    ranked = sorted(scored, reverse=True)
-    total = sum(label for _, label in ranked)
-    best, threshold, hits = 0.0, 1.1, 0.0
-    for place, (probability, label) in enumerate(ranked):
-        hits += label
-        if place + 1 == len(ranked) or ranked[place + 1][0] < probability:
-            value = 2 * hits / (place + 1 + total) if total else 0.0
-            if value > best:
-                after = ranked[place + 1][0] if place + 1 < len(ranked) else 0.0
-                best, threshold = value, (probability + after) / 2
-    return threshold
+    if not labels.any():
+        return 1.1
+    order = np.argsort(-chances, kind="stable")
+    ranked, hits = chances[order], np.cumsum(labels[order])
+    value = 2 * hits / (np.arange(1, len(labels) + 1) + hits[-1])
+    value[:-1][ranked[1:] == ranked[:-1]] = -1  # equal chances are not parted
+    at = int(value.argmax())
+    return float((ranked[at] + (ranked[at + 1] if at + 1 < len(ranked) else 0)) / 2)
 
 
 def train_chain(
@@ -99,46 +158,69 @@ def train_chain(
     """Fit one model per category, in their order; the last category is the one to decide by.
 
     About ``train_rows`` of the labelled ids, picked by their hash, are the sample, whatever the size of the corpus.
-    Features are the words that occur in a text, out of those that at least five texts of the sample hold, and the
-    probabilities of the earlier categories. While training, these come from models that have not seen the row
-    (``folds`` folds), as they will when scoring. The threshold is the one with which out-of-fold predictions of the
-    last category agree best with its labels.
+    Features are the words that occur in a text and the first four to eight bytes of longer ones, which stand for stems
+    with many endings, out of the most frequent ones that at least five texts of the sample hold; and the probabilities
+    of the earlier categories. While training, these come from models that have not seen the row (``folds`` folds), as
+    they will when scoring. The threshold is the one with which out-of-fold predictions of the last category agree best
+    with its labels.
 
     ``categories`` names conditions in SQL over the columns of ``labels``. Labels of an id that occurs repeatedly count
     once, by the largest value; rows with a null id, or with null in a category, are no labels. Categories with labels
-    of one class get the share of that class as a constant, 0 without labels.
+    of one class are never, or always, taken to hold, and without labels never.
     """
     names = list(categories)
-    marks = [F.max(F.expr(value).cast("double")).alias(name) for name, value in categories.items()]
-    known = labels.groupBy(F.col(id_col).alias("_id")).agg(*marks).dropna()
-    sample = hash_sample(known, ["_id"], train_rows)
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    marks = [F.max(F.expr(value).cast("int")).alias(f"_c{i}") for i, value in enumerate(categories.values())]
+    known = settle(labels.groupBy(F.col(id_col).alias("_id")).agg(*marks).dropna())
     # At most twice train_rows labels are broadcast.
-    rows = settle(rows.join(F.broadcast(sample), "_id").dropDuplicates(["_id"])).coalesce(8)
-    rows = _words(rows)
-    try_words = rows.select(F.explode(F.array_distinct("_words")).alias("w")).groupBy("w").count().where(f"count >= {MIN_DOCS}")
-    if try_words.isEmpty():
-        shares = rows.agg(*[F.avg(name) for name in names]).first()
-        return Chain(names, None, [float(share or 0.0) for share in shares], 1.1)
-    words = CountVectorizer(inputCol="_words", outputCol="_bag", binary=True, minDF=MIN_DOCS, vocabSize=VOCABULARY).fit(rows)
-    rows = words.transform(rows).withColumn("_fold", F.pmod(F.xxhash64(F.col("_id"), F.lit("fold")), F.lit(folds)))
-    rows = settle(rows.select("_id", "_bag", "_fold", *names))
-
+    sample = F.broadcast(hash_sample(known, ["_id"], train_rows))
+    texts = docs.select(F.col(id_col).alias("_id"), utf8(text_col).alias("_text"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [sorted(features(text.as_py())) for text in batch["_text"]]
+            columns = [batch["_id"], *(batch[f"_c{i}"] for i in range(len(names))), pa.array(words, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", *(f"_c{i}" for i in range(len(names))), "_words"])
+
+    rows = texts.join(sample, "_id")
+    kind = rows.schema["_id"].dataType.simpleString()
+    shape = f"_id {kind}, " + ", ".join(f"_c{i} int" for i in range(len(names))) + ", _words array<binary>"
+    rows = settle(rows.mapInArrow(split, shape).dropDuplicates(["_id"]))
+    counted = rows.select(F.explode("_words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    vocabulary = [bytes(r["word"]) for r in counted.where(F.col("n") >= MIN_DOCS).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()]
+    place = {word: i for i, word in enumerate(vocabulary)}
+
+    columns = rows.columns
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[place[word] for word in words if word in place] for words in batch["_words"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.int32()))], columns)
+
+    # The words of at most twice train_rows texts that are in the vocabulary.
+    table = rows.mapInArrow(index, shape.replace("array<binary>", "array<int>")).orderBy("_id").toArrow()
+    lists = table["_words"].combine_chunks()
+    lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64) if len(lists) else np.zeros(0, np.int64)
+    bags = Rows(lists.flatten().to_numpy().astype(np.int64), lengths)
+    fold = np.arange(len(lists)) % folds
+    earlier = np.zeros((len(lists), 0))
     models = []
-    for number, category in enumerate(names):
-        before = names[:number]
-        parts = [
-            _predict(rows.where(F.col("_fold") == fold), before, category, _fit(rows.where(F.col("_fold") != fold), before, category))
-            for fold in range(folds)
-        ]
-        models.append(_fit(rows, before, category))
-        unseen = parts[0]
-        for part in parts[1:]:
-            unseen = unseen.unionByName(part)
-        rows = settle(unseen).coalesce(8)
-    # At most twice train_rows pairs of numbers.
-    scored = [(row[0], row[1]) for row in rows.select(f"p_{names[-1]}", names[-1]).collect()]
-    return Chain(names, words, models, _threshold(scored))
+    for i in range(len(names)):
+        truth = np.array(table[f"_c{i}"].to_pylist(), float)
+        unseen = np.zeros(len(lists))
+        for part in range(folds):
+            rest, own = fold != part, fold == part
+            model = fit(bags.take(rest), earlier[rest], truth[rest], len(vocabulary))
+            unseen[own] = model.chances(bags.take(own), earlier[own])
+        models.append(fit(bags, earlier, truth, len(vocabulary)))
+        earlier = np.column_stack([earlier, unseen])
+    weights = np.array([model.words for model in models])
+    used = np.flatnonzero(weights.any(axis=0))
+    return Chain(
+        names,
+        {vocabulary[i]: tuple(weights[:, i].tolist()) for i in used},
+        [(model.bias, model.earlier.tolist()) for model in models],
+        best_threshold(earlier[:, -1], truth) if len(lists) else 1.1,
+    )
 
 
 def toxicity(
@@ -154,12 +236,29 @@ def toxicity(
     Trains a chain (see `train_chain`) and scores the whole texts with it, without a shuffle. Null texts count as
     empty; ids, null ones too, are handed through; repeated rows are scored each. Other columns are not read.
 
-    Columns: doc_id, ``p_`` and the name of each category, and a boolean with the name of the last one.
+    Columns: doc_id, ``p_`` and the name of each category, a boolean with the name of the last one, and version (a hash
+    of the text, which tells rows with the same id apart).
     """
     chain = train_chain(docs, labels, categories, train_rows, id_col=id_col, text_col=text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    last = chain.categories[-1]
-    return chain.score(rows).drop("_text").withColumn(last, F.col(f"p_{last}") >= chain.threshold)
+    sent = docs.sparkSession.sparkContext.broadcast(chain)
+    names = ["doc_id", *(f"p_{name}" for name in chain.categories), chain.categories[-1], "version"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chain = sent.value
+        for batch in batches:
+            chances = np.array([chain.chances(text.as_py()) for text in batch["_text"]]).reshape(-1, len(chain.categories))
+            columns = [pa.array(column) for column in chances.T]
+            columns = [batch["doc_id"], *columns, pa.array(chances[:, -1] >= chain.threshold), batch["version"]]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"),
+        utf8(text_col).alias("_text"),
+    )
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    shape = ", ".join([f"doc_id {kind}", *(f"{name} double" for name in names[1:-2]), f"{names[-2]} boolean", "version long"])
+    return rows.mapInArrow(run, shape)
 
 
 def drop_toxic(
@@ -171,8 +270,5 @@ def drop_toxic(
     text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, with all columns, for which the last category is not taken to hold."""
-    chain = train_chain(docs, labels, categories, train_rows, id_col=id_col, text_col=text_col)
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
-    )
-    return chain.score(rows).where(F.col(f"p_{chain.categories[-1]}") < chain.threshold).select("row.*")
+    scored = toxicity(docs, labels, categories, train_rows, id_col, text_col)
+    return without(docs, scored.where(f"`{list(categories)[-1]}`"), id_col, text_col)
