@@ -16,11 +16,12 @@ from tidemark.llm import blocks as B
 from tidemark.llm.words import scramble, utf8, word_hashes
 
 #: Bytes of the longest context.
-ORDER = 6
+ORDER = 5
 #: Contexts of this many bytes and more are told apart by shards; the counts of shorter ones are broadcast, which are
 #: at most 256 ** 3 numbers for any corpus.
 SPLIT = 3
 BLOCK_BYTES = 8 << 20
+_HEAD = 16
 _START = b"\n" * ORDER  # no word holds a line feed: it stands for what comes before a text and for its end
 
 
@@ -55,6 +56,18 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return found, np.bincount(place, values, len(found))
 
 
+def _distinct(codes: np.ndarray) -> np.ndarray:
+    """Distinct numbers, sorted. A plain sort is far faster than one that keeps places."""
+    codes = np.sort(codes)
+    return codes[np.append(True, codes[1:] != codes[:-1])[: len(codes)]]
+
+
+def _counts(codes: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """How often each of the sorted numbers occurs."""
+    codes = np.sort(codes)
+    return np.searchsorted(codes, found, "right") - np.searchsorted(codes, found, "left")
+
+
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where sorted keys hold what is wanted, and whether they do."""
     if not len(keys):
@@ -155,8 +168,9 @@ def short_counts(blocks: DataFrame) -> DataFrame:
                 rows = B.rows_of(data.as_py())
                 held = rows["held_out"].to_pylist()
                 codes, _ = _runs([text.as_py().lower().split() for text, h in zip(rows["text"], held) if not h])
-                found, counts = np.unique(_low_bytes(codes, SPLIT).astype(np.int32), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], ["code", "n"])
+                codes = _low_bytes(codes, SPLIT).astype(np.int32)
+                found = _distinct(codes)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(_counts(codes, found))], ["code", "n"])
 
     return blocks.mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
@@ -172,13 +186,21 @@ def _stretch(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(changes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.compress(values.tobytes(), 3)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), kind)
+
+
 def _score_runs(short: Short, items: list[bytes], values: list[bytes]) -> list[bytes]:
     """For each block the log10 probability of each of its runs."""
     parts = [_stretch(item) for item in items]
-    counts = np.concatenate([_stretch(value) for value in values])
+    counts = np.concatenate([_unpacked(value, np.int32) for value in values])
     codes, place = np.unique(np.concatenate(parts), return_inverse=True)
     logs = log10_of_runs(codes, np.bincount(place, counts, len(codes)), short).astype(np.float32)[place]
-    return [zstandard.compress(part.tobytes(), 3) for part in np.split(logs, np.cumsum([len(part) for part in parts])[:-1])]
+    return [_packed(part) for part in np.split(logs, np.cumsum([len(part) for part in parts])[:-1])]
 
 
 def _runs_by_shard(codes: np.ndarray, shards: int) -> list[tuple[int, np.ndarray]]:
@@ -196,13 +218,12 @@ def _parts(shard: np.ndarray) -> list[tuple[int, np.ndarray]]:
 def _sum_words(items: list[bytes], values: list[bytes]) -> list[bytes]:
     """For each block the counts over all blocks of its words; before them the distinct words and the sum of this shard."""
     total: Counter[bytes] = Counter()
-    lists = [item.split(b"\n") for item in items]
+    lists = [zstandard.decompress(item).split(b"\n") for item in items]
     for words, value in zip(lists, values):
-        counts = np.frombuffer(value, np.int64).tolist()
-        for word, count in zip(words, counts):
+        for word, count in zip(words, _unpacked(value, np.int32).tolist()):
             total[word] += count
     head = np.array([sum(count > 0 for count in total.values()), total.total()], np.int64).tobytes()
-    return [head + np.fromiter(map(total.__getitem__, words), np.int64, len(words)).tobytes() for words in lists]
+    return [head + _packed(np.fromiter(map(total.__getitem__, words), np.int64, len(words))) for words in lists]
 
 
 def _words_by_shard(words: list[bytes], shards: int) -> list[tuple[int, np.ndarray]]:
@@ -210,23 +231,22 @@ def _words_by_shard(words: list[bytes], shards: int) -> list[tuple[int, np.ndarr
     return _parts(word_hashes(words) % np.uint64(shards))
 
 
-def _block_counts(rows: pa.Table) -> Counter[bytes]:
-    """The block's words with their counts in its training texts. The empty word is the end token."""
+def _block_counts(rows: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    """The block's words, sorted, with their counts in its training texts. The empty word is the end token."""
     counts: Counter[bytes] = Counter({b"": 0})
     for text, held in zip(rows["text"], rows["held_out"].to_pylist()):
         words = text.as_py().lower().split()
         counts.update(dict.fromkeys(words, 0) if held else words)
         counts[b""] += not held
-    return counts
+    words = sorted(counts)
+    return words, np.fromiter(map(counts.__getitem__, words), np.int32, len(words))
 
 
-def _block_runs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The block's distinct runs, their counts in its training texts, the place of each run met, and where texts begin."""
+def _block_runs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of the block's texts, which of them are in training texts, and where texts begin."""
     codes, first = _runs([text.as_py().lower().split() for text in rows["text"]])
-    lengths = np.diff(np.append(first, len(codes)))
-    trained = np.repeat(~np.array(rows["held_out"].to_pylist(), bool), lengths)
-    found, place = np.unique(codes, return_inverse=True)
-    return found, np.bincount(place, trained, len(found)).astype(np.int64), place, first
+    trained = ~np.array(rows["held_out"].to_pylist(), bool)
+    return codes, np.repeat(trained, np.diff(np.append(first, len(codes)))), first
 
 
 def score_texts(
@@ -239,11 +259,11 @@ def score_texts(
     """One row per row of ``docs``: log10 probabilities of its whole text, by words and by bytes.
 
     ASCII letters are lower-cased; words are what ASCII white space separates, followed by one end token. The model of
-    bytes is a pretrained trie with contexts of up to six bytes over the words joined by single spaces and an end byte
+    bytes is a pretrained trie with contexts of up to five bytes over the words joined by single spaces and an end byte
     (see `log10_of_runs`). Its counts come from all texts but those ``held_out``, as do the word counts of the base.
 
     Neither the words nor the trie are ever in one place. Blocks of documents ask for the words and for the runs of
-    seven bytes that they hold (see `blocks`). Runs are dealt out by the three bytes before the last one, so a shard has
+    six bytes that they hold (see `blocks`). Runs are dealt out by the three bytes before the last one, so a shard has
     the whole part of the trie that its answers need, down to the contexts of three bytes; the counts of three bytes in
     a row, which are at most 256 ** 3 whatever the corpus, are broadcast for the rest.
 
@@ -261,19 +281,20 @@ def score_texts(
     shards = B.shard_count(table, block_bytes)
 
     def ask_words(rows: pa.Table) -> Iterator[tuple[int, bytes, bytes]]:
-        counts = _block_counts(rows)
-        words, numbers = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+        words, counts = _block_counts(rows)
         for shard, places in _words_by_shard(words, shards):
-            yield shard, b"\n".join([words[i] for i in places.tolist()]), numbers[places].tobytes()
+            yield shard, zstandard.compress(b"\n".join([words[i] for i in places.tolist()]), 3), _packed(counts[places])
 
     def ask_runs(rows: pa.Table) -> Iterator[tuple[int, bytes, bytes]]:
-        codes, counts, _, _ = _block_runs(rows)
-        for shard, places in _runs_by_shard(codes, shards):
-            yield shard, _squeeze(codes[places]), _squeeze(counts[places])
+        codes, trained, _ = _block_runs(rows)
+        found = _distinct(codes)
+        counts = _counts(codes[trained], found).astype(np.int32)
+        for shard, places in _runs_by_shard(found, shards):
+            yield shard, _squeeze(found[places]), _packed(counts[places])
 
     # Every reply about words begins with its shard's number of distinct words and their sum.
     of_words = B.answer(B.ask(table, ask_words), _sum_words)
-    heads = of_words.groupBy("shard").agg(F.min(F.substring("reply", 1, 16)).alias("head")).collect()
+    heads = of_words.groupBy("shard").agg(F.min(F.substring("reply", 1, _HEAD)).alias("head")).collect()
     distinct, tokens = (sum(np.frombuffer(bytes(row["head"]), np.int64)[i].item() for row in heads) for i in (0, 1))
     found = short_counts(table).toArrow()
     short = docs.sparkSession.sparkContext.broadcast(Short(found["code"].to_numpy(), found["n"].to_numpy()))
@@ -284,15 +305,16 @@ def score_texts(
         rows = B.rows_of(left["data"][0].as_py())
         right = right.sort_by("shard")
         by_words, by_runs = (right.filter(pa.compute.equal(right["question"], i))["reply"].to_pylist() for i in (0, 1))
-        words = list(_block_counts(rows))
+        words, _ = _block_counts(rows)
         known = np.empty(len(words), np.int64)
         for (_, places), reply in zip(_words_by_shard(words, shards), by_words, strict=True):
-            known[places] = np.frombuffer(reply, np.int64)[2:]
-        codes, _, run_place, first = _block_runs(rows)
-        logs = np.empty(len(codes), np.float32)
-        for (_, places), reply in zip(_runs_by_shard(codes, shards), by_runs, strict=True):
-            logs[places] = np.frombuffer(zstandard.decompress(reply), np.float32)
-        score = np.add.reduceat(logs[run_place].astype(np.float64), first)
+            known[places] = _unpacked(reply[_HEAD:], np.int64)
+        codes, _, first = _block_runs(rows)
+        found = _distinct(codes)
+        logs = np.empty(len(found), np.float32)
+        for (_, places), reply in zip(_runs_by_shard(found, shards), by_runs, strict=True):
+            logs[places] = _unpacked(reply, np.float32)
+        score = np.add.reduceat(logs[np.searchsorted(found, codes)].astype(np.float64), first)
         place = dict(zip(words, range(len(words))))
         parts = np.log10(known + 0.5) - np.log10(tokens + 0.5 * (distinct + 1))
         lengths, met, base = [], [], []
