@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import remove
+
 STREAM = ["namespace", "stream"]
 SCHEMA = (
     "namespace string, stream string, batch bigint, saved_at timestamp, state string, status string, "
@@ -57,10 +59,8 @@ def compact_state(spark: SparkSession, path: str) -> None:
     old = spark.read.schema(SCHEMA).parquet(path).inputFiles()
     names = spark.createDataFrame([], SCHEMA).columns
     read_state(spark, path).select(*names).coalesce(1).write.mode("append").parquet(path)
-    context = spark.sparkContext
     for name in old:
-        place = context._jvm.org.apache.hadoop.fs.Path(name)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, False)
+        remove(spark, name)
 
 
 def text(value: Any) -> str | None:

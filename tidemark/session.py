@@ -36,6 +36,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a folder of any file system that Spark knows; nothing if there is none."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan with fewer partitions than cores, dealt out over all of them; other scans as they are.
 

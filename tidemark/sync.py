@@ -27,6 +27,7 @@ from tidemark.operators.merge import latest_per_key
 from tidemark.plans.collections import phases, snapshot_selection
 from tidemark.plans.state import append_state, read_state, text
 from tidemark.plans.tables import cursor_reads, tracking_reads, with_state
+from tidemark.session import remove
 
 
 class SyncError(Exception):
@@ -89,12 +90,6 @@ class Store:
         latest = read_state(self.spark, self.state).select("namespace", "stream", "batch").collect()
         return {(row["namespace"], row["stream"]): row["batch"] + 1 for row in latest}
 
-    def remove(self, path: str) -> None:
-        """Deletes what a run has staged below ``out``."""
-        context = self.spark.sparkContext
-        place = context._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
-
 
 def reset(store: Store, namespace: str, stream: str) -> None:
     """Forgets where a stream stopped: its next read starts over."""
@@ -345,7 +340,7 @@ def _snapshot(
     if resumed and not found:
         store.save(*name, batches[name], None, status=complete, key_name=[DOCUMENT_ID], key=[after], id_type=kind)
         batches[name] += 1
-    store.remove(staged)
+    remove(store.spark, staged)
 
 
 def _changes(
@@ -384,7 +379,7 @@ def _changes(
         batches[name] = batches.get(name, 0) + 1
     if saved:
         append_state(spark, store.state, saved)
-    store.remove(staged)
+    remove(store.spark, staged)
 
 
 def _utc(moment: dt.datetime) -> dt.datetime:
