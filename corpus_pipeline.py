@@ -13,7 +13,7 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.toxicity import CATEGORIES, drop_toxic
-from tidemark.session import shared_dir
+from tidemark.session import remove, shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,10 +60,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each but the last written to the shared folder and read again."""
+    """All stages over the documents, each but the last written to the shared folder and read again.
+
+    A stage's table goes when the next one is written; that of the last but one stays, for the result reads it.
+    """
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = _table(spark, sf_dir, "documents")
+    docs, done = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if done:
+            remove(spark, done)
+        done = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
