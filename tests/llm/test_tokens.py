@@ -13,7 +13,7 @@ from tidemark.llm.token_counts import count_long, count_tokens, load
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
-BITS = [" ", "  ", "   ", "a", "b", "\n", "▁", "你", "𝒳", "xyz", "é", "\t", "<s>", " .", " ", "\x1c", "　", "<|endoftext|>", "'s", "12", " w"]
+BITS = [" ", "  ", "   ", "a", "b", "\n", "▁", "你", "𝒳", "xyz", "é", "\t", "<s>", " .", " ", "\x1c", "　", "<|endoftext|>", "'s", "12", " w", ".", "a,", "é!", "ª?", "Ⅷ.", "\0"]
 
 
 def odd_texts(count):
@@ -40,8 +40,9 @@ def test_counts(odd, odd_rows):
 
 def test_remembered_words_give_the_ids_of_whole_texts():
     tokenizer = Tokenizer.from_file(BYTES)
-    for text in odd_texts(3000):
-        assert np.frombuffer(encoder(BYTES)(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    texts = odd_texts(3000)
+    for text, data in zip(texts, encoder(BYTES)(texts)):
+        assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
 @pytest.mark.parametrize("tokens", [1, 2, 1023, 1024, 1025, 5000])

@@ -16,42 +16,87 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_ID = 0
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 1_000_000
+_TOGETHER = 1000
+_DOCS = 64
 
 
 class _Encoder:
-    """Token ids as little-endian bytes, from the tokenizer's own ids of the words between single spaces.
+    """Token ids as little-endian bytes, from the tokenizer's own ids of single words.
 
-    The tokenizer first cuts texts before every space that follows a character other than white space or precedes
-    one, and encodes the parts one by one. So a text has the ids of its parts, and parts that occur again are
-    remembered. Texts with other white space around spaces, or with a special token's string, are encoded whole.
+    The tokenizer first cuts texts before a space between two other characters, around a line feed between two other
+    characters, and between a letter and the punctuation after it, and encodes the parts one by one. So a text has the
+    ids of its parts, and parts that occur again are remembered. Texts with more white space in a row, or with a special
+    token's string, are encoded whole.
     """
 
     # All that the tokenizer may take for white space, and a little more.
-    _unsure = re.compile(r"\s (?=\s|\Z)")
+    _unsure = re.compile(r"\s(?=\s|\Z)")
+    _space = re.compile(r"\s")
+    _closing = frozenset(".,;:!?")
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        # A byte-level token has one character for each byte.
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.sizes[number] = len(token)
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in encoded]
-
-    def __call__(self, text: str) -> bytes:
-        if any(token in text for token in self.special) or self._unsure.search(text):
-            return self._ids([text])[0]
-        first, *words = text.split(" ")
-        if len(self.known) > _CACHED_WORDS:
-            self.known.clear()
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _together(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that begin with a space and hold no other, encoded as one text and cut at their bytes."""
+        encoded = self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, "<u4")
+        ends = np.cumsum([len(part.encode()) for part in parts])
+        cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+        data, starts = ids.tobytes(), [0, *cuts[:-1].tolist()]
+        return [data[4 * low : 4 * high] for low, high in zip(starts, cuts.tolist())]
+
+    def _learn(self, words: set[str]) -> None:
+        """Remembers parts; a letter and the punctuation mark at the end of a word are parts of their own."""
+        known, split, plain = self.known, [], []
+        for word in words:
+            if word[-1:] in self._closing and word[-2:-1].isalpha():
+                split.append(word)
+            elif word[:1] == " " and len(word) > 1 and not self._space.search(word, 1):
+                plain.append(word)
+            else:
+                known[word] = self.whole(word)
+        stems = {word[:-1] for word in split}.difference(known, plain)
+        for stem in stems:
+            if stem[:1] == " " and not self._space.search(stem, 1):
+                plain.append(stem)
+            else:
+                known[stem] = self.whole(stem)
+        for at in range(0, len(plain), _TOGETHER):
+            part = plain[at : at + _TOGETHER]
+            known.update(zip(part, self._together(part)))
+        for mark in {word[-1] for word in split}.difference(known):
+            known[mark] = self.whole(mark)
+        for word in split:
+            known[word] = known[word[:-1]] + known[word[-1]]
+
+    def _parts(self, text: str) -> list[str] | None:
+        """Each part but the first of a line keeps the space before it; line feeds are parts of their own."""
+        if "\0" in text or any(token in text for token in self.special) or self._unsure.search(text):
+            return None
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
         known = self.known
-        new = list({word for word in words if word not in known})
-        for at in range(0, len(new), 1000):
-            part = new[at : at + 1000]
-            known.update(zip(part, self._ids([" " + word for word in part])))
-        head = self._ids([first])[0] if first else b""
-        return head + b"".join(map(known.__getitem__, words))
+        if len(known) > _CACHED_WORDS:
+            known.clear()
+        cut = [self._parts(text) for text in texts]
+        new = set().union(*(parts for parts in cut if parts)).difference(known)
+        if new:
+            self._learn(new)
+        find = known.__getitem__
+        return [self.whole(text) if parts is None else b"".join(map(find, parts)) for text, parts in zip(texts, cut)]
 
 
 @functools.cache
@@ -100,11 +145,11 @@ def pack(
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             # Some documents at a time, so that few tokens are held at once.
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for low in range(0, batch.num_rows, _DOCS):
+                part = batch.slice(low, _DOCS)
                 owner, start, length, check, tokens, ids = [], [], [], [], [], []
-                for row, text in enumerate(part["_text"]):
-                    data = encode(text.as_py()) + end
+                for row, data in enumerate(encode(part["_text"].to_pylist())):
+                    data += end
                     count, at = len(data) // 4, 0
                     for size in binary_lengths(count, longest):
                         piece = data[4 * at : 4 * (at + size)]
