@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -103,3 +104,22 @@ def split_sorted(items: np.ndarray, shards: int) -> list[np.ndarray]:
     """Sorted 64-bit numbers, cut into equal ranges of all numbers."""
     edges = np.array([(i << 64) // shards for i in range(1, shards)], np.uint64)
     return np.split(items, np.searchsorted(items, edges))
+
+
+def packed(values: np.ndarray) -> bytes:
+    return zstandard.compress(values.tobytes(), 3)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), kind)
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Sorted whole numbers as the changes from one to the next, byte by byte, compressed."""
+    changes = np.diff(values.astype(np.uint64), prepend=np.uint64(0))
+    return zstandard.compress(np.ascontiguousarray(changes.view(np.uint8).reshape(-1, 8).T).tobytes(), 3)
+
+
+def stretched(data: bytes) -> np.ndarray:
+    changes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(changes.T).view(np.uint64).ravel(), dtype=np.uint64)

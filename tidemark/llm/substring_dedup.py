@@ -76,7 +76,7 @@ class _Words:
 
 def _shared(items: list[bytes], _: list[bytes]) -> list[bytes]:
     """For each block one bit per item: another block has it as well."""
-    parts = [np.frombuffer(item, np.uint64) for item in items]
+    parts = [B.stretched(item) for item in items]
     _, place, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
     shared = np.split(count[place] > 1, np.cumsum([len(part) for part in parts])[:-1])
     return [np.packbits(part).tobytes() for part in shared]
@@ -84,15 +84,15 @@ def _shared(items: list[bytes], _: list[bytes]) -> list[bytes]:
 
 def _first(items: list[bytes], values: list[bytes]) -> list[bytes]:
     """For each block one bit per item, whether a smaller id has it, and these ids."""
-    parts = [np.frombuffer(item, np.uint64) for item in items]
-    ids = np.concatenate([np.frombuffer(value, np.int64) for value in values])
+    parts = [B.stretched(item) for item in items]
+    ids = np.concatenate([B.unpacked(value, np.int64) for value in values])
     _, place = np.unique(np.concatenate(parts), return_inverse=True)
     order = np.lexsort((ids, place))
     new = np.append(True, place[order][1:] != place[order][:-1])
     first = ids[order][new][place]
     cuts = np.cumsum([len(part) for part in parts])[:-1]
     both = zip(np.split(first, cuts), np.split(ids, cuts))
-    return [np.packbits(low < own).tobytes() + low[low < own].tobytes() for low, own in both]
+    return [np.packbits(low < own).tobytes() + B.packed(low[low < own]) for low, own in both]
 
 
 def _automaton(words: _Words, confirmed: np.ndarray, first: np.ndarray):
@@ -135,7 +135,7 @@ def _cut(words: _Words, replies: list[bytes], shards: int) -> list[np.ndarray |
     for part, reply in zip([p for p in B.split_sorted(hashes, shards) if len(p)], replies, strict=True):
         size = -(-len(part) // 8)
         lower = np.unpackbits(np.frombuffer(reply[:size], np.uint8), count=len(part)).astype(bool)
-        first[at : at + len(part)][lower] = np.frombuffer(reply[size:], np.int64)
+        first[at : at + len(part)][lower] = B.unpacked(reply[size:], np.int64)
         at += len(part)
     first = first[np.searchsorted(hashes, words.hashes[words.starts])]
     own = np.array([i or 0 for i in words.ids], np.int64)[words.owner]
@@ -189,7 +189,7 @@ def dedup_passages(
     def ask_anchors(rows: pa.Table) -> Iterator[tuple[int, bytes, bytes]]:
         for shard, part in enumerate(B.split_sorted(np.unique(_Words(rows, window).anchors), shards)):
             if len(part):
-                yield shard, part.tobytes(), b""
+                yield shard, B.squeezed(part), b""
 
     def ask_windows(rows: pa.Table, replies: list[bytes]) -> pa.Table:
         words = _Words(rows, window)
@@ -197,7 +197,7 @@ def dedup_passages(
         hashes, ids = words.first_inside()
         parts = B.split_sorted(hashes, shards)
         values = np.split(ids, np.cumsum([len(part) for part in parts])[:-1])
-        asked = [(shard, part.tobytes(), value.tobytes()) for shard, (part, value) in enumerate(zip(parts, values)) if len(part)]
+        asked = [(i, B.squeezed(part), B.packed(value)) for i, (part, value) in enumerate(zip(parts, values)) if len(part)]
         columns = list(zip(*asked)) or [(), (), ()]
         kinds = [pa.int32(), pa.binary(), pa.binary()]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "items", "values"])
