@@ -5,10 +5,11 @@ from __future__ import annotations
 import bisect
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +17,8 @@ from tidemark.operators.joins import reshuffled
 from tidemark.session import settle
 
 MIN_WORDS = 5
+#: Holders of a line that are tried one after the other, before all others at once.
+ROUNDS = 4
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -86,10 +89,14 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     """The lines that a document repeats from documents with smaller ids: doc_id, version, dropped (numbers from 0).
 
     Lines of ``min_words`` words or more are evidence of an overlap. All holders of such a line are paired with its
-    first holder, the rarest line that a pair shares being kept with it, so the number of pairs follows the number of
-    lines however frequent a line is, and no frequency is passed over. Pairs are aligned by a patience diff, and
-    aligned runs of neighbouring lines of ``min_words`` words or more are dropped from the later document. All is
-    judged on the documents as given. Only 64-bit hashes of lines are shuffled.
+    first holder. Pairs are aligned by a patience diff, and aligned runs of neighbouring lines of ``min_words`` words or
+    more are dropped from the later document. What its first holder did not align is paired with the next holder, and so
+    on; after ROUNDS holders, with all that are left. So each line is tried with every earlier holder until it is
+    aligned, as if all documents were paired.
+
+    Documents are paired by their forms (see `_members`): those that differ only in lines of their own align in the same
+    way and are one form, whose first document stands for all as a holder. All is judged on the documents as given. Only
+    64-bit hashes of lines are shuffled.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split(text, "\n", -1)
@@ -99,30 +106,90 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
         F.transform(lines, lambda line: F.xxhash64(line)).alias("lines"),
         F.transform(lines, lambda line: F.regexp_count(line, F.lit(_WORD))).alias("words"),
     ).where(F.col(id_col).isNotNull())
-    units = settle(units.dropDuplicates(["doc_id", "version"]))
-    evidence = F.filter(F.arrays_zip("lines", "words"), lambda line: line["words"] >= min_words)
-    held = units.select("doc_id", "version", F.explode(F.array_distinct(F.transform(evidence, lambda x: x["lines"]))).alias("line"))
-    holders = held.groupBy("line").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.count("*").alias("held_by"))
-    holders = settle(holders.where("held_by > 1"))
-    # Rows with the same id are one document in two versions, neither of them later.
-    later = held.join(reshuffled(holders), "line").where(F.col("doc_id") > F.col("first.doc_id"))
-    pairs = settle(
-        later.groupBy("doc_id", "version", F.col("first.doc_id").alias("first_id"), F.col("first.version").alias("first_version"))
-        .agg(F.min("held_by").alias("rarest"))
+    members = settle(_members(settle(units.dropDuplicates(["doc_id", "version"]))))
+    forms = members.groupBy("form").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.any_value("lines").alias("lines"), F.any_value("words").alias("words")
     )
-    first = units.select(F.col("doc_id").alias("first_id"), F.col("version").alias("first_version"), F.col("lines").alias("first_lines"))
-    both = pairs.join(reshuffled(first), ["first_id", "first_version"]).join(reshuffled(units), ["doc_id", "version"])
+    forms = settle(forms)
+    holder = F.struct("first", "form")
+    evidence = _evidence(forms, min_words)
+    firsts = evidence.groupBy("key").agg(F.min(holder).alias("earlier"), F.max("last").alias("latest"))
+    firsts = settle(firsts.where("earlier.first < latest").drop("latest"))
+    evidence = settle(evidence.join(reshuffled(firsts), "key"))
+    held = settle(evidence.select("key", holder.alias("holder")).distinct())
+    # Holders from `until` on are of no use: all documents of the form come before them, or after one that aligned the line.
+    asking = evidence.select("form", "line", "key", "earlier", F.col("last").alias("until"))
+    found = []
+    for number in range(ROUNDS + 1):
+        asking = asking.where("earlier.first < until")
+        pairs = asking
+        if number == ROUNDS:
+            pairs = asking.drop("earlier").join(reshuffled(later), "key").where("holder.first < until").withColumnRenamed("holder", "earlier")
+        places = settle(_align(pairs.select("form", "earlier").distinct(), forms, min_words))
+        found.append(places)
+        if number == ROUNDS:
+            break
+        asking = asking.join(reshuffled(places), ["form", "line"], "left").withColumn("until", F.least("until", "reach")).drop("reach")
+        asking = settle(asking.where("earlier.first < until"))
+        if asking.isEmpty():
+            break
+        asked = asking.groupBy("key").agg(F.min("earlier").alias("earlier"))
+        later = settle(held.join(reshuffled(asked), "key").where("holder > earlier").select("key", "holder"))
+        following = later.groupBy("key").agg(F.min("holder").alias("earlier"))
+        asking = settle(asking.drop("earlier").join(reshuffled(following), "key"))
+    reach = reduce(DataFrame.unionByName, found).groupBy("form", "line").agg(F.min("reach").alias("reach"))
+    reach = reach.groupBy("form").agg(F.collect_list(F.struct("line", "reach")).alias("reached"))
+    joined = members.select("doc_id", "version", "form", "places").join(reshuffled(reach), "form")
+    here = F.filter("reached", lambda x: x["reach"] < F.col("doc_id"))
+    dropped = F.transform(here, lambda x: F.get("places", x["line"]))
+    return joined.select("doc_id", "version", dropped.alias("dropped")).where(F.size("dropped") > 0)
+
+
+def _members(units: DataFrame) -> DataFrame:
+    """doc_id, version, form, places, lines, words: of documents that share lines with others, these lines.
+
+    Runs of lines that no other document holds are one 0 in ``lines`` each, which no line is aligned with; ``places`` has
+    the numbers of the lines in the document, ``form`` the hash of ``lines``.
+    """
+    held = F.posexplode(F.arrays_zip("lines", "words")).alias("place", "held")
+    each = units.select("doc_id", "version", held).select("doc_id", "version", "place", "held.lines", "held.words")
+    shared = units.select(F.explode(F.array_distinct("lines")).alias("lines")).groupBy("lines").count().where("count > 1").select("lines")
+    kept = each.join(reshuffled(shared), "lines").groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("place", "lines", "words"))).alias("kept"))
+    kept = kept.join(reshuffled(units.select("doc_id", "version", F.size("lines").alias("n"))), ["doc_id", "version"])
+
+    def runs(name: str, gap: int) -> Column:
+        def step(x: Column, i: Column) -> Column:
+            before = F.coalesce(F.get("kept", i - 1)["place"], F.lit(-1))
+            return F.when(x["place"] == before + 1, F.array(x[name])).otherwise(F.array(F.lit(gap).cast(kinds[name]), x[name]))
+
+        end = F.when(F.element_at("kept", -1)["place"] < F.col("n") - 1, F.array(F.lit(gap).cast(kinds[name])))
+        return F.concat(F.flatten(F.transform("kept", step)), F.coalesce(end, F.array().cast(f"array<{kinds[name]}>")))
+
+    kinds = {"place": "int", "lines": "long", "words": "int"}
+    rows = kept.select("doc_id", "version", runs("place", -1).alias("places"), runs("lines", 0).alias("lines"), runs("words", 0).alias("words"))
+    return rows.withColumn("form", F.xxhash64("lines"))
+
+
+def _evidence(forms: DataFrame, min_words: int) -> DataFrame:
+    """form, first, last, line, key: what a line shares with the documents that it may be aligned with."""
+    lines = forms.select("form", "first", "last", F.posexplode(F.arrays_zip("lines", "words")).alias("line", "held"))
+    return lines.where(F.col("held.words") >= min_words).select("form", "first", "last", "line", F.col("held.lines").alias("key"))
+
+
+def _align(pairs: DataFrame, forms: DataFrame, min_words: int) -> DataFrame:
+    """form, line, reach: the lines that forms repeat from others, and the smallest id of the first documents of these."""
+    first = forms.select(F.struct("first", "form").alias("earlier"), F.col("lines").alias("first_lines"))
+    both = pairs.join(reshuffled(first), "earlier").join(reshuffled(forms.select("form", "lines", "words")), "form")
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = zip(frame["first_lines"], frame["lines"], frame["words"])
-            found = [common_blocks(a.tolist(), b.tolist(), words.tolist(), min_words) for a, b, words in rows]
-            yield frame[["doc_id", "version"]].assign(line=found).explode("line").dropna(subset=["line"])
+            found = [common_blocks([x or None for x in a.tolist()], b.tolist(), words.tolist(), min_words) for a, b, words in rows]
+            yield frame[["form", "reach"]].assign(line=found).explode("line").dropna(subset=["line"])[["form", "line", "reach"]]
 
-    kind = units.schema["doc_id"].dataType.simpleString()
-    places = both.select("doc_id", "version", "first_lines", "lines", "words")
-    places = places.mapInPandas(align, f"doc_id {kind}, version long, line int").distinct()
-    return places.groupBy("doc_id", "version").agg(F.collect_list("line").alias("dropped"))
+    kind = forms.schema["first"].dataType.simpleString()
+    both = both.select("form", F.col("earlier.first").alias("reach"), "first_lines", "lines", "words")
+    return both.mapInPandas(align, f"form long, line int, reach {kind}").groupBy("form", "line").agg(F.min("reach").alias("reach"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
