@@ -46,3 +46,32 @@ def test_all_earlier_documents(spark, seed):
     rows = [(i, "\n".join(rng.choice([f"own line of document {i} {n}", *rng.choices(bank, k=3)]) for n in range(rng.randint(1, 9)))) for i in range(60)]
     rows += [(70 + i % 2, text) for i, (_, text) in enumerate(rng.choices(rows, k=8))]
     assert dropped(spark, rows) == brute(rows)
+
+
+def test_blocks_of_short_lines(spark):
+    verse = "roses are red\n\nviolets\n\nblue"
+    rows = [(1, f"a\n{verse}\nb"), (2, f"c\n{verse}\nd"), (3, "roses are red\nblue"), (4, f"{L}\nviolets\n\nx"), (5, f"y\n{L}\nviolets\n\nz")]
+    rows += [(6, "violets\n\nq")]
+    assert dropped(spark, rows)[2, rows[1][1]] == [1, 2, 3, 4, 5]
+    assert dropped(spark, rows) == brute(rows)
+
+
+def test_short_lines_beside_a_line_first_held_elsewhere(spark):
+    rows = [(1, f"x\n{L}\ny"), (5, f"q\n{L}\nshort\nr"), (9, f"s\n{L}\nshort\nt")]
+    assert dropped(spark, rows)[9, rows[2][1]] == [1, 2]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_short_lines_against_all_earlier_documents(spark, seed):
+    rng = random.Random(seed)
+    bank = ["", "", "one", "two words", "now three words", "and here are four", "five words are a line"]
+    rows = [(i, "\n".join(rng.choice([*bank, f"own {i} {n}"]) for n in range(rng.randint(1, 14)))) for i in range(40)]
+    assert dropped(spark, rows) == brute(rows)
+
+
+def test_scripts_without_spaces(spark):
+    rows = []
+    for n, line in enumerate(["我们今天去公园散步看花", "きょうはとてもよいてんきです", "วันนี้อากาศดีมากเราไปเดินเล่นกัน"]):
+        rows += [(10 * n, f"a{n}\n{line}\nb"), (10 * n + 1, f"c{n}\n{line}\nd")]
+    rows += [(50, "x\n你好。\ny"), (51, "z\n你好。\nw"), (52, "x2\nสวัสดี\ny"), (53, "z2\nสวัสดี\nw")]
+    assert {i: lines for (i, _), lines in dropped(spark, rows).items()} == {1: [1], 11: [1], 21: [1]}

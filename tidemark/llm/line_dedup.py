@@ -19,7 +19,11 @@ from tidemark.session import settle
 MIN_WORDS = 5
 #: Holders of a line that are tried one after the other, before all others at once.
 ROUNDS = 4
-_WORD = r"[^\x20\x09-\x0D]+"
+# Scripts without spaces: two letters of Chinese or Japanese, or four of Thai, Lao, Burmese or Khmer, count as a word.
+_TWO, _FOUR = r"\p{IsHan}\x{3040}-\x{30FF}", r"\p{IsThai}\p{IsLao}\p{IsMyanmar}\p{IsKhmer}"
+_MARKS = r"\x{3000}-\x{3004}\x{3008}-\x{3020}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}"
+_WORD = rf"[{_TWO}]{{1,2}}|[{_FOUR}]{{1,4}}|[^\x20\x09-\x0D{_TWO}{_FOUR}{_MARKS}]+"
+_PRIME, _BASE = (1 << 61) - 1, 0x1B873593CC9E2D51 % ((1 << 61) - 1)
 
 
 def _rising(values: Sequence[int]) -> list[int]:
@@ -88,11 +92,11 @@ def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_
 def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The lines that a document repeats from documents with smaller ids: doc_id, version, dropped (numbers from 0).
 
-    Lines of ``min_words`` words or more are evidence of an overlap. All holders of such a line are paired with its
-    first holder. Pairs are aligned by a patience diff, and aligned runs of neighbouring lines of ``min_words`` words or
+    Runs of neighbouring lines that together hold ``min_words`` words or more are evidence of an overlap (see `windows`).
+    All holders of such a run are paired with its first holder. Pairs are aligned by a patience diff, and aligned runs of neighbouring lines of ``min_words`` words or
     more are dropped from the later document. What its first holder did not align is paired with the next holder, and so
-    on; after ROUNDS holders, with all that are left. So each line is tried with every earlier holder until it is
-    aligned, as if all documents were paired.
+    on; after ROUNDS holders, with all that are left. So each line is tried with every earlier holder of a run
+    around it until it is aligned, as if all documents were paired.
 
     Documents are paired by their forms (see `_members`): those that differ only in lines of their own align in the same
     way and are one form, whose first document stands for all as a holder. All is judged on the documents as given. Only
@@ -170,10 +174,52 @@ def _members(units: DataFrame) -> DataFrame:
     return rows.withColumn("form", F.xxhash64("lines"))
 
 
+def windows(lines: Sequence[int], words: Sequence[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """Places of lines, with hashes of the least runs of neighbouring lines around them that hold ``min_words`` words.
+
+    Any run of neighbouring lines with that many words holds, for each of its lines, one of the runs around it: one
+    that ends with the line, or one that begins at the line or at one of the ``min_words`` lines with words before it.
+    No run reaches across a 0.
+    """
+    total, hashes, powers = [0], [0], [1]
+    for line, count in zip(lines, words):
+        total.append(total[-1] + count)
+        hashes.append((hashes[-1] * _BASE + line) % _PRIME)
+        powers.append(powers[-1] * _BASE % _PRIME)
+    ends = [len(lines)] * len(lines)
+    for at in range(len(lines) - 1, -1, -1):
+        ends[at] = at if lines[at] == 0 else ends[at + 1] if at + 1 < len(lines) else len(lines)
+    found = []
+    before: int | None = None  # the last place before this one that has words
+    earlier: list[int | None] = []
+    for at, line in enumerate(lines):
+        earlier.append(before)
+        if line == 0:
+            before = None
+            continue
+        start: int | None = at
+        while start is not None:
+            stop = max(at + 1, bisect.bisect_left(total, total[start] + min_words))
+            if stop <= ends[at]:
+                found.append((at, (hashes[stop] - hashes[start] * powers[stop - start]) % _PRIME))
+                if stop == at + 1:
+                    break
+            start = earlier[start]
+        before = at if words[at] else before
+    return found
+
+
 def _evidence(forms: DataFrame, min_words: int) -> DataFrame:
     """form, first, last, line, key: what a line shares with the documents that it may be aligned with."""
-    lines = forms.select("form", "first", "last", F.posexplode(F.arrays_zip("lines", "words")).alias("line", "held"))
-    return lines.where(F.col("held.words") >= min_words).select("form", "first", "last", "line", F.col("held.lines").alias("key"))
+
+    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [windows(lines.tolist(), words.tolist(), min_words) for lines, words in zip(frame["lines"], frame["words"])]
+            frame = frame[["form", "first", "last"]].assign(found=found).explode("found").dropna(subset=["found"])
+            yield frame[["form", "first", "last"]].assign(line=frame["found"].str[0], key=frame["found"].str[1])
+
+    kind = forms.schema["first"].dataType.simpleString()
+    return forms.mapInPandas(find, f"form long, first {kind}, last {kind}, line int, key long")
 
 
 def _align(pairs: DataFrame, forms: DataFrame, min_words: int) -> DataFrame:
