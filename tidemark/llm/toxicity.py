@@ -16,7 +16,7 @@ from tidemark.llm.samples import hash_sample
 from tidemark.llm.words import plain_words, utf8
 from tidemark.session import settle
 
-TRAIN_ROWS = 4_000
+TRAIN_ROWS = 8_000
 FOLDS = 3
 VOCABULARY = 20_000
 MIN_DOCS = 5
