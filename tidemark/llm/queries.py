@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontamination import find_leaks
+from tidemark.llm.divergence import source_divergence
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup_report
 from tidemark.llm.lm_scoring import score_texts
@@ -62,6 +63,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_passages(_table(spark, folder, "documents"), window=13)
 
 
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(_table(spark, folder, "documents"), min_docs=10, top_terms=10)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_exact_dedup": op2_exact_dedup,
@@ -73,6 +78,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES = {
@@ -143,4 +149,39 @@ ORACLES = {
         SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        t AS (SELECT doc_id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+        cells AS (
+            SELECT lang, source, term, coalesce(counts.n, 0) AS n
+            FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+        p AS (
+            SELECT lang, source, term, n,
+                   1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER g + 2 * count(*) OVER g) AS p
+            FROM cells WINDOW g AS (PARTITION BY lang, source)),
+        q AS (
+            SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER g + 2 * count(*) OVER g) AS q
+            FROM kept WINDOW g AS (PARTITION BY lang)),
+        sums AS (
+            SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+        terms AS (
+            SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+            FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+            FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 10
+    """,
 }
