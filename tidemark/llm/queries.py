@@ -17,6 +17,7 @@ from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substring_dedup import dedup_passages
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.toxicity import CATEGORIES, toxicity
+from tidemark.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,6 +64,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_passages(_table(spark, folder, "documents"), window=13)
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(_table(spark, folder, "embeddings"), components=32)
+
+
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return source_divergence(_table(spark, folder, "documents"), min_docs=10, top_terms=10)
 
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_whitening": op12_whitening,
     "op13_source_divergence": op13_source_divergence,
 }
 
