@@ -11,6 +11,7 @@ from tidemark.llm.divergence import source_divergence
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup_report
 from tidemark.llm.lm_scoring import score_texts
+from tidemark.llm.minhash import near_duplicates_by_sets
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import find_personal_data
 from tidemark.llm.simhash import near_duplicates
@@ -64,6 +65,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_passages(_table(spark, folder, "documents"), window=13)
 
 
+def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates_by_sets(_table(spark, folder, "documents"), shingle=5, percent=85)
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(_table(spark, folder, "embeddings"), components=32)
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_minhash": op11_minhash,
     "op12_whitening": op12_whitening,
     "op13_source_divergence": op13_source_divergence,
 }
@@ -155,6 +161,24 @@ ORACLES = {
         SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    # Links are found by joining whole sets, and followed to the smallest id that each document reaches.
+    "op11_minhash": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+            FROM documents),
+        places AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS place FROM d WHERE len(words) > 0),
+        s AS (SELECT DISTINCT doc_id, array_to_string(words[place : place + 4], ' ') AS shingle FROM places),
+        sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+        SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, min(b) AS component_id, d.doc_id = min(b) AS kept
+        FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id GROUP BY d.doc_id, sizes.n
+    """,
     "op13_source_divergence": r"""
         WITH d AS (
             SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
