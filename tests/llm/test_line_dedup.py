@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import defaultdict
 
 from tidemark.llm.line_dedup import common_blocks, dedup_lines, line_dedup_report, patience
 
@@ -28,29 +29,36 @@ def test_blocks_need_words():
     assert common_blocks([1, 2, 9, 3], [1, 2, 8, 3], [2, 3, 9, 4]) == [0, 1]
 
 
-def brute(rows, least=5):
-    def lines(t):
-        return (t or "").split("\n")
-
-    units = sorted({(i, t or "") for i, t in rows if i is not None})
-    gone = {u: set() for u in units}
+def repeated(texts, least=5):
+    """Of each (id, text): places of lines in runs of ``least`` words or more that a text with a smaller id holds as well."""
     count = lambda line: len(line.encode().split())
-    for unit in units:
-        mine = lines(unit[1])
-        firsts = set()
-        for line in mine:
-            if count(line) >= least:
-                holders = [u for u in units if line in lines(u[1])]
-                low = min(i for i, _ in holders)
-                if low < unit[0]:
-                    firsts.add(next(u for u in holders if u[0] == low))
-        for first in firsts:
-            gone[unit].update(common_blocks(lines(first[1]), mine, [count(x) for x in mine], least))
+    lines = {unit: unit[1].split("\n") for unit in texts}
+    places = defaultdict(list)
+    for unit, held in lines.items():
+        for at, line in enumerate(held):
+            places[line].append((unit, at))
+    gone = {unit: set() for unit in texts}
+    for unit, held in lines.items():
+        for start, line in enumerate(held):
+            for other, at in places[line]:
+                theirs = lines[other]
+                if other[0] >= unit[0] or start and at and held[start - 1] == theirs[at - 1]:
+                    continue
+                # The longest run that begins here and there.
+                size = next((n for n, (x, y) in enumerate(zip(held[start:], theirs[at:])) if x != y), min(len(held) - start, len(theirs) - at))
+                if sum(map(count, held[start : start + size])) >= least:
+                    gone[unit].update(range(start, start + size))
+    return gone
+
+
+def brute(rows, least=5):
+    gone = repeated(sorted({(i, t or "") for i, t in rows if i is not None}), least)
     out = []
     for i, t in rows:
-        kept = [x for n, x in enumerate(lines(t)) if i is None or n not in gone[i, t or ""]]
-        cut = len(lines(t)) - len(kept)
-        out.append((i, len(lines(t)), cut, "\n".join(kept) if cut else t))
+        lines = (t or "").split("\n")
+        kept = [x for n, x in enumerate(lines) if i is None or n not in gone[i, t or ""]]
+        cut = len(lines) - len(kept)
+        out.append((i, len(lines), cut, "\n".join(kept) if cut else t))
     return out
 
 

@@ -2,7 +2,9 @@ import random
 
 import pytest
 
-from tidemark.llm.line_dedup import common_blocks, dropped_lines
+from tidemark.llm.line_dedup import dropped_lines, shared_lines
+
+from .test_line_dedup import repeated
 
 
 def dropped(spark, rows):
@@ -11,16 +13,8 @@ def dropped(spark, rows):
     return {(r.doc_id, texts[r.version]): sorted(r.dropped) for r in dropped_lines(docs).collect()}
 
 
-def brute(rows, least=5):
-    """What common blocks with any earlier document hold, all pairs of documents being aligned."""
-    gone = {}
-    for i, text in sorted(set(rows)):
-        mine = text.split("\n")
-        words = [len(x.split()) for x in mine]
-        blocks = [common_blocks(other.split("\n"), mine, words, least) for j, other in sorted(set(rows)) if j < i]
-        if any(blocks):
-            gone[i, text] = sorted({n for block in blocks for n in block})
-    return gone
+def brute(rows):
+    return {unit: sorted(places) for unit, places in repeated(sorted(set(rows))).items() if places}
 
 
 L, M = "a line that many documents hold", "another line that many documents hold"
@@ -75,3 +69,16 @@ def test_scripts_without_spaces(spark):
         rows += [(10 * n, f"a{n}\n{line}\nb"), (10 * n + 1, f"c{n}\n{line}\nd")]
     rows += [(50, "x\n你好。\ny"), (51, "z\n你好。\nw"), (52, "x2\nสวัสดี\ny"), (53, "z2\nสวัสดี\nw")]
     assert {i: lines for (i, _), lines in dropped(spark, rows).items()} == {1: [1], 11: [1], 21: [1]}
+
+
+def test_moved_and_repeated_runs():
+    a, b = [1, 2, 3, 9, 4, 5, 2, 3], [4, 5, 0, 2, 3, 0, 1, 2, 3, 0, 2, 7]
+    assert shared_lines(a, b, [5] * 8, [5] * 12, set(range(12)), 10) == [0, 1, 3, 4, 6, 7, 8]
+    assert shared_lines([0, 1, 0], [0, 1, 0], [0, 3, 0], [0, 3, 0], {1}, 5) == []
+
+
+def test_pairs_grow_with_the_documents(spark):
+    # One line in all documents, first held where it is no anchor: each later document is aligned with the first one only.
+    rows = [(0, f"x\n{L}\ny\n{L}\nz")] + [(i, f"own {i}\n{L}\nshort {i % 40}\nend {i}") for i in range(1, 300)]
+    assert {lines for (_, _), lines in ((k, tuple(v)) for k, v in dropped(spark, rows).items())} <= {(1,), (1, 2)}
+    assert dropped(spark, rows) == brute(rows)

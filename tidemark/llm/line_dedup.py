@@ -5,7 +5,6 @@ from __future__ import annotations
 import bisect
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import pandas as pd
 
@@ -17,8 +16,6 @@ from tidemark.operators.joins import reshuffled
 from tidemark.session import settle
 
 MIN_WORDS = 5
-#: Holders of a line that are tried one after the other, before all others at once.
-ROUNDS = 4
 # Scripts without spaces: two letters of Chinese or Japanese, or four of Thai, Lao, Burmese or Khmer, count as a word.
 _TWO = r"\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}"
 _FOUR = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}"
@@ -92,14 +89,37 @@ def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_
     return result
 
 
+def shared_lines(a: Sequence[int], b: Sequence[int], words_a: Sequence[int], words_b: Sequence[int], asked: set[int], min_words: int = MIN_WORDS) -> list[int]:
+    """Places in ``b`` of all runs of neighbouring lines that ``a`` holds as well and that have ``min_words`` words or more.
+
+    A patience diff aligns most of them. Of the ``asked`` places that it leaves, for a run has moved or occurs repeatedly,
+    each is aligned again: a run around it is looked up in ``a``, and grows in both directions while lines are equal. A 0
+    is equal to nothing.
+    """
+    found = set(common_blocks([x or None for x in a], b, words_b, min_words))
+    if asked <= found:
+        return sorted(found)
+    places = {key: start for _, start, _, key in windows(a, words_a, min_words)}
+    for at, start, _, key in windows(b, words_b, min_words):
+        if at in found or key not in places:
+            continue
+        i, j = places[key], start
+        while i and j and b[j - 1] and a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+        while i < len(a) and j < len(b) and b[j] and a[i] == b[j]:
+            found.add(j)
+            i, j = i + 1, j + 1
+    return sorted(found)
+
+
 def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The lines that a document repeats from documents with smaller ids: doc_id, version, dropped (numbers from 0).
 
     Runs of neighbouring lines that together hold ``min_words`` words or more are evidence of an overlap (see `windows`).
-    All holders of such a run are paired with its first holder. Pairs are aligned by a patience diff, and aligned runs of neighbouring lines of ``min_words`` words or
-    more are dropped from the later document. What its first holder did not align is paired with the next holder, and so
-    on; after ROUNDS holders, with all that are left. So each line is tried with every earlier holder of a run
-    around it until it is aligned, as if all documents were paired.
+    All holders of such a run are paired with its first holder, and with no other one: whatever a document shares with any
+    earlier one, the first holder of it has as well. Pairs are aligned (see `shared_lines`), and all lines of runs that the
+    first holder has are dropped from the later document. So a line goes if and only if it is in such a run that some
+    earlier document holds, and pairs grow with the evidence, whatever the size of a group.
 
     Documents are paired by their forms (see `_members`): those that differ only in lines of their own align in the same
     way and are one form, whose first document stands for all as a holder. All is judged on the documents as given. Only
@@ -118,33 +138,11 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.any_value("lines").alias("lines"), F.any_value("words").alias("words")
     )
     forms = settle(forms)
-    holder = F.struct("first", "form")
-    evidence = _evidence(forms, min_words)
-    firsts = evidence.groupBy("key").agg(F.min(holder).alias("earlier"), F.max("last").alias("latest"))
+    evidence = settle(_evidence(forms, min_words))
+    firsts = evidence.groupBy("key").agg(F.min(F.struct("first", "form")).alias("earlier"), F.max("last").alias("latest"))
     firsts = settle(firsts.where("earlier.first < latest").drop("latest"))
-    evidence = settle(evidence.join(reshuffled(firsts), "key"))
-    held = settle(evidence.select("key", holder.alias("holder")).distinct())
-    # Holders from `until` on are of no use: all documents of the form come before them, or after one that aligned the line.
-    asking = evidence.select("form", "line", "key", "earlier", F.col("last").alias("until"))
-    found = []
-    for number in range(ROUNDS + 1):
-        asking = asking.where("earlier.first < until")
-        pairs = asking
-        if number == ROUNDS:
-            pairs = asking.drop("earlier").join(reshuffled(later), "key").where("holder.first < until").withColumnRenamed("holder", "earlier")
-        places = settle(_align(pairs.select("form", "earlier").distinct(), forms, min_words))
-        found.append(places)
-        if number == ROUNDS:
-            break
-        asking = asking.join(reshuffled(places), ["form", "line"], "left").withColumn("until", F.least("until", "reach")).drop("reach")
-        asking = settle(asking.where("earlier.first < until"))
-        if asking.isEmpty():
-            break
-        asked = asking.groupBy("key").agg(F.min("earlier").alias("earlier"))
-        later = settle(held.join(reshuffled(asked), "key").where("holder > earlier").select("key", "holder"))
-        following = later.groupBy("key").agg(F.min("holder").alias("earlier"))
-        asking = settle(asking.drop("earlier").join(reshuffled(following), "key"))
-    reach = reduce(DataFrame.unionByName, found).groupBy("form", "line").agg(F.min("reach").alias("reach"))
+    asking = evidence.join(reshuffled(firsts), "key").where("earlier.first < last")
+    reach = _align(asking.groupBy("form", "earlier").agg(F.collect_set("line").alias("asked")), forms, min_words)
     reach = reach.groupBy("form").agg(F.collect_list(F.struct("line", "reach")).alias("reached"))
     joined = members.select("doc_id", "version", "form", "places").join(reshuffled(reach), "form")
     here = F.filter("reached", lambda x: x["reach"] < F.col("doc_id"))
@@ -181,8 +179,8 @@ def _members(units: DataFrame) -> DataFrame:
     return rows.withColumn("form", F.xxhash64("lines"))
 
 
-def windows(lines: Sequence[int], words: Sequence[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Places of lines, with hashes of the least runs of neighbouring lines around them that hold ``min_words`` words.
+def windows(lines: Sequence[int], words: Sequence[int], min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int]]:
+    """Places of lines, with start, stop and hash of the least runs of neighbouring lines around them with ``min_words`` words.
 
     Any run of neighbouring lines with that many words holds, for each of its lines, one of the runs around it: one
     that ends with the line, or one that begins at the line or at one of the ``min_words`` lines with words before it.
@@ -208,7 +206,7 @@ def windows(lines: Sequence[int], words: Sequence[int], min_words: int = MIN_WOR
         while start is not None:
             stop = max(at + 1, bisect.bisect_left(total, total[start] + min_words))
             if stop <= ends[at]:
-                found.append((at, (hashes[stop] - hashes[start] * powers[stop - start]) % _PRIME))
+                found.append((at, start, stop, (hashes[stop] - hashes[start] * powers[stop - start]) % _PRIME))
                 if stop == at + 1:
                     break
             start = earlier[start]
@@ -221,7 +219,8 @@ def _evidence(forms: DataFrame, min_words: int) -> DataFrame:
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [windows(lines.tolist(), words.tolist(), min_words) for lines, words in zip(frame["lines"], frame["words"])]
+            rows = zip(frame["lines"], frame["words"])
+            found = [sorted({(at, key) for at, _, _, key in windows(lines.tolist(), words.tolist(), min_words)}) for lines, words in rows]
             frame = frame[["form", "first", "last"]].assign(found=found).explode("found").dropna(subset=["found"])
             yield frame[["form", "first", "last"]].assign(line=frame["found"].str[0], key=frame["found"].str[1])
 
@@ -231,17 +230,17 @@ def _evidence(forms: DataFrame, min_words: int) -> DataFrame:
 
 def _align(pairs: DataFrame, forms: DataFrame, min_words: int) -> DataFrame:
     """form, line, reach: the lines that forms repeat from others, and the smallest id of the first documents of these."""
-    first = forms.select(F.struct("first", "form").alias("earlier"), F.col("lines").alias("first_lines"))
+    first = forms.select(F.struct("first", "form").alias("earlier"), F.col("lines").alias("first_lines"), F.col("words").alias("first_words"))
     both = pairs.join(reshuffled(first), "earlier").join(reshuffled(forms.select("form", "lines", "words")), "form")
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = zip(frame["first_lines"], frame["lines"], frame["words"])
-            found = [common_blocks([x or None for x in a.tolist()], b.tolist(), words.tolist(), min_words) for a, b, words in rows]
+            rows = zip(*(frame[name] for name in ("first_lines", "lines", "first_words", "words", "asked")))
+            found = [shared_lines(*(x.tolist() for x in row[:4]), set(row[4].tolist()), min_words) for row in rows]
             yield frame[["form", "reach"]].assign(line=found).explode("line").dropna(subset=["line"])[["form", "line", "reach"]]
 
     kind = forms.schema["first"].dataType.simpleString()
-    both = both.select("form", F.col("earlier.first").alias("reach"), "first_lines", "lines", "words")
+    both = both.select("form", F.col("earlier.first").alias("reach"), "first_lines", "lines", "first_words", "words", "asked")
     return both.mapInPandas(align, f"form long, line int, reach {kind}").groupBy("form", "line").agg(F.min("reach").alias("reach"))
 
 
