@@ -73,11 +73,11 @@ def _version(text_col: str) -> Column:
 
 
 def _entries(sets: DataFrame) -> DataFrame:
-    """value, node, n, own, score: inverted lists of the rarest values of each set, those that several sets hold.
+    """value, node, n, rest, score: inverted lists of the rarest values of each set, those that several sets hold.
 
     ``sets`` has node, n, prefix, values. Two sets that share more than ``held - prefix`` of their values share one of the
     ``prefix`` rarest ones of each, whatever else they hold. So a value that very many hold is only listed where nearly all
-    of a set is that frequent. ``own`` counts values that no other set holds, ``score`` is the frequency of all values.
+    of a set is that frequent. ``rest`` counts the values of a set from this one on, ``score`` is the frequency of all.
     """
     each = sets.select("node", "n", "prefix", F.size("values").alias("held"), F.explode("values").alias("value"))
     counts = each.groupBy("value").agg(F.count("*").alias("count")).where(F.col("count") > 1)
@@ -86,8 +86,9 @@ def _entries(sets: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("count", "value"))).alias("shared"), F.sum("count").alias("score")
     )
     sets = sets.withColumn("own", F.col("held") - F.size("shared")).where("prefix > own")
-    listed = F.explode(F.slice("shared", F.lit(1), F.col("prefix") - F.col("own"))).alias("listed")
-    return settle(sets.select("node", "n", "own", "score", listed).select("listed.value", "node", "n", "own", "score"))
+    listed = F.posexplode(F.slice("shared", F.lit(1), F.col("prefix") - F.col("own"))).alias("place", "listed")
+    sets = sets.select("node", "n", (F.col("held") - F.col("own")).alias("rest"), "score", listed)
+    return settle(sets.select("listed.value", "node", "n", (F.col("rest") - F.col("place")).alias("rest"), "score"))
 
 
 def _with_typical(entries: DataFrame) -> DataFrame:
@@ -97,19 +98,21 @@ def _with_typical(entries: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "typical").alias("a"), F.greatest("node", "typical").alias("b")).distinct()
 
 
-def _between_groups(entries: DataFrame, lists: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """Pairs in the same of the ``lists`` that are in different groups so far, and whose sizes allow a link: a, b.
+def _between_groups(entries: DataFrame, lists: DataFrame, percent: int, size: int | None = None) -> DataFrame:
+    """Pairs in the same of the ``lists`` that are in different groups so far, and whose places there allow a link: a, b.
 
-    Of ``whole`` sets, values that no other set holds are known to be in neither intersection, which leaves few pairs of a
-    long list.
+    The rarest value that two sets share has all other shared ones after it, in either set. So a pair counts only where
+    enough values are left from there on, by which long lists give few pairs. Sets of more than ``size`` are known by
+    their sketches.
     """
-    held = entries.join(reshuffled(lists), "value").select("value", "node", "root", "n", F.col("n").alias("most"))
-    if whole:
-        held = entries.join(reshuffled(lists), "value").select("value", "node", "root", "n", (F.col("n") - F.col("own")).alias("most"))
-    held = settle(held)
+    held = settle(entries.join(reshuffled(lists), "value").select("value", "node", "root", "n", "rest"))
     left, right = (held.select("value", *[F.col(c).alias(f"{side}_{c}") for c in held.columns[1:]]) for side in "ab")
-    pairs = left.join(reshuffled(right), "value").where("a_node < b_node and a_root != b_root")
-    pairs = pairs.where(F.least("a_most", "b_most") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent)
+    least = F.least("a_rest", "b_rest")
+    enough = least * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
+    if size is not None:
+        enough = F.when(F.greatest("a_n", "b_n") <= size, enough).otherwise(least >= least_common(size, percent))
+    fits = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    pairs = left.join(reshuffled(right), "value").where((F.col("a_node") < F.col("b_node")) & (F.col("a_root") != F.col("b_root")) & fits & enough)
     return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
@@ -218,14 +221,15 @@ def near_duplicates_by_sets(
 
     links = confirmed(_with_typical(entries))
     entries, lists = _rooted(entries, links)
-    links = links.unionByName(confirmed(_between_groups(entries, lists.where(F.col("length") <= short_list).select("value"), percent, False)))
+    short = lists.where(F.col("length") <= short_list).select("value")
+    links = links.unionByName(confirmed(_between_groups(entries, short, percent, size)))
     long = lists.where(F.col("length") > short_list).select("value")
     if not long.isEmpty():
         hot = entries.join(reshuffled(long), "value").select("node").distinct()
         entries = _entries(_whole_sets(settle(texts.join(reshuffled(hot), "node")), shingle).withColumn("prefix", whole_prefix.cast("int")))
         links = links.unionByName(confirmed(_with_typical(entries)))
         entries, lists = _rooted(entries, links)
-        links = links.unionByName(confirmed(_between_groups(entries, lists.select("value"), percent, True)))
+        links = links.unionByName(confirmed(_between_groups(entries, lists.select("value"), percent)))
 
     roots = components(links)
     named = settle(classes.join(reshuffled(roots), "node", "left").select("digest", "doc_id", F.coalesce("root", "node").alias("root")))
