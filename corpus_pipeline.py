@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.decontamination import find_leaks, without
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
-from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.simhash import drop_near_duplicates
 from tidemark.llm.toxicity import CATEGORIES, drop_toxic
 from tidemark.session import remove, shared_dir
 
@@ -31,10 +31,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id. Rows without an id stay."""
-    groups = near_duplicates(docs, shingle=3, distance=2)
-    others = groups.where("doc_id != component_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    return drop_near_duplicates(docs, shingle=3, distance=2)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

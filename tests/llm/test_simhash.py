@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 from tidemark.llm.components import components
-from tidemark.llm.simhash import close_pairs, near_duplicates
+from tidemark.llm.simhash import close_pairs, drop_near_duplicates, near_duplicates
 
 
 def brute_print(text, size=3):
@@ -91,3 +91,20 @@ def test_components(spark):
 
 def test_no_rows(empty):
     assert near_duplicates(empty).collect() == []
+
+
+def test_one_row_of_each_group_stays(spark, odd, odd_rows):
+    a, b, c = "a long text of many words", "something else, quite other", "and a third one that differs"
+    rows = [(1, a), (5, a), (5, b), (None, a), (7, c), (7, c), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, version int").repartition(3)
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=repr) == sorted([(1, a), (5, b), (7, c), (None, "")], key=repr)
+    prints = [(i, t, brute_print(t)) for i, t in odd_rows]
+    groups = brute_groups(sorted({p for *_, p in prints}), lambda x, y: (x ^ y).bit_count() <= 2)
+    least = {}
+    for i, t, p in prints:
+        least.setdefault(groups[p], []).append((i is None, i or 0))
+    kept = sorted(((r.doc_id is None, r.doc_id or 0) for r in drop_near_duplicates(odd).collect()))
+    assert kept == sorted(min(ids) for ids in least.values())
+    assert drop_near_duplicates(odd.limit(0)).collect() == []

@@ -77,3 +77,18 @@ def test_packing(odd, odd_rows):
 def test_no_rows(empty):
     assert count_tokens(empty, MODEL).collect() == []
     assert pack(empty, BYTES).collect() == []
+
+
+def test_ids_of_another_tokenizer(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = [*odd_texts(200), "Plain words, with Capitals. And more.", "two\nlines of text"]
+    rows = pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, longest=64, with_ids=True).collect()
+    got = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        got[r.doc_id] += r.ids
+    assert got == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+
+
+def test_only_the_known_way_to_cut_is_taken():
+    assert encoder(BYTES).by_parts and not encoder(public_tokenizers.path("word_bpe_49k.json")).by_parts

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ class _Encoder:
     The tokenizer first cuts texts before a space between two other characters, around a line feed between two other
     characters, and between a letter and the punctuation after it, and encodes the parts one by one. So a text has the
     ids of its parts, and parts that occur again are remembered. Texts with more white space in a row, or with a special
-    token's string, are encoded whole.
+    token's string, are encoded whole. So are all texts by tokenizers that cut texts in another way.
     """
 
     # All that the tokenizer may take for white space, and a little more.
@@ -44,6 +45,10 @@ class _Encoder:
         for token, number in vocabulary.items():
             self.sizes[number] = len(token)
         self.known: dict[str, bytes] = {}
+        parts = json.loads(self.tokenizer.to_str())
+        cut, model = parts["pre_tokenizer"] or {}, parts["model"]
+        plain = parts["normalizer"] is None and model["type"] == "BPE" and not model.get("dropout") and not model.get("unk_token")
+        self.by_parts = plain and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -83,7 +88,7 @@ class _Encoder:
 
     def _parts(self, text: str) -> list[str] | None:
         """Each part but the first of a line keeps the space before it; line feeds are parts of their own."""
-        if "\0" in text or any(token in text for token in self.special) or self._unsure.search(text):
+        if not self.by_parts or "\0" in text or any(token in text for token in self.special) or self._unsure.search(text):
             return None
         return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.decontamination import without
 from tidemark.llm.words import utf8
 from tidemark.operators.joins import reshuffled
 from tidemark.session import settle
@@ -47,15 +48,20 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the fingerprint as a signed long. Null texts count as empty, without words the fingerprint is 0."""
+    """doc_id, version (a hash of the text) and the fingerprint as a signed long.
+
+    Null texts count as empty, without words the fingerprint is 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch["_text"]), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"])
+            columns = [batch["doc_id"], batch["version"], pa.array(prints.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", "fingerprint"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("_text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fingerprint long")
+    version = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), version.alias("version"), utf8(text_col).alias("_text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, version long, fingerprint long")
 
 
 def _signed(mask: int) -> int:
@@ -121,12 +127,42 @@ def near_duplicates(
 
     Columns: doc_id, fingerprint (16 hexadecimal digits), component_id.
     """
+    rows = _grouped(docs, shingle, distance, id_col, text_col)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, shingle: int, distance: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, version, fingerprint, root (a fingerprint that names the group), component_id."""
     rows = settle(fingerprints(docs, shingle, id_col, text_col))
     prints = settle(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")))
     roots = settle(components(close_pairs(prints.select("fingerprint"), distance)))
     named = prints.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     named = settle(named.select("fingerprint", "smallest", F.coalesce("root", "fingerprint").alias("root")))
     groups = named.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    table = settle(named.select("fingerprint", "root").join(reshuffled(groups), "root").select("fingerprint", "component_id"))
-    joined = rows.join(reshuffled(table), "fingerprint")
-    return joined.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    table = settle(named.select("fingerprint", "root").join(reshuffled(groups), "root").select("fingerprint", "root", "component_id"))
+    return rows.join(reshuffled(table), "fingerprint").select("doc_id", "version", "fingerprint", "root", "component_id")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each group of near-duplicates, with all columns: that with the smallest id, null ids being the largest.
+
+    Of several texts with that id, the one with the smallest hash stays; of rows that repeat the id and the text, any one.
+    """
+    rows = settle(_grouped(docs, shingle, distance, id_col, text_col).select("doc_id", "version", "root"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")
+    best = settle(rows.groupBy("root").agg(F.min(place).alias("best"), F.count("*").alias("rows")))
+    # Rows of a group of one are left alone.
+    others = rows.join(reshuffled(best.where("rows > 1")), "root").select("doc_id", "version", (place == F.col("best")).alias("first"))
+    others = settle(others.groupBy("doc_id", "version").agg(F.bool_or("first").alias("first"), F.count_if("first").alias("rows")))
+    kept = without(docs, others.where("not first or rows > 1"), id_col, text_col)
+    again = others.where("first and rows > 1")
+    if again.isEmpty():
+        return kept
+    version = F.xxhash64(F.coalesce(F.col(f"docs.`{text_col}`"), F.lit("")))
+    same = F.col(f"docs.`{id_col}`").eqNullSafe(F.col("again.doc_id")) & (version == F.col("again.version"))
+    once = docs.alias("docs").join(reshuffled(again).alias("again"), same, "left_semi")
+    row = F.struct(*[F.col(f"docs.`{c}`") for c in docs.columns]).alias("row")
+    once = once.select(row, F.col(f"docs.`{id_col}`").alias("id"), version.alias("version")).dropDuplicates(["id", "version"])
+    return kept.unionByName(once.select("row.*"))
