@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import extjson
 from tidemark.operators import documents
 
+from plain_json import plain_text
+
 # One field per type of the source database, in canonical form.
 FIELDS = {
     "f_bool": True,
@@ -210,8 +212,8 @@ def test_simple_wrappers_are_replaced_as_text(spark):
     docs = spark.createDataFrame([(v,) for v in values + odd], "v string")
     found = [r[0] for r in docs.select(extjson.native_texts(F.col("v"))).collect()]
     assert found == ['"ab"', '"a\\"}b"', "-5", "0", "2.25", values[5], *odd]
-    # The same value as by the way through Python, for every one of them.
-    assert [json.loads(f) for f in found[:6]] == [json.loads(extjson.plain_text(v)) for v in values]
+    # The same value as when read, for every one of them.
+    assert [json.loads(f) for f in found[:6]] == [json.loads(plain_text(v)) for v in values]
 
 
 def test_schemaless_discovery_takes_the_most_frequent_id_type(spark, rows):
@@ -219,3 +221,49 @@ def test_schemaless_discovery_takes_the_most_frequent_id_type(spark, rows):
     docs = spark.createDataFrame([(t,) for t in texts], "document string")
     assert rows(documents.discover_packed(docs, "document")) == [("_id", "string")]
     assert rows(documents.discover_packed(docs.limit(0), "document")) == []
+
+
+ODD = [
+    {"$date": "2020-02-29"}, {"$date": "2020-02-29T23:59:59"}, {"$date": "2020-02-29T23:59:59.123456+05:30"}, {"$date": -1}, {"$date": None},
+    {"$date": {"$numberLong": "253402300800000"}}, {"$date": "never"}, {"$timestamp": {"t": 1, "i": 2}}, {"$timestamp": {"t": 1}},
+    {"$binary": {"subType": "04", "base64": "AQID"}}, {"$binary": "AQID", "$type": "00"}, {"$binary": {}}, {"$uuid": "00112233-4455-6677-8899-aabbccddeeff"},
+    {"$uuid": "xyz"}, {"$regularExpression": {"options": "im", "pattern": 'a{2}"\\'}}, {"$regex": "^{x}$", "$options": ""}, {"$options": "x", "$regex": "b"},
+    {"$regularExpression": {"options": "i"}}, {"$code": 'f = "{\\"a\\": 1}";\n' * 50}, {"$code": "g", "$scope": {"a": [{"$oid": "x"}], "b": {"c": {"$minKey": 1}}}},
+    {"$minKey": 1}, {"$maxKey": 1}, {"$undefined": True}, {"$dbPointer": {"$ref": "a.b", "$id": {"$oid": "ff"}}}, {"$symbol": 'q"\\'}, {"$oid": "aa"},
+    {"$numberInt": "+7"}, {"$numberLong": "007"}, {"$numberLong": "x"}, {"$numberDouble": "NaN"}, {"$numberDouble": "-Infinity"}, {"$numberDouble": "1e400"},
+    {"$numberDouble": "12345678.9"}, {"$numberDouble": "0.00012"}, {"$numberDouble": "-0.0"}, {"$numberDecimal": "2.50"}, {"$numberDecimal": "1234567890.12345678901234"},
+    {"$numberDouble": "5"}, {"$numberDouble": "soon"}, "$date", '{"$date":5}', "\\", '"', ",", ":", "a{", None, True, 1.5, [], {}, "Ünïcode\u0001\u2028",
+]
+
+
+def test_every_wrapper_against_reading(spark):
+    import random
+
+    rng = random.Random(1)
+
+    def value(depth):
+        if depth and rng.random() < 0.4:
+            return [value(depth - 1) for _ in range(rng.randint(0, 4))]
+        if depth and rng.random() < 0.5:
+            return {rng.choice(["a", "b", 'q"', "c,", ":", "$x", "\\", "d{"]): value(depth - 1) for _ in range(rng.randint(0, 4))}
+        return rng.choice(ODD)
+
+    texts = [json.dumps(x, **how) for x in ODD for how in ({}, {"separators": (",", ":"), "ensure_ascii": False}, {"indent": 1})]
+    texts += [json.dumps(value(4), indent=rng.choice([None, 2])) for _ in range(1500)]
+    docs = spark.createDataFrame([(n, t, u) for n, t in enumerate(texts) for u in ("raw", "seconds")], "n int, v string, unit string")
+    text = F.when(F.col("unit") == "raw", extjson.plain_texts(F.col("v"))).otherwise(extjson.plain_texts(F.col("v"), "seconds"))
+    for n, unit, found in docs.select("n", "unit", text).collect():
+        assert json.loads(found) == json.loads(plain_text(texts[n], unit)), texts[n]
+
+
+def test_long_strings_and_many_escapes(spark):
+    long = {"a": {"$code": 'x = "\\n";\n' * 20000}, "b": ['"' * 50000, {"$date": 5}], "c": [{"$date": n} for n in range(3000)]}
+    docs = spark.createDataFrame([(json.dumps(long),)], "v string")
+    found = docs.select(extjson.plain_texts(F.col("v"))).first()[0]
+    assert json.loads(found) == json.loads(plain_text(json.dumps(long)))
+
+
+def test_no_python_runs(docs):
+    for df in (documents.normalize(docs, "document", dict.fromkeys(FIELDS, "string")), documents.pack(docs, "document")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan

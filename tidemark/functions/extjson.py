@@ -1,24 +1,18 @@
 """Extended JSON held in variants: type names, plain values and text forms.
 
 A document field is either a plain JSON value or a one-entry wrapper such as ``{"$oid": "…"}``. Top-level
-fields are read with native variant functions. Only objects and arrays that hold wrappers inside are
-rewritten in Python, in Arrow batches.
+fields are read with variant functions. Objects and arrays that hold wrappers inside are rewritten as text.
 """
 
 from __future__ import annotations
 
-import base64
-import datetime as dt
 import functools
-import json
 import operator
-from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import CYCLE_MS, document_time, iso_millis
+from tidemark.functions.values import document_time, iso_millis
 
 # Wrapper key -> type name of the value, as the source database names it.
 WRAPPERS = {
@@ -191,101 +185,122 @@ def has_form(text: Column) -> Column:
     return ~functools.reduce(operator.or_, (text.startswith(f'{{"${key}"') for key in DROPPED_KEYS))
 
 
-# Wrappers whose plain value stands in them as it is. A quote can't stand bare inside a JSON string, so none of these
-# is ever found inside of one. Decimal numbers only where the text is the shortest one of its value.
+# Marks that JSON texts hold nowhere: around wrappers, for a value that is left out, for a backslash or a quote in a string.
+_EDGE, _GONE, _SLASH, _QUOTE = "\x01", "\x02", "\x03", "\x04"
+
+# With these marks, a string is what stands between two quotes. Nothing here makes the matcher recurse over long texts.
+_STRING = '"[^"]*+"'
+_FLAT = rf'[^"{{}}]*+(?:{_STRING}[^"{{}}]*+)*+'
+
+# Wrappers whose plain value stands in them as it is. Decimal numbers only where the text is the shortest one of its value.
 _LEAVES = (
-    r'\{\s*"\$(?:oid|symbol)"\s*:\s*("(?:[^"\\]|\\.)*")\s*\}',
-    r'\{\s*"\$number(?:Int|Long)"\s*:\s*"(-?(?:0|[1-9][0-9]*))"\s*\}',
-    r'\{\s*"\$number(?:Double|Decimal)"\s*:\s*"(-?(?:0|[1-9][0-9]{0,9})\.[0-9]{0,2}[1-9])"\s*\}',
+    rf'\{{\s*+"\$(?:oid|symbol)"\s*+:\s*+({_STRING})\s*+\}}',
+    r'\{\s*+"\$number(?:Int|Long)"\s*+:\s*+"(-?(?:0|[1-9][0-9]*))"\s*+\}',
+    r'\{\s*+"\$number(?:Double|Decimal)"\s*+:\s*+"(-?(?:0|[1-9][0-9]{0,9})\.[0-9]{0,2}[1-9])"\s*+\}',
 )
 
+# A wrapper with at most one object inside, as all have once the leaves are replaced.
+_KEY = "|".join([*WRAPPERS, "scope", "options"])
+_WRAPPER = rf'\{{\s*+"\$(?:{_KEY})"\s*+:{_FLAT}(?:\{{{_FLAT}\}}{_FLAT})?+\}}'
+_SCOPED = rf'\{{\s*+"\$code"\s*+:\s*+({_STRING})\s*+,\s*+"\$scope"\s*+:'
+
 
 def has_wrappers(texts: Column) -> Column:
-    return F.coalesce(texts.contains('{"$'), F.lit(False))
+    """Whether a JSON text may hold wrappers."""
+    return F.coalesce(texts.contains('"$'), F.lit(False))
+
+
+def _hidden(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("\\\\"), F.lit(_SLASH)), F.lit('\\"'), F.lit(_QUOTE))
+
+
+def _shown(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_QUOTE), F.lit('\\"')), F.lit(_SLASH), F.lit("\\\\"))
 
 
 def native_texts(texts: Column) -> Column:
-    """JSON texts with the wrappers of ids, symbols and most numbers replaced by their plain values, without Python."""
-    return functools.reduce(lambda text, leaf: F.regexp_replace(text, leaf, "$1"), _LEAVES, texts)
+    """JSON texts with the wrappers of ids, symbols and most numbers replaced by their plain values."""
+    return _shown(functools.reduce(lambda text, leaf: F.regexp_replace(text, leaf, "$1"), _LEAVES, _hidden(texts)))
 
 
 def plain_texts(texts: Column, time_unit: str = "raw") -> Column:
-    """JSON texts with every wrapper inside replaced by its plain value; null stays null."""
-
-    @F.pandas_udf("string")
-    def plain(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda text: plain_text(text, time_unit), na_action="ignore")
-
-    return plain(texts)
-
-
-class _Dropped:
-    """Marks a value that has no output form: left out of objects, null in arrays."""
-
-
-def plain_text(text: str, time_unit: str = "raw") -> str:
-    # The hook sees inner objects before outer ones. Text after the value is ignored, as when Spark parses it.
-    decoder = json.JSONDecoder(object_hook=lambda fields: _readable(fields, time_unit))
-    value, _ = decoder.raw_decode(text.lstrip())
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), default=lambda _: None)
-
-
-def _readable(fields: dict[str, Any], unit: str) -> Any:
-    """The plain value; null for a wrapper whose content can't be read, so that one bad value doesn't fail the job."""
-    try:
-        return _plain(fields, unit)
-    except (ArithmeticError, AttributeError, KeyError, TypeError, ValueError):
-        return None
-
-
-def _plain(fields: dict[str, Any], unit: str) -> Any:
-    tag = next((key[1:] for key in fields if key[:1] == "$"), None)
-    if tag is None or not (tag in WRAPPERS or tag in ("scope", "options")):
-        if _Dropped in fields.values():
-            return {name: value for name, value in fields.items() if value is not _Dropped}
-        return fields
-    inner = fields.get("$" + tag)
-    match tag:
-        case "numberInt" | "numberLong":
-            return int(inner)
-        case "numberDouble" | "numberDecimal":
-            number = float(inner)
-            return number if number - number == 0 else str(inner)
-        case "date":
-            return _iso(_date_ms(inner))
-        case "timestamp":
-            return _iso(inner["t"] * 1000 if unit == "seconds" else (inner["t"] << 32) + inner["i"])
-        case "binary":
-            return inner["base64"] if isinstance(inner, dict) else inner
-        case "uuid":
-            return base64.b64encode(bytes.fromhex(inner.replace("-", ""))).decode()
-        case "regularExpression":
-            return _pattern(inner["pattern"], inner.get("options", ""))
-        case "regex" | "options":
-            return _pattern(fields["$regex"], fields.get("$options", ""))
-        case "code" | "scope":
-            if "$scope" not in fields:
-                return inner
-            return {"code": fields["$code"], "scope": fields["$scope"]}
-        case _:
-            return _Dropped if WRAPPERS[tag] in DROPPED else inner
-
-
-def _pattern(pattern: str, options: str) -> str:
-    return f"({options}){pattern}" if options.strip() else pattern
-
-
-def _date_ms(value: int | str) -> int:
-    if isinstance(value, int):
-        return value
-    moment = dt.datetime.fromisoformat(value)
-    moment = moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
-    return (moment - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(milliseconds=1)
-
-
-def _iso(ms: int) -> str:
-    # Years repeat in cycles of 400, so that times past the year 9999 can be shown too.
-    cycles, rest = divmod(ms, CYCLE_MS)
-    moment = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=rest)
-    year = moment.year + 400 * cycles
-    return (f"+{year}" if year > 9999 else f"{year:04d}") + moment.isoformat(timespec="milliseconds")[4:] + "Z"
+    """JSON texts with every wrapper inside replaced by its plain value; null stays null.
+
+    The text is cut at its wrappers; each of these is read as a variant and written as its plain value, and the pieces are
+    joined again. A value that can't be read becomes null, a value without an output form is left out of objects and is
+    null in arrays.
+    """
+    text = functools.reduce(lambda text, leaf: F.regexp_replace(text, leaf, "$1"), _LEAVES, _hidden(texts))
+    text = F.regexp_replace(text, _SCOPED, '{"code":$1,"scope":')
+    pieces = F.split(F.regexp_replace(text, _WRAPPER, f"{_EDGE}$0{_EDGE}"), _EDGE)
+
+    def read(piece: Column, place: Column) -> Column:
+        value = F.when(place % 2 == 1, F.try_parse_json(_shown(piece)))
+        key = F.regexp_extract(piece, r'^\{\s*+"\$(\w+)', 1)
+        return F.struct(piece.alias("text"), value.alias("value"), key.alias("key"))
+
+    def written(piece: Column) -> Column:
+        return F.when(piece["value"].isNull(), piece["text"]).otherwise(_plain(piece["key"], piece["value"], time_unit))
+
+    text = F.array_join(F.transform(F.transform(pieces, read), written), "")
+    # Members whose value is left out, those after another member and those that stand first.
+    rest = F.regexp_replace(text, rf',\s*+"[^"{_GONE}]*+"\s*+:\s*+{_GONE}', "")
+    rest = F.regexp_replace(rest, rf'"[^"{_GONE}]*+"\s*+:\s*+{_GONE}\s*+,?+', "")
+    rest = F.replace(rest, F.lit(_GONE), F.lit("null"))
+    return _shown(F.when(text.contains(_GONE), rest).otherwise(text))
+
+
+def _quoted(text: Column) -> Column:
+    """A text as JSON, null as well."""
+    listed = F.to_json(F.array(text), {"ignoreNullFields": "false"})
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
+def _plain(key: Column, value: Column, time_unit: str) -> Column:
+    """The JSON text of what a wrapper stands for, with hidden backslashes and quotes."""
+
+    def raw(name: str) -> Column:
+        return F.to_json(get(value, f"$.${name}", "variant"))
+
+    number = F.coalesce(get(value, "$.$numberInt"), get(value, "$.$numberLong"))
+    whole = F.when(number.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(number).try_cast("decimal(38,0)").cast("string"))
+    time = get(value, "$.$timestamp.t", "bigint"), get(value, "$.$timestamp.i", "bigint")
+    uuid = F.replace(get(value, "$.$uuid"), F.lit("-"), F.lit(""))
+    binary = F.coalesce(get(value, "$.$binary.base64"), F.when(F.schema_of_variant(get(value, "$.$binary", "variant")) == "STRING", get(value, "$.$binary")))
+    pattern = F.coalesce(get(value, "$.$regularExpression.pattern"), get(value, "$.$regex"))
+    options = F.coalesce(get(value, "$.$regularExpression.options"), get(value, "$.$options"), F.lit(""))
+    scoped = F.concat(F.lit('{"code":'), raw("code"), F.lit(',"scope":'), raw("scope"), F.lit("}"))
+    text = (
+        F.when(key == "date", _quoted(iso_millis(_nested_ms(value))))
+        .when(key == "timestamp", _quoted(iso_millis(document_time(*time, time_unit))))
+        .when(key.isin("numberInt", "numberLong"), whole)
+        .when(key.isin("numberDouble", "numberDecimal"), _decimal(F.coalesce(get(value, "$.$numberDouble"), get(value, "$.$numberDecimal"))))
+        .when(key == "binary", _quoted(binary))
+        .when(key == "uuid", _quoted(F.when(uuid.rlike("^([0-9a-fA-F]{2})*$"), F.base64(F.unhex(uuid)))))
+        .when(
+            key.isin("regularExpression", "regex", "options"),
+            _quoted(F.when(F.trim(options) != "", F.concat(F.lit("("), options, F.lit(")"), pattern)).otherwise(pattern)),
+        )
+        .when(key.isin("code", "scope"), F.coalesce(scoped, raw("code")))
+        .when(key.isin(*DROPPED_KEYS), F.lit(_GONE))
+        .otherwise(F.coalesce(raw("oid"), raw("symbol")))
+    )
+    return F.coalesce(_hidden(text), F.lit("null"))
+
+
+def _nested_ms(value: Column) -> Column:
+    """Milliseconds of a date inside a value: a number, or ISO text of the years to 9999, in UTC unless it names a zone."""
+    text = get(value, "$.$date")
+    zoned = text.rlike(r"T.*(Z|[+-][0-9:]+)$")
+    rest = F.when(zoned, F.lit("")).when(text.contains("T") | text.contains(" "), F.lit("Z")).otherwise(F.lit("T00:00:00Z"))
+    iso = F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.concat(text, rest).try_cast("timestamp"))
+    return F.coalesce(get(value, "$.$date", "bigint"), F.unix_millis(iso))
+
+
+def _decimal(text: Column) -> Column:
+    """A number as JSON: the shortest digits of its double; what is no finite number stays text."""
+    number = text.try_cast("double")
+    digits = F.regexp_replace(number.cast("decimal(38,21)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    near = (number == 0) | F.abs(number).between(1e-4, 1e16)
+    odd = F.isnan(number) | (F.abs(number) == float("inf"))
+    return F.when(number.isNull(), F.lit("null")).when(odd, _quoted(text)).when(near, digits).otherwise(number.cast("string"))

@@ -99,7 +99,7 @@ def normalize(
     ``fields`` maps names to string, number, integer, boolean, object or array (or a Spark numeric type). Objects
     and arrays become variants with everything inside kept; a value that is no array becomes the only element
     of a declared array. A name with the text suffix asks for that field as text. ``rewrite=False`` leaves nested
-    values as they are, for documents that are known to hold no wrappers inside; no Python runs then.
+    values as they are, for documents that are known to hold no wrappers inside.
     """
     names = [name.removesuffix(TEXT_SUFFIX) for name in fields]
     declared = list(fields.values())
@@ -144,8 +144,8 @@ def normalize(
 def _rewritten(rows: DataFrame, plain: dict[int, Column], time_unit: str) -> tuple[DataFrame, dict[int, Column]]:
     """Replaces values that may hold wrappers by their wrapper-free form.
 
-    Ids, symbols and numbers are replaced as text. What still holds wrappers then goes to Python, one text per row, an
-    array of these values; rows without any travel as null.
+    Ids, symbols and numbers are replaced first. What still holds wrappers then is rewritten as one text per row, an array
+    of these values; rows without any have null there.
     """
     order = list(plain)
     found = {i: extjson.has_wrappers(F.col(f"_j{i}")) for i in order}
@@ -164,7 +164,7 @@ def _rewritten(rows: DataFrame, plain: dict[int, Column], time_unit: str) -> tup
 def pack(df: DataFrame, document: str, keep: Sequence[str] = (), time_unit: str = "raw") -> DataFrame:
     """Schemaless form: ``_id`` as text and the whole document, with plain values, as one variant.
 
-    Only documents with wrappers of the rarer types pass through Python.
+    Only documents with wrappers of the rarer types are cut at their wrappers.
     """
     text = F.when(extjson.has_wrappers(F.col(document)), extjson.native_texts(F.col(document))).otherwise(F.col(document))
     rows = df.select(*keep, text.alias("_n"))
