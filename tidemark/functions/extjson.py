@@ -288,6 +288,20 @@ def _plain(key: Column, value: Column, time_unit: str) -> Column:
     return F.coalesce(_hidden(text), F.lit("null"))
 
 
+def member(name: Column, value: Column, declared: Column) -> Column:
+    """A member of an object as JSON text, its plain value read as the declared type."""
+    nested = F.to_json(value)
+    text = (
+        F.when(declared == "string", _quoted(get(value, "$")))
+        .when(declared == "number", F.to_json(get(value, "$", "double").cast("variant")))
+        .when(declared == "integer", get(value, "$", "bigint").cast("string"))
+        .when(declared == "boolean", get(value, "$", "boolean").cast("string"))
+        .when((declared == "array") & ~nested.startswith("["), F.concat(F.lit("["), nested, F.lit("]")))
+        .otherwise(nested)
+    )
+    return F.concat(_quoted(name), F.lit(":"), F.coalesce(text, F.lit("null")))
+
+
 def _nested_ms(value: Column) -> Column:
     """Milliseconds of a date inside a value: a number, or ISO text of the years to 9999, in UTC unless it names a zone."""
     text = get(value, "$.$date")

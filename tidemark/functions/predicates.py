@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+TIMES = (dt.date, dt.datetime, dt.time)
 
 
 def plain(value: Any) -> str:
     """A value as the text that casts back to it; times carry their zone if they have one."""
-    return value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
+    return value.isoformat() if isinstance(value, TIMES) else str(value)
 
 
 def literal(value: Any, data_type: T.DataType) -> Column:
@@ -29,7 +30,7 @@ def literal(value: Any, data_type: T.DataType) -> Column:
     """
     if isinstance(value, str) and isinstance(data_type, T.BinaryType):
         return F.unbase64(F.lit(value))
-    if isinstance(value, (dt.date, dt.datetime)):
+    if isinstance(value, TIMES):
         value = value.isoformat()
     return F.lit(value).cast(data_type)
 
@@ -83,7 +84,7 @@ def sql_literal(value: Any) -> str:
         return str(value)
     if isinstance(value, (bytes, bytearray)):
         return "0x" + bytes(value).hex()
-    if isinstance(value, (dt.date, dt.datetime)):
+    if isinstance(value, TIMES):
         value = value.isoformat()
     return "'" + str(value).replace("'", "''") + "'"
 
@@ -106,8 +107,12 @@ def sql_range(keys: Sequence[str], lower: Sequence[Any] | None, upper: Sequence[
     return " AND ".join(parts) or "1 = 1"
 
 
-def cutoff(df: DataFrame, cursor: str, now: dt.datetime) -> dt.date | dt.datetime | None:
-    """Start of the UTC day of ``now`` when the cursor is a date or a time, else None."""
+def cutoff(df: DataFrame, cursor: str, now: dt.datetime, logical_type: str | None = None) -> dt.date | dt.datetime | dt.time | str | None:
+    """Start of the UTC day of ``now`` when the cursor is a date or a time, else None.
+
+    Of a time of the day that is midnight, which no time lies before. Such a column is text, ``HH:mm:ss`` with a fraction or
+    without, where the session has no type for it; ``logical_type="time"`` tells it from other text.
+    """
     if now.tzinfo is not None:
         now = now.astimezone(dt.timezone.utc).replace(tzinfo=None)
     data_type = df.schema[cursor].dataType
@@ -117,9 +122,11 @@ def cutoff(df: DataFrame, cursor: str, now: dt.datetime) -> dt.date | dt.datetim
         return dt.datetime.combine(now.date(), dt.time())
     if isinstance(data_type, T.TimestampType):
         return dt.datetime.combine(now.date(), dt.time(), dt.timezone.utc)
-    return None
+    if isinstance(data_type, T.TimeType):
+        return dt.time()
+    return "00:00:00" if logical_type == "time" else None
 
 
-def before(df: DataFrame, cursor: str, limit: dt.date | dt.datetime | None) -> Column:
+def before(df: DataFrame, cursor: str, limit: dt.date | dt.datetime | dt.time | str | None) -> Column:
     """Rows below the cutoff; no cutoff keeps all rows, also those without a cursor."""
     return F.lit(True) if limit is None else F.col(cursor) < bound(df, cursor, limit)

@@ -66,6 +66,10 @@ def stored_bound(text: Column, logical_type: str) -> Column:
         form = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
         parsed = F.when(text.rlike(form), text.try_cast("timestamp_ntz"))
         return F.coalesce(_micros(parsed), text)
+    if logical_type == "time":
+        form = r"^\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
+        parsed = F.when(text.rlike(form), F.concat(F.lit("1970-01-01T"), text).try_cast("timestamp_ntz"))
+        return F.when(text == "", F.lit(None)).otherwise(F.coalesce(F.substring(_micros(parsed), 12, 15), text))
     if logical_type == "timestamptz":
         joined = F.regexp_replace(F.trim(text), r"\s+(?=[+\-]|Z)", "")
         form = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{0,9})?([+\-]\d{2}:\d{2}|Z)?$"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import extjson
 from tidemark.functions.predicates import key_after
 from tidemark.functions.values import event_position, iso_instant
-from tidemark.names import CURSOR, CURSOR_STRIDE, DELETED_AT, DOCUMENT_ID, UPDATED_AT
+from tidemark.names import CURSOR, CURSOR_STRIDE, DELETED_AT, DOCUMENT_ID, PACKED, UPDATED_AT
 from tidemark.operators.documents import normalize, pack
 from tidemark.operators.joins import lookup
 from tidemark.operators.ranges import with_dense_number
@@ -116,6 +116,38 @@ def events_to_rows(
     return rows.withColumn(DELETED_AT, F.when(F.col("_gone"), F.col(UPDATED_AT))).drop("_gone", "_ms")
 
 
+def events_by_stream(events: DataFrame, fields: DataFrame, keep: Sequence[str] = (), time_unit: str = "raw") -> DataFrame:
+    """Records of the events of all streams in one plan, each with the fields that its own stream declares.
+
+    ``fields`` has a row for each declared field: namespace, stream, field, type. The fields of a stream travel as a map
+    that is joined to its events, so one write partitioned by namespace and stream serves any number of streams. Types are
+    those of :func:`documents.normalize`; a declared field that a document lacks is left out. A stream without declared
+    fields gives empty records.
+
+    Columns: the kept ones, namespace, stream, position, data (a variant), and the update and delete times.
+    """
+    named = fields.select("namespace", "stream", F.struct("field", F.lower("type").alias("type")).alias("_field"))
+    declared = named.groupBy("namespace", "stream").agg(F.map_from_entries(F.collect_set("_field")).alias("_declared"))
+    stamped = with_position(_images(events))
+    stamped = stamped.withColumns({"namespace": F.col("source.db"), "stream": F.col("source.collection")})
+    carried = list(dict.fromkeys([*keep, "namespace", "stream", "position", "_gone"]))
+    rows = lookup(stamped.select(*carried, F.col("source.ts_ms").alias("_ms"), "_image"), declared, ["namespace", "stream"], "left")
+    image = F.when(F.col("_declared").isNotNull(), F.col("_image"))
+    text = F.when(extjson.has_wrappers(image), extjson.plain_texts(image, time_unit)).otherwise(image)
+    members = F.map_entries(F.from_json(text, "map<string, variant>", {"mode": "FAILFAST"}))
+    rows = rows.withColumn("_members", members)
+    shown = F.filter("_members", lambda m: F.map_contains_key("_declared", m["key"]))
+    parts = F.transform(shown, lambda m: extjson.member(m["key"], m["value"], F.element_at("_declared", m["key"])))
+    record = F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+    updated = iso_instant(F.col("_ms"))
+    return rows.select(
+        *[c for c in carried if c != "_gone"],
+        F.parse_json(F.coalesce(record, F.lit("{}"))).alias(PACKED),
+        updated.alias(UPDATED_AT),
+        F.when(F.col("_gone"), updated).alias(DELETED_AT),
+    )
+
+
 def document_rows(documents: DataFrame, fields: Mapping[str, str] | None, time_unit: str = "raw") -> DataFrame:
     """Rows of a collection snapshot, typed or packed like the rows of its change events."""
     if fields is None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.predicates import before, bound, key_range
 from tidemark.names import DELETED_AT
-from tidemark.operators.joins import fits_broadcast, keep_keys, lookup
+from tidemark.operators.joins import fits_broadcast, keep_keys, lookup, may_hold
 from tidemark.operators.ranges import max_key
 from tidemark.operators.snapshot import Read, next_cursor
 from tidemark.session import settle
@@ -36,10 +36,8 @@ def cursor_increment(
     state = {"cursor_field": [cursor], "cursor": next_cursor(cutoff, upper, stored)}
     low = None if stored is None else (stored,)
     high = None if upper is None else (upper,)
-    if upper is None or stored == upper:
-        return Read(df.select(*fields).where(F.lit(False)), state)
-    rows = df.where(key_range(df, [cursor], low, high) & before(df, cursor, cutoff))
-    return Read(rows.select(*dict.fromkeys([*fields, cursor])), state)
+    new = F.lit(False) if upper is None or stored == upper else key_range(df, [cursor], low, high) & before(df, cursor, cutoff)
+    return Read(df.where(new).select(*dict.fromkeys([*fields, cursor])), state)
 
 
 # Rank of an operation among changes of one key and one version, and back.
@@ -100,14 +98,15 @@ def change_increment(
 
     Values come from the current table, not from the version of the change; a key that is gone keeps only its
     key columns. ``next_version`` is the version captured before the read, and becomes the new state.
-    The current table is first reduced to the changed keys: when these are few, it is not shuffled at all.
+    The current table is first reduced to the changed keys: when these are few, it is not shuffled at all, else only the
+    rows that pass a filter of the keys.
     """
     net = settle(net_changes(changes, keys, since, version=version, operation=operation))
     few = fits_broadcast(net.select(*keys)) if few_changes is None else few_changes
     columns = list(dict.fromkeys([*keys, *fields]))
     known = current.select(*columns)
-    if few:
-        known = keep_keys(known, net, keys, small=True)
+    # Many keys cut it down by a filter, before the join shuffles it.
+    known = keep_keys(known, net, keys, small=True) if few else may_hold(known, net, keys)
     deleted: Column = F.when(F.col(operation) == "D", F.lit(deleted_text(now)))
     # The join on column names yields the change's key, which the current row's key equals where it exists.
     rows = net.join(known, list(keys), "left").select(*fields, deleted.alias(DELETED_AT), version)

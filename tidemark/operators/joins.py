@@ -29,21 +29,39 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
     return seen["n"] <= rows and (seen["bytes"] or 0) <= size
 
 
+#: Bits of a filter of keys: one broadcast row for each 64 of them at most.
+FILTER_BITS = 1 << 26
+
+
+def may_hold(big: DataFrame, keys_df: DataFrame, on: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``big`` whose key may be in ``keys_df``: all that are, and of the others one in ``bits`` for each key.
+
+    A filter of the keys is built by an aggregate and broadcast. It has at most ``bits`` / 64 rows, however many keys there
+    are, so ``big`` is cut down in place, before a join that shuffles it. With more keys than bits it keeps nearly all rows.
+    """
+    keys = keys_df.select(*[F.col(k).try_cast(big.schema[k].dataType).alias(k) for k in on])
+    place = F.pmod(F.xxhash64(*on), F.lit(bits))
+    word, bit = F.shiftright(place, 6).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int")).alias("_bit")
+    words = keys.select(word, bit).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    marked = big.select("*", word, bit).join(F.broadcast(words), "_word").where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0)
+    return marked.select(*big.columns)
+
+
 def keep_keys(big: DataFrame, keys_df: DataFrame, on: Sequence[str], small: bool | None = None) -> DataFrame:
-    """Rows of ``big`` whose key is in ``keys_df``; ``big`` is not shuffled when the keys are few."""
-    return _by_keys(big, keys_df, on, "left_semi", small)
+    """Rows of ``big`` whose key is in ``keys_df``; when the keys are few, ``big`` is not shuffled, else little more of it
+    than these rows."""
+    keys = keys_df.select(*on)
+    if fits_broadcast(keys) if small is None else small:
+        return big.join(F.broadcast(keys), list(on), "left_semi")
+    return may_hold(big, keys, on).join(keys, list(on), "left_semi")
 
 
 def drop_keys(big: DataFrame, keys_df: DataFrame, on: Sequence[str], small: bool | None = None) -> DataFrame:
     """Rows of ``big`` whose key is not in ``keys_df``."""
-    return _by_keys(big, keys_df, on, "left_anti", small)
-
-
-def _by_keys(big: DataFrame, keys_df: DataFrame, on: Sequence[str], how: str, small: bool | None) -> DataFrame:
     keys = keys_df.select(*on)
     if fits_broadcast(keys) if small is None else small:
-        return big.join(F.broadcast(keys), list(on), how)
-    return big.join(keys, list(on), how)
+        return big.join(F.broadcast(keys), list(on), "left_anti")
+    return big.join(keys, list(on), "left_anti")
 
 
 def reshuffled(df: DataFrame) -> DataFrame:

@@ -41,7 +41,13 @@ def apply_changes(
     in any order; rows without an order are older than all changes. A target without them takes every change, and hard
     deletes forget the order of what they deleted: such a key comes back if an older change is applied again.
     """
-    last = settle(latest_per_key(changes, keys, order))
+    return apply_last(target, settle(latest_per_key(changes, keys, order)), keys, order, deleted, hard)
+
+
+def apply_last(
+    target: DataFrame, last: DataFrame, keys: Sequence[str], order: Sequence[str], deleted: str = DELETED_AT, hard: bool = False
+) -> DataFrame:
+    """The target after the last change of every changed key; ``last`` is read several times."""
     small = fits_broadcast(last.select(*keys))
     kept = drop_keys(target, last, keys, small=small)
     if set(order) <= set(target.columns):

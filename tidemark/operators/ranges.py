@@ -72,6 +72,68 @@ def split_points(
     return sorted(set(cuts))
 
 
+#: The larger, the finer: ranks of a sketch are wrong by about 1.6 / k.
+SKETCH_K = 1_024
+
+
+def key_sketch(df: DataFrame, key: str, k: int = SKETCH_K) -> DataFrame:
+    """One row that tells how the values of a key are spread: key_type, sketch. It has some kilobytes, whatever the rows.
+
+    Store it with the state of a read. Keys are whole numbers, floating ones, dates or times; nulls are left out.
+    """
+    kind = df.schema[key].dataType
+    return df.agg(F.lit(kind.simpleString()).alias("key_type"), F.kll_sketch_agg_bigint(_as_long(F.col(key), kind), k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """One row from the stored sketches of the parts of a table, as if of all their rows."""
+    held = sketches.where("sketch is not null")
+    return held.agg(F.any_value("key_type").alias("key_type"), F.kll_merge_agg_bigint("sketch", k).alias("sketch"))
+
+
+def sketch_points(sketch: DataFrame, ranges: int) -> list[Key]:
+    """At most ``ranges`` - 1 ascending keys that cut the sketched rows into ranges of about the same size, without a scan."""
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)]) if ranges > 1 else None
+    row = sketch.select("key_type", F.kll_sketch_get_n_bigint("sketch").alias("n")).first()
+    if shares is None or row is None or not row["n"]:
+        return []
+    kind = T.DataType.fromDDL(row["key_type"])
+    found = sketch.select(F.explode(F.array_distinct(F.kll_sketch_get_quantile_bigint("sketch", shares))).alias("point"))
+    keys = found.orderBy("point").select(_from_long(F.col("point"), kind).alias("point"))
+    return [_zoned(keys, ["point"], point) for point in keys.collect()]
+
+
+def _as_long(key: Column, kind: T.DataType) -> Column:
+    """A whole number in the order of the keys."""
+    if isinstance(kind, T.DateType):
+        return F.unix_date(key).cast("bigint")
+    if isinstance(kind, T.TimestampNTZType):
+        # Not by way of a point in time, for that would depend on the session's zone.
+        return F.unix_date(key.cast("date")).cast("bigint") * _DAY + (F.hour(key) * 3600 + F.minute(key) * 60).cast("bigint") * 1_000_000 + (
+            F.extract(F.lit("SECOND"), key) * 1_000_000
+        ).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(key)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.floor(key).cast("bigint")
+    if isinstance(kind, T.IntegralType):
+        return key.cast("bigint")
+    raise ValueError(f"keys of type {kind.simpleString()} have no sketch")
+
+
+def _from_long(number: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(number.cast("int"))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_add("MICROSECOND", number, F.lit("1970-01-01").cast("timestamp_ntz"))
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(number)
+    return number.cast(kind)
+
+
+_DAY = 86_400 * 1_000_000
+
+
 def split_ranges(
     points: Sequence[Key], lower: Key | None = None, upper: Key | None = None
 ) -> list[tuple[Key | None, Key | None]]:

@@ -69,7 +69,7 @@ def text(value: Any) -> str | None:
         return None
     if isinstance(value, (bytes, bytearray)):
         return base64.b64encode(value).decode()
-    if isinstance(value, (dt.date, dt.datetime)):
+    if isinstance(value, (dt.date, dt.datetime, dt.time)):
         return value.isoformat()
     if isinstance(value, (list, tuple, dict)):
         return json.dumps(value, default=str)

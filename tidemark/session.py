@@ -43,6 +43,14 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder of any file system that Spark knows; none if there is no such folder."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan with fewer partitions than cores, dealt out over all of them; other scans as they are.
 

@@ -77,6 +77,18 @@ def streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared fields of the streams, which differ by region; those of two regions declare none."""
+    kinds = [
+        {"_id": "string", "user": "integer"},
+        {"_id": "string", "value": "number", "kind": "array"},
+        {"value": "number", "props": "object", "kind": "string", "missing": "string"},
+    ]
+    lists = [", ".join(f"struct('{name}' as field, '{kind}' as type)" for name, kind in fields.items()) for fields in kinds]
+    cases = " ".join(f"when {region} then array({fields})" for region, fields in enumerate(lists))
+    return table(spark, sf_dir, "nation").selectExpr("'app' as namespace", "lower(n_name) as stream", f"inline(case n_regionkey {cases} end)")
+
+
 def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current user documents; those of one market segment are gone."""
     return table(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").selectExpr(

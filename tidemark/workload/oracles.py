@@ -27,6 +27,10 @@ SELECT count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, min(o_ord
        max(o_orderkey) AS last_key, TRUE AS same_numbers
 FROM orders"""
 
+ORACLES["split_sketch"] = """
+SELECT count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, 8 AS n_ranges, TRUE AS same_numbers, TRUE AS even
+FROM orders"""
+
 CHUNKS = """
 SELECT o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk
 FROM orders WHERE o_orderkey > 100"""
@@ -59,6 +63,11 @@ SELECT {ORDER_FIELDS},
        (SELECT {DAY.format("max(o_orderdate)")} FROM orders WHERE o_orderdate < TIMESTAMP '2000-06-15') AS next_cursor
 FROM orders WHERE o_orderdate > TIMESTAMP '1996-05-01' AND o_orderdate < TIMESTAMP '2000-06-15'"""
 
+ORACLES["time_cursor"] = """
+WITH t AS (SELECT event_id, strftime(ts, '%H:%M:%S.%f') AS "at" FROM events)
+SELECT event_id, "at", 'in' AS today, (SELECT max("at") FROM t) AS next_cursor, '06:30:00' AS next_without
+FROM t WHERE "at" > '06:30:00'"""
+
 ORACLES["snapshot_cursor"] = f"""
 SELECT {ORDER_FIELDS},
        (SELECT {DAY.format("max(o_orderdate)")} FROM orders WHERE o_orderdate < TIMESTAMP '2000-06-15') AS next_cursor
@@ -98,6 +107,8 @@ SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, o_custkey, o_ordersta
        sys_change_version, {LAST_VERSION} AS ct_version
 FROM net n LEFT JOIN now o ON o.o_orderkey = n.o_orderkey"""
 
+ORACLES["ct_increment_many"] = ORACLES["ct_increment"]
+
 # -- change events -----------------------------------------------------------------------------------------------
 
 # lost: both images are missing; shown: an image is there; gone: the row is deleted.
@@ -165,6 +176,19 @@ SELECT event_id, 'app' AS namespace, 'nation_' || (user_id % 25) AS stream
 FROM events JOIN nation ON lower(n_name) = 'nation_' || (user_id % 25)
 WHERE n_regionkey <> 3"""
 
+ORACLES["events_by_stream"] = f"""
+WITH {EVENTS},
+n AS (SELECT r.*, user_id, event_type, e.value AS amount, lower(n_name) AS stream, n_regionkey AS region
+      FROM r JOIN e USING (event_id) JOIN nation ON lower(n_name) = 'nation_' || (user_id % 25))
+SELECT event_id, 'app' AS namespace, stream,
+       CASE WHEN region = 0 THEN CASE WHEN shown THEN 2 ELSE 1 END WHEN region = 1 THEN CASE WHEN shown THEN 3 ELSE 1 END
+            WHEN region = 2 AND shown THEN 3 ELSE 0 END AS n_fields,
+       CASE WHEN region < 2 THEN n._id END AS _id, CASE WHEN region = 0 THEN user END AS user,
+       CASE WHEN region IN (1, 2) AND shown THEN amount END AS value,
+       CASE WHEN region = 1 THEN '["' || kind || '"]' WHEN region = 2 THEN '"' || kind || '"' END AS kind,
+       CASE WHEN region = 2 AND shown THEN k END AS props_k, _ab_cdc_updated_at, _ab_cdc_deleted_at
+FROM n"""
+
 ORACLES["bounded_changes"] = f"""
 WITH {EVENTS}
 SELECT event_id, seconds, ord, op FROM e WHERE seconds > 1704400000 OR (seconds = 1704400000 AND ord > 2)"""
@@ -192,6 +216,15 @@ ORACLES["apply_replay"] = APPLIED
 
 ORACLES["stream_apply"] = APPLIED
 
+ORACLES["apply_buckets"] = APPLIED
+
+ORACLES["stream_once"] = APPLIED
+
+ORACLES["stream_resume"] = f"""
+WITH {EVENTS}
+SELECT event_id, seconds, ord, CASE WHEN seconds < 1705708800 OR (seconds = 1705708800 AND ord <= 2) THEN 0 ELSE 1 END AS run
+FROM e"""
+
 # -- documents ---------------------------------------------------------------------------------------------------
 
 DOCS = f"""

@@ -8,17 +8,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tidemark.functions import extjson, values
 from tidemark.functions.predicates import cutoff, key_range
 from tidemark.names import CURSOR, DELETED_AT, UPDATED_AT
 from tidemark.operators import catalog, documents, events, increment, merge, ranges
 from tidemark.operators import snapshot as snap
+from tidemark.operators.buckets import BucketTable
 from tidemark.plans import collections as collection_plans
 from tidemark.plans import state as states
 from tidemark.plans import tables as table_plans
 from tidemark.session import shared_dir
 from tidemark.streaming import changes as change_streams
+from tidemark.streaming.once import newest_only
+from tidemark.streaming.resume import append_log, resume_run
 from tidemark.workload import inputs
 from tidemark.workload.inputs import table
 
@@ -88,6 +92,26 @@ def split_cover(spark, sf_dir):
     )
 
 
+@query
+def split_sketch(spark, sf_dir):
+    """Cuts a table by stored sketches of its parts, which are merged; ranges are even, without gap or overlap."""
+    orders, keys = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), ["o_orderkey"]
+    older = F.col("o_orderdate") < F.lit("1997-01-01")
+    parts = [ranges.key_sketch(orders.where(part), "o_orderkey") for part in (older, ~older)]
+    cuts = ranges.sketch_points(ranges.merge_sketches(parts[0].unionByName(parts[1])), 8)
+    held = F.array(*[key_range(orders, keys, low, high).cast("int") for low, high in ranges.split_ranges(cuts)])
+    placed = ranges.with_range(orders.select("o_orderkey", held.alias("held")), keys, cuts)
+    own = (F.get("held", F.col("range")) == 1) & (F.aggregate("held", F.lit(0), lambda a, b: a + b) == 1)
+    counts = placed.groupBy("range").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.bool_and(own).alias("own"))
+    return counts.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("keys").alias("key_sum"),
+        F.count("*").alias("n_ranges"),
+        F.bool_and("own").alias("same_numbers"),
+        (F.max("n") * 8 <= F.sum("n") * 1.05).alias("even"),
+    )
+
+
 def _chunks(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return ranges.chunk_scan(orders, ["o_orderkey"], 1000, (100,))
@@ -151,6 +175,17 @@ def cursor_cutoff(spark, sf_dir):
     return _orders(read.rows).withColumn("next_cursor", _text(read.state["cursor"]))
 
 
+@query
+def time_cursor(spark, sf_dir):
+    """Increments by a time of the day, as text: all after a stored one, and none where today is left out."""
+    timed = table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "HH:mm:ss.SSSSSS").alias("at"))
+    every = increment.cursor_increment(timed, ["event_id"], "at", "06:30:00")
+    limit = cutoff(timed, "at", NOW, logical_type="time")
+    none = increment.cursor_increment(timed, ["event_id"], "at", "06:30:00", cutoff=limit)
+    rows = every.rows.withColumn("today", F.lit("in")).unionByName(none.rows.withColumn("today", F.lit("out")))
+    return rows.withColumns({"next_cursor": F.lit(every.state["cursor"]), "next_without": F.lit(none.state["cursor"])})
+
+
 @query
 def snapshot_cursor(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
@@ -195,8 +230,7 @@ def net_changes(spark, sf_dir):
     return increment.net_changes(inputs.order_changes(spark, sf_dir), ["o_orderkey"], 1200)
 
 
-@query
-def ct_increment(spark, sf_dir):
+def _order_increment(spark, sf_dir, few_changes=None):
     read = increment.change_increment(
         inputs.order_changes(spark, sf_dir),
         inputs.current_orders(spark, sf_dir),
@@ -205,10 +239,22 @@ def ct_increment(spark, sf_dir):
         since=1200,
         next_version=_version(spark, sf_dir),
         now=dt.datetime(2024, 1, 1, 0, 0, 0, 250_000),
+        few_changes=few_changes,
     )
     return _orders(read.rows).withColumn("ct_version", F.lit(read.state["ct_version"]))
 
 
+@query
+def ct_increment(spark, sf_dir):
+    return _order_increment(spark, sf_dir)
+
+
+@query
+def ct_increment_many(spark, sf_dir):
+    """As if the changed keys were too many for a broadcast."""
+    return _order_increment(spark, sf_dir, few_changes=False)
+
+
 # -- change events -----------------------------------------------------------------------------------------------
 
 
@@ -283,6 +329,27 @@ def event_include(spark, sf_dir):
     return kept.select("event_id", "namespace", "stream")
 
 
+@query
+def events_by_stream(spark, sf_dir):
+    """The records of all streams at once; some streams declare no fields."""
+    change_events = inputs.change_events(spark, sf_dir)
+    records = events.events_by_stream(change_events, inputs.stream_fields(spark, sf_dir), ["event_id"])
+    data = F.col("data")
+    return records.select(
+        "event_id",
+        "namespace",
+        "stream",
+        F.size(F.from_json(F.to_json(data), "map<string, string>")).alias("n_fields"),
+        extjson.get(data, "$._id").alias("_id"),
+        extjson.get(data, "$.user", "bigint").alias("user"),
+        extjson.get(data, "$.value", "double").alias("value"),
+        F.to_json(F.variant_get(data, "$.kind", "variant")).alias("kind"),
+        extjson.get(data, "$.props.k", "bigint").alias("props_k"),
+        UPDATED_AT,
+        DELETED_AT,
+    )
+
+
 @query
 def bounded_changes(spark, sf_dir):
     change_events = inputs.change_events(spark, sf_dir)
@@ -329,6 +396,52 @@ def apply_replay(spark, sf_dir):
     return _applied(changes.where("position.seconds < 1705708800"), folded).select(*base.columns)
 
 
+def _run_folder(spark, name):
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def apply_buckets(spark, sf_dir):
+    """The same on a stored table in key buckets: the older changes, then the newer ones."""
+    changes = _changes(spark, sf_dir, inputs.change_events(spark, sf_dir))
+    base = inputs.user_base(spark, sf_dir)
+    placed = base.withColumns({c: F.lit(None).cast(changes.schema[c].dataType) for c in ("event_id", "position")})
+    stored = BucketTable(spark, _run_folder(spark, "apply_buckets"), ["_id"], 16)
+    stored.create(placed.select(*changes.columns))
+    older = F.col("position.seconds") < 1705708800
+    for part in (older, ~older):
+        stored.apply(changes.where(part), ["position", "event_id"])
+    return stored.read().select(*base.columns)
+
+
+@query
+def stream_resume(spark, sf_dir):
+    """Two bounded runs over a stored log: up to a position, and from there to the end."""
+    folder = _run_folder(spark, "stream_resume")
+    change_events = inputs.change_events(spark, sf_dir)
+    append_log(change_events, f"{folder}/log")
+    schema = events.with_position(change_events).schema
+    for until in ((1705708800, 2), None):
+        resume_run(spark, f"{folder}/log", schema, f"{folder}/out", f"{folder}/state", "app", "log", until)
+    read = spark.read.schema(schema.add("batch", IntegerType())).parquet(f"{folder}/out")
+    return read.select("event_id", "position.seconds", "position.ord", F.col("batch").alias("run"))
+
+
+@query
+def stream_once(spark, sf_dir):
+    """A stream that delivers every event twice and in any order: only what is newer than all before is stored."""
+    schema = table(spark, sf_dir, "events").schema
+    streams = [spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet") for _ in range(2)]
+    twice = streams[0].unionByName(streams[1]).repartition(spark.sparkContext.defaultParallelism)
+    changes = _changes(spark, sf_dir, inputs.envelopes(twice)).select("*", "position.*").drop("position")
+    keys, order = ["_id"], ["seconds", "ord", "event_id"]
+    run = _run_folder(spark, "stream_once")
+    newest = newest_only(changes, keys, order)
+    change_streams.store_changes(newest, f"{run}/changes", f"{run}/progress", keys, order).awaitTermination()
+    stored = change_streams.stored_changes(spark, f"{run}/changes", changes.schema)
+    return change_streams.current(inputs.user_base(spark, sf_dir), stored, keys, order)
+
+
 @query
 def stream_apply(spark, sf_dir):
     """The same through a stream: batches of stored changes, merged with the base when read."""
@@ -337,7 +450,7 @@ def stream_apply(spark, sf_dir):
     # Files may be few; parsing is spread over all cores.
     stream = stream.repartition(spark.sparkContext.defaultParallelism)
     changes = _changes(spark, sf_dir, inputs.envelopes(stream))
-    run = f"{shared_dir(spark)}/stream_apply-{uuid.uuid4().hex}"
+    run = _run_folder(spark, "stream_apply")
     keys, order = ["_id"], ["position", "event_id"]
     change_streams.store_changes(changes, f"{run}/changes", f"{run}/progress", keys, order).awaitTermination()
     stored = change_streams.stored_changes(spark, f"{run}/changes", changes.schema)
