@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import reshuffled
 from tidemark.session import settle
 
 
+#: Links for each partition, and the least number of partitions.
+_LINKS, _LEAST = 200_000, 8
+
+
 def _print_of(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
@@ -19,7 +22,8 @@ def components(links: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: every node hands its larger neighbours to its smallest one, then
     hands its smaller neighbours to the smallest of them. The number of rounds grows with the logarithm of the
     longest path. Links stay distributed; only a count and a checksum reach the driver. Links with a null end and
-    links of a node to itself are ignored; nodes without other links are not in the result.
+    links of a node to itself are ignored; nodes without other links are not in the result. Links are few beside the
+    documents they come from, so they are kept in as many partitions as they fill, whatever the shuffle's number is.
 
     Columns: node, root.
     """
@@ -27,13 +31,16 @@ def components(links: DataFrame) -> DataFrame:
     links = settle(links.where("ok").select("a", "b").distinct())
     seen = _print_of(links)
     while True:
+        parts = _LEAST + seen[0] // _LINKS
+        links = links.coalesce(parts)
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(reshuffled(low), "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = settle(large.distinct())
+        large = both.join(low.coalesce(parts), "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = settle(large.coalesce(parts).distinct().coalesce(parts))
         low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(reshuffled(low), "a").where("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        links = settle(small.unionByName(low.select("a", F.col("low").alias("b"))).distinct())
+        small = large.join(low.coalesce(parts), "a").where("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        named = low.select("a", F.col("low").alias("b"))
+        links = settle(small.coalesce(parts).unionByName(named.coalesce(parts)).distinct().coalesce(parts))
         now = _print_of(links)
         if now == seen:
             break

@@ -25,6 +25,8 @@ MISS = 1e-12
 #: Lists of more documents than this are looked at again with whole sets.
 SHORT_LIST = 64
 _CACHED_BYTES = 32 << 20
+# Rows of few values for each partition, and the least number of partitions.
+_ROWS, _LEAST = 100_000, 16
 
 
 def shingle_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
@@ -91,6 +93,12 @@ def _entries(sets: DataFrame) -> DataFrame:
     return settle(sets.select("listed.value", "node", "n", (F.col("rest") - F.col("place")).alias("rest"), "score"))
 
 
+def _settled_few(rows: DataFrame) -> DataFrame:
+    """Rows that are few beside the documents, settled and then kept in as many partitions as they fill."""
+    rows = settle(rows)
+    return rows.coalesce(_LEAST + rows.count() // _ROWS)
+
+
 def _with_typical(entries: DataFrame) -> DataFrame:
     """Links of every document in a list with the one whose values are the most frequent: a, b. Linear in the entries."""
     typical = entries.groupBy("value").agg(F.max_by("node", "score").alias("typical"))
@@ -217,7 +225,7 @@ def near_duplicates_by_sets(
     texts = settle(texts.join(asked, same).select("node", "text").dropDuplicates(["node"]))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        return _linked(settle(_plausible(pairs, sets, size, percent)), texts, shingle, percent)
+        return _linked(_settled_few(_plausible(_settled_few(pairs), sets, size, percent)), texts, shingle, percent)
 
     links = confirmed(_with_typical(entries))
     entries, lists = _rooted(entries, links)
