@@ -29,9 +29,11 @@ SHARD_BYTES = 256 << 20
 LEAST_SHARDS = 64
 
 
-def block_table(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def block_table(docs: DataFrame, block_bytes: int = BLOCK_BYTES, level: int | None = None) -> DataFrame:
     """block, data: consecutive rows of ``docs``, of about ``block_bytes``, as compressed Arrow data.
 
+    A higher ``level`` of compression takes longer and saves space.
+
     The table is settled, so that a block has the same rows whenever it is read. A row that is larger makes up a block
     of its own.
     """
@@ -50,17 +52,17 @@ def block_table(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 weight += int(sizes[high - 1]) - before
                 low = high
                 if weight >= block_bytes or low < batch.num_rows:
-                    yield _block(number, held)
+                    yield _block(number, held, level)
                     number, held, weight = number + 1, [], 0
         if held:
-            yield _block(number, held)
+            yield _block(number, held, level)
 
     return settle(docs.mapInArrow(run, "block long, data binary"))
 
 
-def _block(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+def _block(number: int, held: list[pa.RecordBatch], level: int | None) -> pa.RecordBatch:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", level))) as out:
         for batch in held:
             out.write_batch(batch)
     return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "data"])
@@ -90,14 +92,18 @@ def ask(blocks: DataFrame, question: Callable[[pa.Table], Iterator[tuple[int, by
     return blocks.mapInArrow(run, "shard int, block long, items binary, values binary")
 
 
-def answer(asked: DataFrame, reply: Callable[[list[bytes], list[bytes]], list[bytes]]) -> DataFrame:
-    """block, shard, reply: for each shard, what ``reply`` makes of the items and values of all blocks."""
+def answer(asked: DataFrame, reply: Callable[[list[bytes], list[bytes]], list[bytes]], keep: bool = True) -> DataFrame:
+    """block, shard, reply: for each shard, what ``reply`` makes of the items and values of all blocks.
+
+    Replies that are read once only need not be kept; a lost one is then worked out again from its shard.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
         return frame[["block", "shard"]].assign(reply=reply(list(frame["items"]), list(frame["values"])))
 
-    return settle(asked.groupBy("shard").applyInPandas(run, "block long, shard int, reply binary"))
+    replies = asked.groupBy("shard").applyInPandas(run, "block long, shard int, reply binary")
+    return settle(replies) if keep else replies
 
 
 def split_sorted(items: np.ndarray, shards: int) -> list[np.ndarray]:

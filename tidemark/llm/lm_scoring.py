@@ -22,6 +22,8 @@ ORDER = 6
 SPLIT = 3
 BLOCK_BYTES = 8 << 20
 _HEAD = 16
+# Blocks are stored once and shuffled once.
+_LEVEL = 9
 _START = b"\n" * ORDER  # no word holds a line feed: it stands for what comes before a text and for its end
 
 
@@ -277,7 +279,7 @@ def score_texts(
         held_out = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 1
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), utf8(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    table = B.block_table(rows, block_bytes)
+    table = B.block_table(rows, block_bytes, _LEVEL)
     shards = B.shard_count(table, block_bytes)
 
     def ask_words(rows: pa.Table) -> Iterator[tuple[int, bytes, bytes]]:
@@ -298,7 +300,7 @@ def score_texts(
     distinct, tokens = (sum(np.frombuffer(bytes(row["head"]), np.int64)[i].item() for row in heads) for i in (0, 1))
     found = short_counts(table).toArrow()
     short = docs.sparkSession.sparkContext.broadcast(Short(found["code"].to_numpy(), found["n"].to_numpy()))
-    of_runs = B.answer(B.ask(table, ask_runs), lambda items, values: _score_runs(short.value, items, values))
+    of_runs = B.answer(B.ask(table, ask_runs), lambda items, values: _score_runs(short.value, items, values), keep=False)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
