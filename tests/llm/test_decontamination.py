@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -68,9 +69,10 @@ def test_blocks_find_all_within_the_radius():
     rng = np.random.default_rng(0)
     index = D.Index([(i, b" ".join(b"%d" % v for v in rng.integers(0, 10**6, 12))) for i in range(50)])
     group = index.lengths[5, 12]
+    every = np.arange(50)
     flips = [np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, n, replace=False).astype(np.uint64)) for n in rng.integers(1, D.RADIUS + 1, 2000)]
     place = rng.integers(0, 50, 2000)
-    found = {tuple(p) for p in group.close(group.prints[place] ^ np.array(flips, np.uint64)).tolist()}
+    found = {tuple(p) for p in group.close(group.prints[place] ^ np.array(flips, np.uint64), every).tolist()}
     assert all((i, p) in found for i, p in enumerate(place.tolist()))
 
 
@@ -88,3 +90,22 @@ def test_no_rows(spark, odd, empty):
     some = spark.createDataFrame([(1, "one two")], "item_id long, text string")
     assert D.find_leaks(odd, none).collect() == [] and D.find_leaks(empty, some).collect() == []
     assert D.without(odd, D.find_leaks(odd, none)).count() == odd.count()
+
+
+def test_many_items_that_are_partly_shared():
+    rng = random.Random(4)
+    items = [(i, [f"w{rng.randrange(10**7)}" for _ in range(12)]) for i in range(10_000)]
+    index = D.Index([(i, " ".join(words).encode()) for i, words in items])
+    texts = []
+    for _ in range(5):
+        words = []
+        for i, item in rng.sample(items, 600):
+            start = rng.randrange(7)
+            words += item[start : start + 5]
+        at = rng.randrange(len(words))
+        whole = rng.choice(items)[1]
+        texts.append((words[:at] + whole + words[at:], whole))
+    began = time.perf_counter()
+    found = list(index.search([" ".join(words).encode() for words, _ in texts]))
+    assert time.perf_counter() - began < 0.1 * len(texts) * 5  # a tenth of a second each, on a machine five times as slow
+    assert [(n, items[index.ids[i]][1], value) for n, i, _, _, value, _ in found] == [(n, whole, 1.0) for n, (_, whole) in enumerate(texts)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -58,13 +59,14 @@ class _Length:
     prints: np.ndarray | None = None
     tables: np.ndarray | None = None
 
-    def close(self, prints: np.ndarray) -> np.ndarray:
-        """Pairs (window, place among the items) within the radius, found through the blocks."""
+    def close(self, prints: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Pairs (window, place among the items) within the radius, found through the blocks, of the ``chosen`` items."""
         values = prints.view(np.uint8).reshape(-1, BLOCKS)
-        found = np.zeros((len(prints), len(self.items)), bool)
+        found = np.zeros((len(prints), len(chosen)), bool)
         for block in range(BLOCKS):
-            found |= self.tables[block][values[:, block]]
+            found |= self.tables[block][:, chosen][values[:, block]]
         at, item = np.nonzero(found)
+        item = chosen[item]
         near = np.bitwise_count(prints[at] ^ self.prints[item]) <= RADIUS
         return np.stack([at[near], item[near]], axis=1)
 
@@ -92,6 +94,7 @@ class Index:
             group.prints = np.concatenate([window_prints(self.shingles[i], len(self.shingles[i])) for i in group.items])
             blocks = group.prints.view(np.uint8).reshape(-1, BLOCKS)
             group.tables = np.stack([_NEAR[:, blocks[:, block]] for block in range(BLOCKS)])
+        self.place = {item: place for group in self.lengths.values() for place, item in enumerate(group.items)}
         self.lengths = dict(self.lengths)
         self.holders = {size: dict(found) for size, found in holders.items()}
         self.marks = {}
@@ -108,28 +111,39 @@ class Index:
 
     def matches(self, size: int, words: int, shingles: np.ndarray, hits: list) -> list[tuple[int, int, int, float, int]]:
         """(item, start, words, similarity, windows) of each item that a document holds, by its best window."""
-        places: dict[int, set[int]] = defaultdict(set)
+        places: dict[int, list[int]] = defaultdict(list)
         for at, items in hits:
             for item in items:
-                places[len(self.shingles[item])].add(at)
+                places[item].append(at)
+        # Windows that hold enough of an item's shingles to be similar to it, by the items' lengths.
+        worth: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = defaultdict(list)
+        for item, found in places.items():
+            count = len(self.shingles[item])
+            width = min(count, words - size + 1)
+            least = math.ceil(SIMILARITY * (width + count) / (1 + SIMILARITY) - 1e-9)
+            if len(found) >= least:
+                near = np.array(found)
+                low, high = near[least - 1 :] - width + 1, near[: len(near) - least + 1]
+                if (low <= high).any():
+                    worth[count].append((self.place[item], low[low <= high], high[low <= high]))
         result = []
-        for count, near in places.items():
+        for count, chosen in worth.items():
             length = count + size - 1
             width = min(count, words - size + 1)
             last = max(0, words - length)
-            near = np.fromiter(near, np.int64, len(near))
-            # Only windows with a shingle of an item can be similar to one.
             edges = np.zeros(last + 2, np.int64)
-            np.add.at(edges, np.clip(near - count + 1, 0, last), 1)
-            np.add.at(edges, np.clip(near, 0, last) + 1, -1)
+            for _, low, high in chosen:
+                np.add.at(edges, np.clip(low, 0, last), 1)
+                np.add.at(edges, np.clip(high, 0, last) + 1, -1)
             starts = np.flatnonzero(np.cumsum(edges[:-1]))
             best: dict[int, list] = {}
             group = self.lengths[size, length]
+            among = np.array(sorted(place for place, _, _ in chosen))
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                 for low in range(0, len(run), _RUN):
                     part = run[low : low + _RUN]
                     prints = window_prints(shingles[part[0] : part[-1] + width], width)
-                    for at, place in group.close(prints).tolist():
+                    for at, place in group.close(prints, among).tolist():
                         item, start = group.items[place], int(part[at])
                         value = similarity(shingles[start : start + width], self.shingles[item])
                         if value >= SIMILARITY:
@@ -174,7 +188,7 @@ def find_leaks(
     window of n words of every document, or to the whole document if that is shorter, by their shingles of five words
     (items with fewer words are one shingle). Windows get a SimHash; eight blocks of its bits, each looked up within
     two bits, give all items within 23 bits, and those are verified: the weighted Jaccard similarity of the shingles
-    is 0.8 or more. Windows that share no shingle with any item have similarity 0 and are passed over.
+    is 0.8 or more. Windows are only compared to items of whose shingles they hold enough for that similarity.
 
     The items are measured first. They go to all tasks in passes of at most 8 MB of text each, whatever their number,
     and documents are not shuffled. Null and empty texts hold nothing, and items without words are nowhere. Null ids
