@@ -18,6 +18,9 @@ from tidemark.session import settle
 
 TRAIN_ROWS = 8_000
 FOLDS = 3
+#: Least share of labelled texts among those that are taken to be in the category to decide by, on out-of-fold predictions.
+PRECISION = 0.95
+#: The features kept: so many at most, of those that so many texts of the sample hold.
 VOCABULARY = 20_000
 MIN_DOCS = 5
 _STEPS, _RATE, _LASSO, _RIDGE = 120, 0.5, 0.35, 1e-4
@@ -134,14 +137,21 @@ class Chain:
         return result
 
 
-def best_threshold(chances: np.ndarray, labels: np.ndarray) -> float:
-    """The probability from which on predictions are best by the harmonic mean of precision and recall."""
+def best_threshold(chances: np.ndarray, labels: np.ndarray, precision: float = PRECISION) -> float:
+    """The probability from which on predictions are best by the harmonic mean of precision and recall.
+
+    Only thresholds with the given ``precision`` count, if there are any: documents are deleted by them.
+    """
     if not labels.any():
         return 1.1
     order = np.argsort(-chances, kind="stable")
     ranked, hits = chances[order], np.cumsum(labels[order])
-    value = 2 * hits / (np.arange(1, len(labels) + 1) + hits[-1])
+    taken = np.arange(1, len(labels) + 1)
+    value = 2 * hits / (taken + hits[-1])
     value[:-1][ranked[1:] == ranked[:-1]] = -1  # equal chances are not parted
+    sure = (hits >= precision * taken) & (value > 0)
+    if sure.any():
+        value[~sure] = -1
     at = int(value.argmax())
     return float((ranked[at] + (ranked[at + 1] if at + 1 < len(ranked) else 0)) / 2)
 
@@ -162,7 +172,7 @@ def train_chain(
     with many endings, out of the most frequent ones that at least five texts of the sample hold; and the probabilities
     of the earlier categories. While training, these come from models that have not seen the row (``folds`` folds), as
     they will when scoring. The threshold is the one with which out-of-fold predictions of the last category agree best
-    with its labels.
+    with its labels, of those with a precision of ``PRECISION`` or more.
 
     ``categories`` names conditions in SQL over the columns of ``labels``. Labels of an id that occurs repeatedly count
     once, by the largest value; rows with a null id, or with null in a category, are no labels. Categories with labels
