@@ -1,6 +1,7 @@
 import dataclasses
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -281,3 +282,23 @@ def test_unsupported_ids_are_an_error(spark, store):
     mixed = dataclasses.replace(one, documents=spark.createDataFrame([('{"_id":1}',), ('{"_id":"b"}',)], "document string"))
     with pytest.warns(UserWarning, match="several types"):
         sync_collections(store, [mixed], log(spark), NOW)
+
+
+def test_runs_over_many_streams_keep_a_short_state_log(spark, store, monkeypatch):
+    import tidemark.sync as sync
+
+    monkeypatch.setattr(sync, "STATE_FILES", 6)
+    tables = [Table("n", f"t{i}", people(spark, [(n, "x", day(1 + n)) for n in range(3)]), ["id", "name", "at"], keys=["id"], cursor="at") for i in range(9)]
+    assert reads(sync_tables(store, tables, NOW)) == ["keyed_cursor"] * 9
+    states = read_state(spark, store.state).collect()
+    assert {(r["stream"], r["status"]) for r in states} == {(f"t{i}", "cursor") for i in range(9)}
+    assert len(list(Path(store.state).glob("*.parquet"))) <= 6
+    assert reads(sync_tables(store, tables, NOW)) == ["done"] * 9
+
+
+def test_a_table_that_fails_leaves_the_others_alone(spark, store):
+    good = table(spark, [(1, "a", day(1))])
+    bad = dataclasses.replace(good, stream="bad", rows=good.rows.withColumn("name", F.raise_error(F.lit("broken"))))
+    with pytest.raises(Exception, match="broken"):
+        sync_tables(store, [bad, good], NOW)
+    assert saved(store, "id") == [(1,)]

@@ -10,8 +10,10 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import json
+import threading
 import warnings
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -25,9 +27,17 @@ from tidemark.operators import snapshot as snap
 from tidemark.operators.documents import id_type_census
 from tidemark.operators.merge import latest_per_key
 from tidemark.plans.collections import phases, snapshot_selection
-from tidemark.plans.state import append_state, read_state, text
+from tidemark.plans.state import append_state, compact_state, read_state, text
 from tidemark.plans.tables import cursor_reads, tracking_reads, with_state
-from tidemark.session import remove
+from tidemark.session import children, remove
+
+#: Streams that are read at the same time, so that a small one leaves no cluster idle.
+AT_ONCE = 4
+#: A state log of more files than this is compacted by the run that finds it so.
+STATE_FILES = 64
+
+# Two jobs must not append to one folder at the same time.
+_APPENDING = threading.Lock()
 
 
 class SyncError(Exception):
@@ -83,7 +93,17 @@ class Store:
     def save(self, namespace: str, stream: str, batch: int, rows: DataFrame | None, **state: Any) -> None:
         if rows is not None:
             self.write(namespace, stream, batch, rows)
-        append_state(self.spark, self.state, [{"namespace": namespace, "stream": stream, "batch": batch, **state}])
+        self.note([{"namespace": namespace, "stream": stream, "batch": batch, **state}])
+
+    def note(self, states: Sequence[Mapping[str, Any]]) -> None:
+        with _APPENDING:
+            append_state(self.spark, self.state, states)
+
+    def tidy(self) -> None:
+        """Keeps the state log short."""
+        if sum(name.endswith(".parquet") for name in children(self.spark, self.state)) > STATE_FILES:
+            with _APPENDING:
+                compact_state(self.spark, self.state)
 
     def batches(self) -> dict[tuple[str, str], int]:
         """The next batch number of every stream that was saved before."""
@@ -147,12 +167,13 @@ def sync_tables(
     exclude_today: bool = False,
     pieces: int = 1,
     fail_expired: bool = False,
+    at_once: int = AT_ONCE,
 ) -> list[Row]:
-    """One run over all tables; returns what was read.
+    """One run over all tables, ``at_once`` of them at a time; returns what was read.
 
-    The loop is over the configured tables. Each read is a Spark job over all of the cluster. ``pieces`` is the
-    number of checkpoints per snapshot: each piece filters on the key, so ask for several only where the source
-    can seek on it, as a database with an index or files sorted by the key can.
+    Each read is a Spark job over all of the cluster. ``pieces`` is the number of checkpoints per snapshot: each piece
+    filters on the key, so ask for several only where the source can seek on it, as a database with an index or files
+    sorted by the key can. The pieces of a table are read in order. A table that fails doesn't keep others from their end.
     """
     plan = plan_tables(store, tables, tracking, fail_expired).collect()
     found = {(row["namespace"], row["stream"]): row for row in plan}
@@ -160,16 +181,27 @@ def sync_tables(
     if wrong:
         raise SyncError(f"no cursor chosen for {wrong}")
     batches = store.batches()
-    for t in tables:
+
+    def read(t: Table) -> None:
         row, batch = found[t.namespace, t.stream], batches.get((t.namespace, t.stream), 0)
         if row["read"] == "done":
-            continue
+            return
         run = _tracking_run(t, row, now, pieces) if tracking else _cursor_run(t, row, now, exclude_today, pieces)
         for number, (rows, state) in enumerate(run, batch):
             store.save(t.namespace, t.stream, number, rows, **state)
+
+    _all(read, tables, at_once)
+    store.tidy()
     return plan
 
 
+def _all(work, streams: Sequence[Any], at_once: int) -> None:
+    """Works on all streams, some at a time; fails with the first error when all have ended."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(work, stream) for stream in streams]:
+            done.result()
+
+
 Piece = tuple[DataFrame | None, dict[str, Any]]
 
 
@@ -252,9 +284,14 @@ def sync_collections(
     now: dt.datetime,
     fail_invalid: bool = True,
     chunk_rows: int | None = None,
+    bounds: tuple[Any, Any] | None = None,
+    at_once: int = AT_ONCE,
 ) -> str:
     """One run over all collections and their common change log; returns the order of its phases.
 
+    ``bounds`` are the last and the first position of the log where they are known without reading it, as of a log in
+    folders by day (``streaming.resume.log_bounds``). ``at_once`` collections are read and written at a time.
+
     Snapshots are taken in chunks of ``chunk_rows``, by default of about one GiB. Each chunk is a batch, with a state row
     that names its last id, after which the next run goes on if this one dies. The position of the log is stored before
     the first snapshot, so that changes made meanwhile are read by later runs.
@@ -268,7 +305,7 @@ def sync_collections(
     batches = {name: row["batch"] + 1 for name, row in states.items()}
     offset = tuple(json.loads(states[OFFSET]["offset"])) if OFFSET in states else None
     # Both ends of the log before anything is read: events that come later belong to the next run.
-    target, oldest = _ends(log)
+    target, oldest = _ends(log) if bounds is None else bounds
     valid = offset is None or offset == START or (oldest is not None and oldest <= offset)
     if not valid and fail_invalid:
         raise SyncError("the change log no longer holds the stored position")
@@ -283,20 +320,22 @@ def sync_collections(
     if first_run:
         store.save(*OFFSET, batches.get(OFFSET, 0), None, status="offset", offset=json.dumps(kept))
         batches[OFFSET] = batches.get(OFFSET, 0) + 1
-    for c in collections:
-        if c.full_refresh:
-            _snapshot(store, c, now, batches, None, chunk_rows)
+
+    def snapshot(c: Collection) -> None:
+        state = states.get((c.namespace, c.stream)) if valid and not c.full_refresh else None
+        _snapshot(store, c, now, batches, state, chunk_rows)
+
+    _all(snapshot, [c for c in collections if c.full_refresh], at_once)
     following = [c for c in collections if not c.full_refresh]
     for phase in order.split(", "):
         if phase == "snapshot":
-            for c in following:
-                if chosen[c.namespace, c.stream]["snapshot"]:
-                    _snapshot(store, c, now, batches, states.get((c.namespace, c.stream)) if valid else None, chunk_rows)
+            _all(snapshot, [c for c in following if chosen[c.namespace, c.stream]["snapshot"]], at_once)
         elif not first_run and target is not None:
             started = [c for c in following if chosen[c.namespace, c.stream]["started"]]
-            _changes(store, started, log, offset, target, now, batches, states)
+            _changes(store, started, log, offset, target, now, batches, states, at_once)
     if not first_run:
         store.save(*OFFSET, batches.get(OFFSET, 0), None, status="offset", offset=json.dumps(kept))
+    store.tidy()
     return order
 
 
@@ -344,7 +383,7 @@ def _snapshot(
 
 
 def _changes(
-    store: Store, started: Sequence[Collection], log: DataFrame, offset, target, now: dt.datetime, batches: dict, states: dict
+    store: Store, started: Sequence[Collection], log: DataFrame, offset, target, now: dt.datetime, batches: dict, states: dict, at_once: int
 ) -> None:
     """Rows of all started collections; the log is read once and dealt out by collection.
 
@@ -364,7 +403,8 @@ def _changes(
         unknown.write.mode("overwrite").parquet(f"{store.out}/_unknown/batch={number}")
         warnings.warn(f"change events with unknown operations were set aside in {store.out}/_unknown/batch={number}")
     saved = []
-    for c in started:
+
+    def change(c: Collection) -> None:
         name = (c.namespace, c.stream)
         own = known.where((F.col("namespace") == c.namespace) & (F.col("stream") == c.stream))
         rows = events.events_to_rows(own, c.fields)
@@ -377,8 +417,10 @@ def _changes(
             place = {"status": "IN_PROGRESS", "key_name": [DOCUMENT_ID], "key": before["key"], "id_type": before["id_type"]}
         saved.append({"namespace": c.namespace, "stream": c.stream, "batch": batches.get(name, 0), **place})
         batches[name] = batches.get(name, 0) + 1
+
+    _all(change, started, at_once)
     if saved:
-        append_state(spark, store.state, saved)
+        store.note(saved)
     remove(store.spark, staged)
 
 
