@@ -86,7 +86,8 @@ def docs(spark):
 
 
 def test_type_names(docs):
-    found = documents._top_fields(docs, "document", []).select("key", extjson.type_name(F.col("value")))
+    fields = docs.sparkSession.tvf.variant_explode(F.col("_v").outer())
+    found = docs.select(F.parse_json("document").alias("_v")).lateralJoin(fields).select("key", extjson.type_name(F.col("value")))
     assert {k: t for k, t in found.collect()} == TYPES
 
 
@@ -267,3 +268,22 @@ def test_no_python_runs(docs):
     for df in (documents.normalize(docs, "document", dict.fromkeys(FIELDS, "string")), documents.pack(docs, "document")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_fields_of_shapes(spark):
+    names = ["a", "b c", "d`e", "f:g", "h,i", "j<k>", "$l", "`", "", "ünï", "m.n", "7"]
+    texts = [json.dumps({n: v for n in names}) for v in ODD + [{"x": {"y": [1.25, "z"]}}, [[1], {"a": None}]]] + ["{}", "5", "[1]"]
+    docs = spark.createDataFrame([(t,) for t in texts], "document string")
+    fields = spark.tvf.variant_explode(F.col("v").outer())
+    each = docs.select(F.parse_json("document").alias("v")).where("schema_of_variant(v) like 'OBJECT%'").lateralJoin(fields)
+    want = each.where("key is not null").groupBy("key", extjson.json_type(F.col("value")).alias("type")).count()
+    shapes = documents.shape_fields(documents.discover_shapes(docs, "document"))
+    got = shapes.groupBy("field", "type").agg(F.sum("documents").alias("count"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 30
+
+
+def test_shapes_are_counted_before_they_are_taken_apart(spark):
+    docs = spark.range(3000).selectExpr("""concat('{"_id":', id, ',"p":', id, '.', id % 97, if(id % 3 = 0, ',"q":"x"}', '}')) as document""")
+    shapes = documents.discover_shapes(docs, "document")
+    assert sorted(r["documents"] for r in shapes.collect()) == [1000, 2000]
+    assert documents.shape_fields(shapes).count() == 5

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -107,6 +108,39 @@ def json_type(value: Column) -> Column:
     return F.when(value.isNotNull(), F.coalesce(_map(types)[_start(value)], F.lit("object")))
 
 
+def json_type_of_shape(shape: Column) -> Column:
+    """Discovered JSON type of a value from the text of its shape."""
+    types = {start: JSON_TYPES.get(kind, "string") for start, kind in KINDS.items()}
+    return F.coalesce(_map(types)[F.regexp_extract(shape, START, 1)], F.lit("object"))
+
+
+def shape_members(shape: str) -> list[tuple[str, str]]:
+    """Name and shape of each member of an object, from the text of its shape; names may be in backquotes."""
+    if not shape.startswith("OBJECT<"):
+        return []
+    parts, depth, quoted, low = [], 0, False, len("OBJECT<")
+    for at in range(low, len(shape)):
+        letter = shape[at]
+        quoted ^= letter == "`"
+        if quoted:
+            continue
+        depth += (letter == "<") - (letter == ">")
+        if (letter == "," and not depth) or depth < 0:
+            parts.append(shape[low:at].strip())
+            low = at + 1
+    members = []
+    for part in filter(None, parts):
+        if part[0] == "`":
+            # A backquote in a name is doubled.
+            end = re.match(r"`((?:[^`]|``)*)`(?!`)", part)
+            name, rest = end[1].replace("``", "`"), part[end.end() :]
+        else:
+            name, _, rest = part.partition(":")
+            rest = ":" + rest
+        members.append((name, rest[1:].strip()))
+    return members
+
+
 def json_type_of_name(name: Column) -> Column:
     return F.when(name.isNotNull(), F.coalesce(_map(JSON_TYPES)[name], F.lit("string")))
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+
+import pandas as pd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,22 +19,42 @@ from tidemark.operators.ranges import random_rows
 NUMERIC = {"number": "double", "integer": "bigint"}
 
 
-def _top_fields(df: DataFrame, document: str, by: Sequence[str]) -> DataFrame:
-    """One row per top-level field of every document: (by…, key, value)."""
-    fields = df.sparkSession.tvf.variant_explode(F.col("_v").outer())
-    return df.select(*by, F.parse_json(document).alias("_v")).lateralJoin(fields)
+def discover_shapes(df: DataFrame, document: str, by: Sequence[str] = ()) -> DataFrame:
+    """The distinct shapes of documents, nested values included, with the number of documents of each: (by…, shape, documents).
+
+    Documents are counted by the text of their shape inside map tasks, whatever the number of their fields. Numbers with a
+    fraction are one type, or else each precision would be a shape of its own.
+    """
+    shape = F.regexp_replace(F.schema_of_variant(F.parse_json(document)), r"DECIMAL\(\d+,\d+\)", "DOUBLE")
+    return df.select(*by, shape.alias("shape")).groupBy(*by, "shape").agg(F.count("*").alias("documents"))
+
+
+def shape_fields(shapes: DataFrame) -> DataFrame:
+    """The top-level fields of each shape, one row each: all columns but the shape, field, type.
+
+    Runs over the few distinct shapes, so a Python function may cut their texts.
+    """
+    others = [f for f in shapes.schema.fields if f.name != "shape"]
+    schema = T.StructType([*others, T.StructField("field", T.StringType()), T.StructField("start", T.StringType())])
+    names = [f.name for f in others]
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            members = frame.assign(member=[extjson.shape_members(shape) for shape in frame["shape"]]).explode("member").dropna(subset=["member"])
+            yield members[names].assign(field=members["member"].str[0], start=members["member"].str[1])
+
+    found = shapes.mapInPandas(cut, schema)
+    return found.select(*names, "field", extjson.json_type_of_shape(F.col("start")).alias("type"))
 
 
 def discover_schema(df: DataFrame, document: str, by: Sequence[str] = ()) -> DataFrame:
     """Top-level fields with their JSON type, from the given (sampled) documents.
 
-    A field seen with several types gets the most frequent one, the first by name among equals. Field names are
-    few, so counting inside map tasks leaves only small groups to shuffle.
+    A field seen with several types gets the most frequent one, the first by name among equals. Documents are counted by
+    shape first, and only the distinct shapes are taken apart.
     """
-    typed = _top_fields(df, document, by).select(
-        *by, F.col("key").alias("field"), extjson.json_type(F.col("value")).alias("type")
-    )
-    counted = typed.groupBy(*by, "field", "type").agg(F.count("*").alias("documents"))
+    typed = shape_fields(discover_shapes(df, document, by))
+    counted = typed.groupBy(*by, "field", "type").agg(F.sum("documents").alias("documents"))
     best = F.min(F.struct(-F.col("documents"), "type"))
     return counted.groupBy(*by, "field").agg(
         best["type"].alias("type"),

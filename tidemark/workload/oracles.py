@@ -244,6 +244,13 @@ SELECT event_type, field,
        coalesce(kind, CASE WHEN {LISTED} THEN 'array' ELSE 'string' END) AS type, count(*) AS n_documents, 1 AS n_types
 FROM events, {FIELDS} GROUP BY ALL"""
 
+ORACLES["discover_shapes"] = f"""
+SELECT event_type, fields, count(*) AS n_documents FROM (
+    SELECT event_id, event_type,
+           string_agg(field || ':' || coalesce(kind, CASE WHEN {LISTED} THEN 'array' ELSE 'string' END), ',' ORDER BY field) AS fields
+    FROM events, {FIELDS} GROUP BY event_id, event_type)
+GROUP BY ALL"""
+
 ORACLES["discover_schema_all"] = f"""
 SELECT field,
        coalesce(any_value(kind), CASE WHEN count(*) FILTER ({LISTED}) >= count(*) FILTER (NOT {LISTED}) THEN 'array'

@@ -471,6 +471,16 @@ def discover_schema(spark, sf_dir):
     return found.withColumnsRenamed({"documents": "n_documents", "types": "n_types"})
 
 
+@query
+def discover_shapes(spark, sf_dir):
+    """Distinct shapes with their top-level fields, as counted before any document is taken apart."""
+    shapes = documents.discover_shapes(inputs.documents(spark, sf_dir), "document", ["event_type"])
+    named = documents.shape_fields(shapes.withColumn("number", F.xxhash64("shape")))
+    fields = F.array_join(F.array_sort(F.collect_list(F.concat("field", F.lit(":"), "type"))), ",").alias("fields")
+    listed = named.groupBy("event_type", "number", "documents").agg(fields)
+    return listed.groupBy("event_type", "fields").agg(F.sum("documents").alias("n_documents"))
+
+
 @query
 def discover_schema_all(spark, sf_dir):
     """Over all documents as one collection; one field has conflicting types."""
