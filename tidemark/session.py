@@ -7,6 +7,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a task that does costly work on each.
+SPREAD_ROWS = 50_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors see, as named by the cluster in ``spark.checkpoint.dir``.
@@ -51,11 +54,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer partitions than cores, dealt out over all of them; other scans as they are.
+def spread(df: DataFrame, rows: int = SPREAD_ROWS) -> DataFrame:
+    """A scan dealt out evenly over all cores, in partitions of about ``rows`` rows at most.
 
-    For costly work per row on few or unsplittable files. ``df`` must be a plain scan, which is only counted
-    by its partitions here, and not run.
+    For costly work per row. A scan may have as many partitions as there are cores and yet hold all rows in one of them,
+    for row groups and some files can't be split; and partitions by bytes hold more rows the better these compress. So
+    rows are counted first, which Parquet has in its footers, and a task's work stays the same as the table grows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)))

@@ -10,7 +10,7 @@ from tidemark.session import spread
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Exported documents, one JSON text per line; compressed files, which cannot be split, are dealt out."""
+    """Exported documents, one JSON text per line, counted first and dealt out, for compressed files cannot be split."""
     return spread(spark.read.text(path)).withColumnRenamed("value", "document")
 
 
