@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 from pyspark.sql import Column, DataFrame
@@ -27,25 +28,31 @@ _LEVEL = 3
 _START = b"\n" * ORDER  # no word holds a line feed: it stands for what comes before a text and for its end
 
 
-def _runs(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte of the texts and their ends, the byte and the ORDER before it as one number; and where texts begin."""
-    if not texts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    parts = [_START + b" ".join(words) + b"\n" for words in texts]
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    count = len(data) - ORDER
-    codes = np.zeros(max(count, 0), np.uint64)
-    for at in range(ORDER + 1):
-        codes = codes << np.uint64(8) | data[at : at + count]
-    lengths = np.array([len(part) for part in parts])
-    first = np.cumsum(lengths) - lengths
-    # Runs that begin in the last ORDER bytes of a text belong to no text.
+def _split(texts: pa.ChunkedArray) -> pa.ListArray:
+    """The lower-cased words of each text; a text without words has an empty one."""
+    texts = texts.combine_chunks()
+    texts = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)
+    return pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
+
+
+def _runs(texts: pa.ListArray, before: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte of the texts and their ends, the byte and those ``before`` it as one number; and where texts begin."""
+    parts = pc.binary_join_element_wise(_START[:before].decode(), pc.binary_join(texts, " "), "\n", "")
+    edges = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset :][: len(parts) + 1]
+    if not len(parts) or edges[-1] == edges[0]:
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    data = np.frombuffer(parts.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+    edges = edges.astype(np.int64) - edges[0]
+    count = len(data) - before
+    codes = data[:count].astype(kind)
+    for at in range(1, before + 1):
+        codes <<= kind(8)
+        codes |= data[at : at + count]
+    # Runs that begin in the last bytes of a text belong to no text.
     inside = np.ones(len(codes), bool)
-    for at in range(1, ORDER + 1):
-        crossing = first[1:] - at
-        inside[crossing] = False
-    counts = lengths - ORDER
-    return codes[inside], np.cumsum(counts) - counts
+    for at in range(1, before + 1):
+        inside[edges[1:-1] - at] = False
+    return codes[inside], edges[:-1] - before * np.arange(len(edges) - 1)
 
 
 def _low_bytes(codes: np.ndarray, count: int) -> np.ndarray:
@@ -61,13 +68,24 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _distinct(codes: np.ndarray) -> np.ndarray:
     """Distinct numbers, sorted. A plain sort is far faster than one that keeps places."""
     codes = np.sort(codes)
-    return codes[np.append(True, codes[1:] != codes[:-1])[: len(codes)]]
+    return codes[_changes(codes)]
 
 
-def _counts(codes: np.ndarray, found: np.ndarray) -> np.ndarray:
-    """How often each of the sorted numbers occurs."""
-    codes = np.sort(codes)
-    return np.searchsorted(codes, found, "right") - np.searchsorted(codes, found, "left")
+def _changes(ranked: np.ndarray) -> np.ndarray:
+    """Where a sorted number differs from the one before."""
+    return np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)])
+
+
+def _distinct_counts(codes: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, sorted, and how often each occurs where ``trained``. Runs leave a bit free that says so."""
+    keys = np.sort(codes << np.uint64(1) | trained)
+    start = _changes(keys)
+    keys, times = keys[start], np.diff(np.append(start, len(keys)))
+    found, inside = keys >> np.uint64(1), (keys & np.uint64(1)).astype(bool)
+    first = _changes(found)
+    # A number that is met on both sides has its times where trained after the others.
+    last = np.append(first[1:], len(found))[: len(first)] - 1
+    return found[first], times[last] * inside[last]
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,11 +186,11 @@ def short_counts(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             for data in batch["data"]:
                 rows = B.rows_of(data.as_py())
-                held = rows["held_out"].to_pylist()
-                codes, _ = _runs([text.as_py().lower().split() for text, h in zip(rows["text"], held) if not h])
-                codes = _low_bytes(codes, SPLIT).astype(np.int32)
-                found = _distinct(codes)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(_counts(codes, found))], ["code", "n"])
+                texts = _split(rows["text"].filter(pa.array(_trained(rows))))
+                codes = np.sort(_runs(texts, SPLIT - 1, np.uint32)[0])
+                start = _changes(codes)
+                columns = [pa.array(codes[start].view(np.int32)), pa.array(np.diff(np.append(start, len(codes))))]
+                yield pa.RecordBatch.from_arrays(columns, ["code", "n"])
 
     return blocks.mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
@@ -212,6 +230,8 @@ def _runs_by_shard(codes: np.ndarray, shards: int) -> list[tuple[int, np.ndarray
 
 
 def _parts(shard: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    if len(shard) and shard.max() < 1 << 16:
+        shard = shard.astype(np.uint16)  # which are sorted digit by digit
     order = np.argsort(shard, kind="stable")
     numbers, starts = np.unique(shard[order], return_index=True)
     return list(zip(numbers.tolist(), np.split(order, starts[1:])))
@@ -233,36 +253,54 @@ def _words_by_shard(words: list[bytes], shards: int) -> list[tuple[int, np.ndarr
     return _parts(word_hashes(words) % np.uint64(shards))
 
 
-def _block_counts(rows: pa.Table) -> tuple[list[bytes], np.ndarray]:
-    """The block's words, sorted, with their counts in its training texts. The empty word is the end token."""
-    counts: Counter[bytes] = Counter({b"": 0})
-    for text, held in zip(rows["text"], rows["held_out"].to_pylist()):
-        words = text.as_py().lower().split()
-        counts.update(dict.fromkeys(words, 0) if held else words)
-        counts[b""] += not held
-    words = sorted(counts)
-    return words, np.fromiter(map(counts.__getitem__, words), np.int32, len(words))
+def _trained(rows: pa.Table) -> np.ndarray:
+    """Which texts of the block are training texts."""
+    return ~np.array(rows["held_out"].to_pylist(), bool)
+
 
+def _block_words(texts: pa.ListArray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words of the texts, sorted; the places there of all tokens, text by text; and where texts begin.
 
-def _block_runs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The runs of the block's texts, which of them are in training texts, and where texts begin."""
-    codes, first = _runs([text.as_py().lower().split() for text in rows["text"]])
-    trained = ~np.array(rows["held_out"].to_pylist(), bool)
-    return codes, np.repeat(trained, np.diff(np.append(first, len(codes)))), first
+    The empty word is the end token, which comes first among the words and last in each text.
+    """
+    empty = pa.array([""], pa.string())
+    coded = pa.concat_arrays([empty, texts.flatten()]).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    words = coded.dictionary.take(order).cast(pa.binary()).to_pylist()
+    place = np.empty(len(words), np.int64)
+    place[order.to_numpy()] = np.arange(len(words))
+    found = place[coded.indices.to_numpy()[1:]]
+    lengths = texts.value_lengths().to_numpy().astype(np.int64)
+    # A text without words has its end token already.
+    first = np.cumsum(lengths) - lengths
+    ends = (found[first] != 0).astype(np.int64)
+    tokens = np.zeros(len(found) + ends.sum(), np.int64)
+    tokens[np.arange(len(found)) + np.repeat(np.cumsum(ends) - ends, lengths)] = found
+    lengths += ends
+    return words, tokens, np.cumsum(lengths) - lengths
+
+
+def _block_counts(rows: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    """The block's words, sorted, with their counts in its training texts. The empty word is the end token."""
+    words, tokens, first = _block_words(_split(rows["text"]))
+    trained = np.repeat(_trained(rows), np.diff(np.append(first, len(tokens))))
+    return words, np.bincount(tokens[trained], minlength=len(words)).astype(np.int32)
 
 
 def _sums_by_text(codes: np.ndarray, first: np.ndarray, found: np.ndarray, logs: np.ndarray) -> np.ndarray:
     """For each text the sum over its runs of what ``logs`` has at the run's place in ``found``.
 
     Texts are taken 256 at a time, the number of a text in the byte that a run leaves free, and their runs sorted, for
-    sorted numbers are looked up far faster.
+    sorted numbers are looked up far faster, and each run once.
     """
     bounds, sums = np.append(first, len(codes)), np.zeros(len(first))
     for low in range(0, len(first), 256):
         part = bounds[low : low + 257]
         number = np.repeat(np.arange(len(part) - 1, dtype=np.uint64), np.diff(part))
         keys = np.sort(codes[part[0] : part[-1]] << np.uint64(8) | number)
-        values = logs[np.searchsorted(found, keys >> np.uint64(8))].astype(np.float64)
+        start = _changes(keys >> np.uint64(8))
+        values = logs[np.searchsorted(found, keys[start] >> np.uint64(8))].astype(np.float64)
+        values = np.repeat(values, np.diff(np.append(start, len(keys))))
         sums[low : low + 256] = np.bincount((keys & np.uint64(255)).astype(np.int64), values, len(part) - 1)
     return sums
 
@@ -304,9 +342,10 @@ def score_texts(
             yield shard, zstandard.compress(b"\n".join([words[i] for i in places.tolist()]), 3), _packed(counts[places])
 
     def ask_runs(rows: pa.Table) -> Iterator[tuple[int, bytes, bytes]]:
-        codes, trained, _ = _block_runs(rows)
-        found = _distinct(codes)
-        counts = _counts(codes[trained], found).astype(np.int32)
+        codes, first = _runs(_split(rows["text"]), ORDER, np.uint64)
+        trained = np.repeat(_trained(rows), np.diff(np.append(first, len(codes))))
+        found, counts = _distinct_counts(codes, trained)
+        counts = counts.astype(np.int32)
         for shard, places in _runs_by_shard(found, shards):
             yield shard, _squeeze(found[places]), _packed(counts[places])
 
@@ -322,26 +361,22 @@ def score_texts(
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = B.rows_of(left["data"][0].as_py())
         right = right.sort_by("shard")
-        by_words, by_runs = (right.filter(pa.compute.equal(right["question"], i))["reply"].to_pylist() for i in (0, 1))
-        words, _ = _block_counts(rows)
+        by_words, by_runs = (right.filter(pc.equal(right["question"], i))["reply"].to_pylist() for i in (0, 1))
+        texts = _split(rows["text"])
+        words, own, begin = _block_words(texts)
         known = np.empty(len(words), np.int64)
         for (_, places), reply in zip(_words_by_shard(words, shards), by_words, strict=True):
             known[places] = _unpacked(reply[_HEAD:], np.int64)
-        codes, _, first = _block_runs(rows)
+        codes, first = _runs(texts, ORDER, np.uint64)
         found = _distinct(codes)
         logs = np.empty(len(found), np.float32)
         for (_, places), reply in zip(_runs_by_shard(found, shards), by_runs, strict=True):
             logs[places] = _unpacked(reply, np.float32)
         score = _sums_by_text(codes, first, found, logs)
-        place = dict(zip(words, range(len(words))))
-        parts = np.log10(known + 0.5) - np.log10(tokens + 0.5 * (distinct + 1))
-        lengths, met, base = [], [], []
-        for text in rows["text"]:
-            own = [*text.as_py().lower().split(), b""]
-            at = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
-            lengths.append(len(at))
-            met.append(int((known[at] > 0).sum()))
-            base.append(float(parts[at].sum()))
+        parts = (np.log10(known + 0.5) - np.log10(tokens + 0.5 * (distinct + 1)))[own]
+        lengths = np.diff(np.append(begin, len(own)))
+        met = np.add.reduceat((known > 0)[own], begin, dtype=np.int64)
+        base = [part.sum() for part in np.split(parts, begin[1:])]
         columns = [rows["doc_id"], rows["held_out"], pa.array(lengths, pa.int64()), pa.array(met, pa.int64())]
         columns += [pa.array([tokens] * len(lengths), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())]
         return pa.Table.from_arrays(columns, names=names)
