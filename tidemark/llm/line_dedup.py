@@ -16,6 +16,7 @@ from tidemark.operators.joins import reshuffled
 from tidemark.session import settle
 
 MIN_WORDS = 5
+_DOCS = 500
 # Scripts without spaces: two letters of Chinese or Japanese, or four of Thai, Lao, Burmese or Khmer, count as a word.
 _TWO = r"\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}"
 _FOUR = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}"
@@ -214,11 +215,18 @@ def windows(lines: Sequence[int], words: Sequence[int], min_words: int = MIN_WOR
     return found
 
 
+def _slices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Some rows at a time, so that few windows are held at once."""
+    for frame in frames:
+        for low in range(0, len(frame), _DOCS):
+            yield frame.iloc[low : low + _DOCS]
+
+
 def _evidence(forms: DataFrame, min_words: int) -> DataFrame:
     """form, first, last, line, key: what a line shares with the documents that it may be aligned with."""
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in _slices(frames):
             rows = zip(frame["lines"], frame["words"])
             found = [sorted({(at, key) for at, _, _, key in windows(lines.tolist(), words.tolist(), min_words)}) for lines, words in rows]
             frame = frame[["form", "first", "last"]].assign(found=found).explode("found").dropna(subset=["found"])
@@ -234,7 +242,7 @@ def _align(pairs: DataFrame, forms: DataFrame, min_words: int) -> DataFrame:
     both = pairs.join(reshuffled(first), "earlier").join(reshuffled(forms.select("form", "lines", "words")), "form")
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in _slices(frames):
             rows = zip(*(frame[name] for name in ("first_lines", "lines", "first_words", "words", "asked")))
             found = [shared_lines(*(x.tolist() for x in row[:4]), set(row[4].tolist()), min_words) for row in rows]
             yield frame[["form", "reach"]].assign(line=found).explode("line").dropna(subset=["line"])[["form", "line", "reach"]]

@@ -25,6 +25,7 @@ VOCABULARY = 20_000
 MIN_DOCS = 5
 _STEPS, _RATE, _LASSO, _RIDGE = 120, 0.5, 0.35, 1e-4
 _SCREENED = 500
+_DOCS = 200
 _PREFIXES = range(4, 9)
 
 #: Categories of a table of labels with quality and toxic, 0 or 1 each.
@@ -37,6 +38,13 @@ def features(text: bytes, prefixes: Iterable[int] = _PREFIXES) -> set[bytes]:
     return words.union(*({word[:size] + b"*" for word in words if len(word) > size} for size in prefixes))
 
 
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some rows at a time, so that the words of few texts are held at once."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, _DOCS):
+            yield batch.slice(low, _DOCS)
+
+
 @dataclass
 class Rows:
     """Bags of words as the places of each row's words in a vocabulary, one row after the other."""
@@ -186,7 +194,7 @@ def train_chain(
     texts = docs.select(F.col(id_col).alias("_id"), utf8(text_col).alias("_text"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             words = [sorted(features(text.as_py())) for text in batch["_text"]]
             columns = [batch["_id"], *(batch[f"_c{i}"] for i in range(len(names))), pa.array(words, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, ["_id", *(f"_c{i}" for i in range(len(names))), "_words"])
@@ -202,7 +210,7 @@ def train_chain(
     columns = rows.columns
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = [[place[word] for word in words if word in place] for words in batch["_words"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.int32()))], columns)
 
